@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,11 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def any_null(names: Iterable[str]) -> Column:
+    """True when at least one of the columns is NULL."""
+    return reduce(lambda a, b: a | b, [column(name).isNull() for name in names])
+
+
 def expression(value: str | Column) -> Column:
     """Accept SQL text or a ready ``Column``."""
     return F.expr(value) if isinstance(value, str) else value

@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.columns import column, require, require_columns, require_unique_names
+from rowloom.columns import any_null, column, require, require_columns, require_unique_names
 from rowloom.session import materialize
 
 JOIN_TYPES = ("inner", "left", "right", "full")
@@ -48,9 +48,10 @@ def join(
     either side, of an outer join only on the preserved side, and of a full
     join on neither.  An outer join is therefore planned as the inner join plus
     the unmatched rows (an anti join against the other side's distinct keys),
-    which may be split everywhere.  Say ``left_unique`` / ``right_unique`` when
-    a side holds each key once: the plain outer join is then safe, costs one
-    shuffle less and is what gets planned.
+    which may be split everywhere; both read the same shuffle.  Rows with a
+    NULL key, often the most frequent one, are not shuffled at all.  Say
+    ``left_unique`` / ``right_unique`` when a side holds each key once: the
+    plain outer join is then safe and is what gets planned.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"join: how must be one of {JOIN_TYPES}, not {how!r}")
@@ -97,15 +98,22 @@ def join(
         or (how == "full" and left_unique and right_unique)
     )
     if plain:
-        return shape(left.join(other, condition, how), "both" if how in ("inner", "left") else "either")
-
-    parts = [shape(left.join(other, condition, "inner"), "both")]
+        key_from = "both" if how in ("inner", "left") else "either"
+        return shape(left.join(other, condition, how), key_from)
+
+    left_names = [a for a, _ in keys]
+    right_names = [inside[b] for _, b in keys]
+    # The same filtered input on both uses of a side, so that its shuffle is reused.
+    left_keyed, right_keyed = left.filter(~any_null(left_names)), other.filter(~any_null(right_names))
+    parts = [shape(left_keyed.join(right_keyed, condition, "inner"), "both")]
     if how in ("left", "full"):
-        right_keys = other.select(*[column(inside[b]) for _, b in keys]).distinct()
-        parts.append(shape(left.join(right_keys, condition, "left_anti"), "left"))
+        present = right_keyed.select(*[column(name) for name in right_names]).distinct()
+        parts.append(shape(left_keyed.join(present, condition, "left_anti"), "left"))
+        parts.append(shape(left.filter(any_null(left_names)), "left"))
     if how in ("right", "full"):
-        left_keys = left.select(*[column(a) for a, _ in keys]).distinct()
-        parts.append(shape(other.join(left_keys, condition, "left_anti"), "right"))
+        present = left_keyed.select(*[column(name) for name in left_names]).distinct()
+        parts.append(shape(right_keyed.join(present, condition, "left_anti"), "right"))
+        parts.append(shape(other.filter(any_null(right_names)), "right"))
     return reduce(DataFrame.unionAll, parts)
 
 

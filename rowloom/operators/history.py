@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowloom.columns import column, name_list, require, require_columns
 
@@ -52,8 +53,8 @@ def snapshot(
     NULL-safely.  Repeated keys in the source are an error of the caller; one
     of the rows is used.
 
-    One shuffle per side: the changed, new and unchanged rows all come out of a
-    single full join over unique keys.
+    Old and new rows meet by grouping, not by a join: one shuffle, rows of a
+    key already brought together before it, and a NULL in a key equals NULL.
     """
     names = name_list(keys)
     require(names, "snapshot: needs keys")
@@ -66,31 +67,36 @@ def snapshot(
 
     history = history.select(*[column(name) for name in layout])
     closed = history.filter(F.col("valid_to").isNotNull())
-    current = history.filter(F.col("valid_to").isNull()).select(
-        F.struct(*[column(name) for name in layout]).alias("old")
+    state = T.StructType([history.schema[name] for name in layout])
+    old_rows = history.filter(F.col("valid_to").isNull()).select(
+        *[column(name) for name in names],
+        F.struct(*[column(name) for name in layout]).alias("old"),
+        F.lit(None).cast(state).alias("new"),
     )
-    fresh = source.dropDuplicates(names).select(
-        F.struct(
-            *[column(name).cast(history.schema[name].dataType).alias(name) for name in source.columns],
-            moment.alias("valid_from"),
-            F.lit(None).cast(moment_type).alias("valid_to"),
-        ).alias("new")
+    fields = [column(name).cast(history.schema[name].dataType).alias(name) for name in source.columns]
+    opened = [moment.alias("valid_from"), F.lit(None).cast(moment_type).alias("valid_to")]
+    new_rows = source.select(*fields).select(
+        *[column(name) for name in names],
+        F.lit(None).cast(state).alias("old"),
+        F.struct(*[column(name) for name in source.columns], *opened).alias("new"),
+    )
+    pairs = (
+        old_rows.unionByName(new_rows)
+        .groupBy(*[column(name) for name in names])
+        .agg(
+            F.first("old", ignorenulls=True).alias("old"),
+            F.first("new", ignorenulls=True).alias("new"),
+        )
     )
-    same_key = [F.col(f"old.`{name}`").eqNullSafe(F.col(f"new.`{name}`")) for name in names]
-    condition = same_key[0]
-    for more in same_key[1:]:
-        condition = condition & more
     changed = F.lit(False)
     for name in values:
-        changed = changed | ~F.col(f"old.`{name}`").eqNullSafe(F.col(f"new.`{name}`"))
+        changed = changed | ~F.col("old")[name].eqNullSafe(F.col("new")[name])
     ended = F.struct(
-        *[F.col(f"old.`{name}`").alias(name) for name in layout[:-1]], moment.alias("valid_to")
+        *[F.col("old")[name].alias(name) for name in layout[:-1]], moment.alias("valid_to")
     )
     outcome = (
         F.when(F.col("old").isNull(), F.array("new"))
-        .when(F.col("new").isNull(), F.array("old"))
-        .when(changed, F.array(ended, F.col("new")))
-        .otherwise(F.array("old"))
+        .when(F.col("new").isNull() | ~changed, F.array("old"))
+        .otherwise(F.array(ended, F.col("new")))
     )
-    joined = current.join(fresh, condition, "full")
-    return closed.unionByName(joined.select(F.inline(outcome)))
+    return closed.unionByName(pairs.select(F.inline(outcome)))

@@ -120,8 +120,10 @@ def sort(
 ) -> DataFrame:
     """Globally sort by one or several columns.
 
-    Ascending by default; nulls come last in both directions.  Spark range
-    partitions on sampled bounds, so no single task sees the whole table.
+    Ascending by default; nulls come last in both directions.  Spark cuts the
+    key space into ranges from a sample, one range per task.  Equal keys would
+    all fall into one range, so the input partition breaks ties: a value that
+    fills a large share of the table is then spread over many tasks.
     """
     require_batch(df, "sort", "sort inside foreachBatch")
     names = name_list(columns)
@@ -130,7 +132,8 @@ def sort(
     directions = [ascending] * len(names) if isinstance(ascending, bool) else list(ascending)
     if len(directions) != len(names):
         raise ValueError("sort: give one direction, or one per column")
-    return df.orderBy(*[_nulls_last(name, up) for name, up in zip(names, directions)])
+    order = [_nulls_last(name, up) for name, up in zip(names, directions)]
+    return df.withColumn("__tie", F.spark_partition_id()).orderBy(*order, "__tie").drop("__tie")
 
 
 def _nulls_last(name: str, up: bool = True) -> Column:

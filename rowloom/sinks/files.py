@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from rowloom.columns import column, name_list, require, require_columns
+from rowloom.columns import any_null, column, name_list, require, require_columns
 from rowloom.operators.transforms import deduplicate
 from rowloom.session import materialize
 
@@ -22,6 +22,7 @@ def write_file(
     *,
     mode: str = "error",
     partition_by: str | Sequence[str] | None = None,
+    rebalance: bool = True,
     row_tag: str | None = None,
     options: Mapping[str, object] | None = None,
 ) -> DataFrame:
@@ -31,15 +32,21 @@ def write_file(
     strings, so that ``read_file`` gives the same values back; text formats keep
     microseconds.  ``compress`` is a codec such as ``gzip`` or ``snappy``.  ``mode`` is Spark's (error, append, overwrite, ignore);
     overwriting together with ``partition_by`` replaces only the partitions
-    that occur in ``df``, which makes a repeated run harmless.  Rows are
-    shuffled by nothing: give ``df`` the partitioning the files should have.
+    that occur in ``df``, which makes a repeated run harmless.  Rows bound for
+    partition folders are first rebalanced by them, so that not every task
+    writes a small file into every folder; adaptive execution splits a folder
+    that gets a large share of the rows over several tasks.  Otherwise rows are
+    written where they lie.
     """
     require(path, "write_file: needs a path")
     if format not in SINK_FORMATS:
         raise ValueError(f"write_file: format must be one of {SINK_FORMATS}, not {format!r}")
     names = name_list(partition_by)
     require_columns(df, names, "write_file")
-    writer = df.write.format(format).mode(mode)
+    rows = df
+    if names and rebalance:
+        rows = df.hint("rebalance", *[column(name) for name in names])
+    writer = rows.write.format(format).mode(mode)
     if format == "csv":
         writer = writer.option("header", True).option("escape", '"').option("emptyValue", '""')
     if format == "json":
@@ -76,8 +83,7 @@ def upsert(
     require(names, "upsert: needs keys")
     require_columns(target, names, "upsert (target)")
     require_columns(source, names, "upsert (source)")
-    keyed = source.dropna(subset=names)
-    unkeyed = source.filter(" or ".join(f"`{name}` is null" for name in names))
+    keyed, unkeyed = source.filter(~any_null(names)), source.filter(any_null(names))
     changes = deduplicate(keyed, names, order_by)
     replaced = keyed.select(*[column(name) for name in names]).distinct()
     kept = target.join(replaced, names, "left_anti")
@@ -95,9 +101,9 @@ def upsert_table(
     """Merge ``source`` into the partitioned Parquet table at ``path``.
 
     Only partitions that occur in ``source`` are read and rewritten, so the
-    cost follows the change, not the table.  Their values are listed first;
-    the list is no longer than the one the driver keeps of the table's
-    partitions anyway.  Rows with one key must lie in one partition, therefore
+    cost follows the change, not the table.  The source is written down once
+    and its partition values are listed; that list is no longer than the one
+    the driver keeps of the table's partitions anyway.  Rows with one key must lie in one partition, therefore
     the partition columns are part of the key.  The
     rewrite is staged and moved into place when the job commits; a lost
     executor leaves the table as it was.
@@ -108,15 +114,19 @@ def upsert_table(
     if outside:
         raise ValueError(f"upsert_table: partition columns {outside} must be part of the key")
     spark = source.sparkSession
+    source = materialize(source, "changes")
     target = spark.read.schema(source.schema).parquet(path)
     touched = materialize(
         source.select(*[column(name) for name in partitions]).distinct(), "partitions"
     )
-    affected = target.join(touched, partitions, "left_semi")
-    for name in partitions:
-        # Prunes the scan; the semi join keeps several columns exact.
-        values = [row[0] for row in touched.select(column(name)).distinct().collect()]
+    folders = touched.collect()
+    affected = target
+    for index, name in enumerate(partitions):
+        values = {row[index] for row in folders}
         inside = column(name).isin([value for value in values if value is not None])
         affected = affected.filter(inside | column(name).isNull() if None in values else inside)
+    if len(partitions) > 1:
+        # The filters prune the scan per column, this drops combinations not touched.
+        affected = affected.join(touched, partitions, "left_semi")
     merged = upsert(affected, source, names, order_by)
     write_file(merged, path, "parquet", mode="overwrite", partition_by=partitions)

@@ -18,12 +18,16 @@ def custom_source(
     partitions: DataFrame | Sequence,
     read: Callable[[object], Iterable[dict]],
     schema: str | T.StructType,
+    *,
+    parallelism: int | None = None,
 ) -> DataFrame:
     """Rows produced by a Python function, one call per partition spec.
 
     ``partitions`` says how to cut the source: a list of specs (file names,
     date ranges, shards), each read by a task of its own, or a DataFrame whose
-    rows, as dicts, are the specs, which are read where they lie.
+    rows, as dicts, are the specs.  Those are spread over ``parallelism`` tasks
+    (``spark.sql.shuffle.partitions`` if not given): a fixed number, because
+    adaptive execution would see tiny specs and read them all in one task.
     ``read(spec)`` yields row dicts; they leave in bounded batches, so a spec
     may be larger than memory.  Unlike inference from the first row, the
     declared schema also holds for a source without rows.
@@ -44,7 +48,8 @@ def custom_source(
                     for spec in specs:
                         yield from rows_of(spec)
 
-        return partitions.mapInArrow(run, output)
+        tasks = parallelism or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return partitions.repartition(tasks).mapInArrow(run, output)
 
     specs = list(partitions)
     if not specs:

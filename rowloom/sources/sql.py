@@ -10,7 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowloom.columns import require
 
-_VARIABLE = re.compile(r"'?\{\{\s*([\w.]+)\s*\}\}'?")
+_PLACEHOLDER = re.compile(r"\{\{\s*([\w.]+)\s*\}\}")
+
+# Comments, text literals (with the type word before them) and bare placeholders.
+_SQL_TOKEN = re.compile(
+    r"--[^\n]*|/\*.*?\*/"
+    r"|(?:\b(?P<type>date|timestamp|timestamp_ntz)\s+)?'(?P<text>(?:[^']|'')*)'"
+    r"|\{\{\s*(?P<bare>[\w.]+)\s*\}\}",
+    re.DOTALL | re.IGNORECASE,
+)
 
 
 def run_variables(
@@ -49,9 +57,7 @@ def _lookup(values: Mapping[str, object], name: str) -> object:
 
 def render_text(template: str, values: Mapping[str, object]) -> str:
     """Fill ``{{ name }}`` in a path or url; dates as ``YYYY-MM-DD``."""
-    return re.sub(
-        r"\{\{\s*([\w.]+)\s*\}\}", lambda found: str(_lookup(values, found.group(1))), template
-    )
+    return _PLACEHOLDER.sub(lambda found: str(_lookup(values, found.group(1))), template)
 
 
 def run_query(
@@ -64,19 +70,38 @@ def run_query(
     """A full SQL query over Spark tables, views and given DataFrames.
 
     ``{name}`` in the text stands for the DataFrame passed as ``name=``.
-    ``{{ name }}`` stands for a run variable (see ``run_variables``), with or
-    without quotes around it.  It becomes a typed parameter, never part of the
-    SQL text, so partition pruning sees a literal and a value cannot change the
-    statement.  ``args`` are further named parameters (``:name``).
+    ``{{ name }}`` stands for a run variable (see ``run_variables``).  It
+    becomes a typed parameter, never part of the SQL text, so partition pruning
+    sees a literal and a value cannot change the statement.  Quotes around it
+    are optional; inside a longer text literal its text is spliced in.
+    ``args`` are further named parameters (``:name``).
     """
     require(query.strip(), "run_query: needs a query")
     bound = dict(args or {})
 
-    def mark(found: re.Match) -> str:
-        name = found.group(1)
-        marker = "run_" + name.replace(".", "_")
-        bound[marker] = _lookup(values or {}, name)
-        return f":{marker}"
-
-    statement = _VARIABLE.sub(mark, query)
+    def marker(name: str) -> str:
+        key = "run_" + name.replace(".", "_")
+        bound[key] = _lookup(values or {}, name)
+        return f":{key}"
+
+    def rewrite(found: re.Match) -> str:
+        if found["bare"]:
+            return marker(found["bare"])
+        text = found["text"]
+        if text is None or not _PLACEHOLDER.search(text):
+            return found[0]
+        whole = _PLACEHOLDER.fullmatch(text.strip())
+        if whole:
+            value = marker(whole[1])
+        else:
+            # Odd pieces are variable names, even ones the text between them.
+            pieces = _PLACEHOLDER.split(text)
+            value = " || ".join(
+                f"CAST({marker(piece)} AS STRING)" if index % 2 else f"'{piece}'"
+                for index, piece in enumerate(pieces)
+            )
+            value = f"({value})"
+        return f"CAST({value} AS {found['type']})" if found["type"] else value
+
+    statement = _SQL_TOKEN.sub(rewrite, query)
     return spark.sql(statement, args=bound or None, **frames)
