@@ -28,9 +28,10 @@ def write_file(
 ) -> DataFrame:
     """Write a directory of files, one per task, and pass the data on.
 
-    CSV gets a header line, doubles quotes inside fields and quotes empty
-    strings, so that ``read_file`` gives the same values back; text formats keep
-    microseconds.  ``compress`` is a codec such as ``gzip`` or ``snappy``.  ``mode`` is Spark's (error, append, overwrite, ignore);
+    CSV gets a header line and doubles quotes inside fields; text formats keep
+    microseconds.  Reading a CSV turns empty text into NULL, unless both sides
+    name another marker, as in ``options={"nullValue": "\\N"}``.
+    ``compress`` is a codec such as ``gzip`` or ``snappy``.  ``mode`` is Spark's (error, append, overwrite, ignore);
     overwriting together with ``partition_by`` replaces only the partitions
     that occur in ``df``, which makes a repeated run harmless.  Rows bound for
     partition folders are first rebalanced by them, so that not every task
@@ -48,7 +49,7 @@ def write_file(
         rows = df.hint("rebalance", *[column(name) for name in names])
     writer = rows.write.format(format).mode(mode)
     if format == "csv":
-        writer = writer.option("header", True).option("escape", '"').option("emptyValue", '""')
+        writer = writer.option("header", True).option("escape", '"')
     if format == "json":
         writer = writer.option("ignoreNullFields", False)
     if format == "xml":

@@ -1,0 +1,218 @@
+import decimal
+import random
+from collections import Counter
+from datetime import date, datetime
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from rowloom import (
+    BatchResult,
+    TaskOutcome,
+    filter_py,
+    map_rows,
+    task,
+    task_batches,
+    task_groups,
+)
+
+
+@pytest.fixture
+def nested(spark):
+    data = [(1, ("x",), None), (None, (None,), 2.5)]
+    return spark.createDataFrame(data, "a bigint, st struct<c: string>, f double")
+
+
+class TestFilter:
+    def test_sees_plain_values(self, nested):
+        seen = filter_py(nested, lambda row: row == {"a": 1, "st": {"c": "x"}, "f": None})
+        assert [row.a for row in seen.collect()] == [1]
+
+    def test_truthiness(self, nested):
+        assert filter_py(nested, lambda row: row["st"]["c"]).count() == 1
+        assert filter_py(nested, lambda row: row["f"]).count() == 1
+        assert filter_py(nested, lambda row: []).count() == 0
+
+    def test_schema_is_unchanged(self, nested):
+        assert filter_py(nested, lambda row: True).schema == nested.schema
+
+    def test_only_named_columns_are_read(self, spark, tmp_path):
+        path = str(tmp_path / "wide")
+        spark.range(5).selectExpr("id", "id * 2 AS b", "id * 3 AS c").write.parquet(path)
+        kept = filter_py(spark.read.parquet(path), lambda row: list(row) == ["b"] and row["b"] > 4, "b")
+        plan = kept.select("id")._jdf.queryExecution().executedPlan().toString()
+        assert "c#" not in plan
+        assert sorted(row.id for row in kept.collect()) == [3, 4]
+
+    def test_column_stays_native(self, nested):
+        kept = filter_py(nested, F.col("a") == 1)
+        assert "Python" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert kept.count() == 1
+
+    def test_closure(self, spark):
+        limit = 7
+        assert filter_py(spark.range(10), lambda row: row["id"] >= limit).count() == 3
+
+    def test_empty_input(self, nested):
+        assert filter_py(nested.limit(0), lambda row: True).collect() == []
+
+    def test_error_reaches_the_caller(self, nested):
+        with pytest.raises(Exception, match="KeyError"):
+            filter_py(nested, lambda row: row["zzz"]).collect()
+
+
+class TestMap:
+    def test_missing_key_is_null(self, nested, rows):
+        result = map_rows(nested, lambda row: {"a": row["a"]}, "a bigint, extra string")
+        assert rows(result) == [(1, None), (None, None)]
+
+    def test_unknown_key_is_an_error(self, nested):
+        with pytest.raises(Exception, match="outside its schema"):
+            map_rows(nested, lambda row: {"b": 1}, "a bigint").collect()
+
+    def test_integers_stay_integers(self, nested, rows):
+        result = map_rows(nested, lambda row: {"t": type(row["a"]).__name__}, "t string")
+        assert rows(result) == [("NoneType",), ("int",)]
+
+    def test_types_survive(self, spark):
+        df = spark.sql(
+            "SELECT timestamp_ntz '2024-01-02 03:04:05.678901' AS n, "
+            "timestamp '2024-01-02 03:04:05.678901' AS t, date '2024-01-02' AS d, "
+            "1.25BD AS x, map('k', 1) AS m, array(1, NULL) AS l, binary('ab') AS b, true AS o"
+        )
+        copy = map_rows(df, dict, df.schema)
+        assert copy.collect() == df.collect()
+        assert copy.schema == df.schema
+        row = copy.collect()[0]
+        assert row.n == datetime(2024, 1, 2, 3, 4, 5, 678901)
+        assert (row.d, row.x, row.m) == (date(2024, 1, 2), decimal.Decimal("1.25"), {"k": 1})
+
+    def test_many_rows(self, spark):
+        result = map_rows(spark.range(0, 50_000, 1, 3), lambda row: {"n": row["id"] * 2}, "n bigint")
+        assert result.agg(F.count("n"), F.sum("n")).first() == (50_000, 50_000 * 49_999)
+
+    def test_empty_input_keeps_schema(self, nested):
+        result = map_rows(nested.limit(0), lambda row: row, "q int, r string")
+        assert result.columns == ["q", "r"] and result.count() == 0
+
+    def test_on_a_stream(self, spark):
+        stream = spark.readStream.format("rate").load()
+        assert map_rows(stream, lambda row: {"v": row["value"]}, "v bigint").isStreaming
+
+
+class TestBatches:
+    def test_none_passes_through(self, nested):
+        assert task_batches(nested, lambda rows: None).collect() == nested.collect()
+
+    def test_filtering_list(self, spark):
+        result = task_batches(spark.range(100), lambda rows: [r for r in rows if r["id"] % 2])
+        assert result.count() == 50
+
+    def test_growing_list(self, spark):
+        result = task_batches(spark.range(10), lambda rows: rows + rows)
+        assert result.count() == 20
+
+    def test_pandas_result(self, nested, rows):
+        result = task_batches(nested, lambda rows: pd.DataFrame(rows)[["a", "f"]], "a bigint, f double")
+        assert rows(result) == [(1, None), (None, 2.5)]
+
+    def test_batch_result(self, spark):
+        result = task_batches(
+            spark.range(4), lambda rows: BatchResult(rows[:1], warnings=["cut"]), "id bigint"
+        )
+        assert result.count() >= 1
+
+    def test_wrong_result(self, spark):
+        with pytest.raises(Exception, match="TypeError"):
+            task_batches(spark.range(1), lambda rows: 42).collect()
+
+    def test_unknown_columns(self, spark):
+        with pytest.raises(ValueError):
+            task_batches(spark.range(1), lambda rows: rows, columns=["zzz"])
+
+
+class TestTask:
+    def test_lazy_whole_dataset(self, spark):
+        result = task(spark.range(10), lambda df: df.agg(F.sum("id").alias("total")))
+        assert result.first().total == 45
+
+    def test_none_passes_through(self, spark):
+        df = spark.range(3)
+        assert task(df, lambda d: None) is df
+
+    def test_other_results(self, spark):
+        with pytest.raises(TypeError):
+            task(spark.range(3), lambda df: [1, 2])
+
+
+class TestGroups:
+    @staticmethod
+    def condense(piece):
+        return pd.DataFrame({"k": piece["k"].head(1), "n": len(piece), "total": piece["v"].sum()})
+
+    @staticmethod
+    def merge(parts):
+        return pd.DataFrame(
+            {"k": parts["k"].head(1), "n": parts["n"].sum(), "total": parts["total"].sum()}
+        )
+
+    def test_hot_key(self, spark, rows):
+        rng = random.Random(3)
+        data = [(rng.choice(["hot", "hot", "hot", "a", "b", None]), i) for i in range(5000)]
+        counts, totals = Counter(), Counter()
+        for k, v in data:
+            counts[k] += 1
+            totals[k] += v
+        df = spark.createDataFrame(data, "k string, v bigint").repartition(6)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+        try:
+            result = rows(
+                task_groups(df, "k", self.condense, self.merge, "k string, n bigint, total bigint", spread=3)
+            )
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert result == sorted(((k, counts[k], totals[k]) for k in counts), key=repr)
+
+    def test_keys_belong_to_the_schema(self, spark):
+        df = spark.createDataFrame([("a", 1)], "k string, v bigint")
+        with pytest.raises(ValueError, match="keys"):
+            task_groups(df, "k", self.condense, self.merge, "n bigint")
+        with pytest.raises(ValueError):
+            task_groups(df, [], self.condense, self.merge, "k string")
+
+
+class TestBatchResult:
+    def test_defaults(self):
+        result = BatchResult()
+        assert result.to_rows() == [] and result.row_count == 0
+        assert not result.has_warnings and not result.has_errors
+
+    def test_diagnostics(self):
+        result = BatchResult([{"a": 1}], ["w"], ["e"], {"skipped": 2})
+        assert result.has_warnings and result.has_errors and result.row_count == 1
+        assert result.metadata == {"skipped": 2}
+
+    def test_frame(self):
+        result = BatchResult(pd.DataFrame({"x": [1.0, None]}))
+        assert result.row_count == 0
+        assert result.to_rows() == [{"x": 1.0}, {"x": None}]
+
+    def test_other_data(self):
+        with pytest.raises(TypeError, match="str"):
+            BatchResult("text").to_rows()
+
+
+class TestOutcome:
+    def test_counts_ride_along(self, spark):
+        outcome = TaskOutcome(
+            spark.range(10),
+            warnings={"large": F.col("id") > 7, "negative": F.col("id") < 0},
+            errors={"null": F.col("id").isNull()},
+            metadata={"sum": F.sum("id")},
+        )
+        assert outcome.df.count() == 10
+        assert outcome.warnings == {"large": 2}
+        assert outcome.has_warnings and not outcome.has_errors
+        assert outcome.metadata == {"sum": 45}
+        assert outcome.row_count == 10
