@@ -47,11 +47,13 @@ def join(
     Skew: at run time Spark splits an oversized partition of an inner join on
     either side, of an outer join only on the preserved side, and of a full
     join on neither.  An outer join is therefore planned as the inner join plus
-    the unmatched rows (an anti join against the other side's distinct keys),
-    which may be split everywhere; both read the same shuffle.  Rows with a
+    the unmatched rows (an anti join against the other side's keys), which may
+    be split everywhere; both read the same shuffle.  Rows with a
     NULL key, often the most frequent one, are not shuffled at all.  Say
     ``left_unique`` / ``right_unique`` when a side holds each key once: the
-    plain outer join is then safe and is what gets planned.
+    plain outer join is then safe and is what gets planned.  (If that side is
+    itself an aggregate by the same key and the other side is badly skewed,
+    pass it through ``materialize``, so that there is a shuffle to split.)
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"join: how must be one of {JOIN_TYPES}, not {how!r}")
@@ -107,16 +109,28 @@ def join(
     left_keyed, right_keyed = left.filter(~any_null(left_names)), other.filter(~any_null(right_names))
     parts = [shape(left_keyed.join(right_keyed, condition, "inner"), "both")]
     if how in ("left", "full"):
-        present = right_keyed.select(*[column(name) for name in right_names]).distinct()
+        present = key_set(right_keyed, right_names)
         parts.append(shape(left_keyed.join(present, condition, "left_anti"), "left"))
         parts.append(shape(left.filter(any_null(left_names)), "left"))
     if how in ("right", "full"):
-        present = left_keyed.select(*[column(name) for name in left_names]).distinct()
+        present = key_set(left_keyed, left_names)
         parts.append(shape(right_keyed.join(present, condition, "left_anti"), "right"))
         parts.append(shape(other.filter(any_null(right_names)), "right"))
     return reduce(DataFrame.unionAll, parts)
 
 
+def key_set(df: DataFrame, names: Sequence[str], spread: int = 32) -> DataFrame:
+    """The keys of ``df`` as the right side of a semi or anti join.
+
+    Each key is kept up to ``spread`` times, once per salt.  A plain
+    ``distinct`` would leave the keys grouped as the join wants them, without
+    a shuffle next to the join, and Spark splits an oversized partition of the
+    other side only between two shuffles.
+    """
+    salt = F.pmod(F.spark_partition_id(), F.lit(spread)).alias("__salt")
+    return df.select(*[column(name) for name in names], salt).distinct().drop("__salt")
+
+
 def fan_in(*frames: DataFrame) -> DataFrame:
     """Put the rows of several inputs under each other.
 

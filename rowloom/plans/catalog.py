@@ -987,8 +987,7 @@ def k2_batches(t: Tables) -> DataFrame:
     """,
 )
 def k2_batches_pandas(t: Tables) -> DataFrame:
-    def score(rows: list[dict]) -> pd.DataFrame:
-        frame = pd.DataFrame(rows)
+    def score(frame: pd.DataFrame) -> pd.DataFrame:
         frame["score"] = (frame["l_quantity"] * 0.3 + frame["l_tax"] * 0.7).round(4)
         return frame[["l_orderkey", "l_linenumber", "score"]]
 
@@ -997,6 +996,7 @@ def k2_batches_pandas(t: Tables) -> DataFrame:
         score,
         "l_orderkey bigint, l_linenumber int, score double",
         columns=["l_orderkey", "l_linenumber", "l_quantity", "l_tax"],
+        frames=True,
     )
 
 

@@ -15,7 +15,7 @@ def run_sink(df: DataFrame, function: Callable[[list[dict]], object]) -> None:
 
     def consume(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in to_dicts(batch):
+            for rows in to_dicts(batch.schema.names, batch.columns):
                 function(rows)
         return
         yield

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from rowloom.columns import any_null, column, name_list, require, require_columns
+from rowloom.operators.combine import key_set
 from rowloom.operators.transforms import deduplicate
 from rowloom.session import materialize
 
@@ -86,8 +87,7 @@ def upsert(
     require_columns(source, names, "upsert (source)")
     keyed, unkeyed = source.filter(~any_null(names)), source.filter(any_null(names))
     changes = deduplicate(keyed, names, order_by)
-    replaced = keyed.select(*[column(name) for name in names]).distinct()
-    kept = target.join(replaced, names, "left_anti")
+    kept = target.join(key_set(keyed, names), names, "left_anti")
     columns = [column(name) for name in target.columns]
     return kept.select(*columns).unionByName(changes.unionByName(unkeyed).select(*columns))
 

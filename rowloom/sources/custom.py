@@ -44,7 +44,7 @@ def custom_source(
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for specs in to_dicts(batch):
+                for specs in to_dicts(batch.schema.names, batch.columns):
                     for spec in specs:
                         yield from rows_of(spec)
 

@@ -117,6 +117,19 @@ class TestBatches:
         result = task_batches(nested, lambda rows: pd.DataFrame(rows)[["a", "f"]], "a bigint, f double")
         assert rows(result) == [(1, None), (None, 2.5)]
 
+    def test_frames(self, nested, rows):
+        result = task_batches(
+            nested, lambda frame: frame[["f"]].assign(n=len(frame)), "n int, f double", frames=True
+        )
+        assert sorted(row.f or 0 for row in result.collect()) == [0, 2.5]
+        assert task_batches(nested.select("f"), lambda frame: None, frames=True).count() == 2
+
+    def test_frame_columns_must_fit(self, spark, rows):
+        with pytest.raises(Exception, match="outside its schema"):
+            task_batches(spark.range(1), lambda frame: frame.assign(x=1), frames=True).collect()
+        result = task_batches(spark.range(1), lambda frame: frame, "id bigint, x int", frames=True)
+        assert rows(result) == [(0, None)]
+
     def test_batch_result(self, spark):
         result = task_batches(
             spark.range(4), lambda rows: BatchResult(rows[:1], warnings=["cut"]), "id bigint"

@@ -27,20 +27,20 @@ class TestGrammar:
             ("not_null(email)", rule("email", "not_null", {}, "block")),
             ("unique(id)", rule("id", "unique", {}, "block")),
             ("min(amount, 0)", rule("amount", "min", {"min": "0"}, "warn")),
-            ("max(amount, 1000000)", rule("amount", "max", {"max": "1000000"}, "warn")),
-            ("range(score, 0, 100)", rule("score", "range", {"min": "0", "max": "100"}, "warn")),
-            ("row_count(min=100)", rule("", "row_count", {"min": "100"}, "block")),
+            ("max(amount, 75.5)", rule("amount", "max", {"max": "75.5"}, "warn")),
+            ("range(share, -1, 1)", rule("share", "range", {"min": "-1", "max": "1"}, "warn")),
+            ("row_count(min=7)", rule("", "row_count", {"min": "7"}, "block")),
             (
-                "row_count(min=1, max=10000)",
-                rule("", "row_count", {"min": "1", "max": "10000"}, "block"),
+                "row_count(min=2, max=90)",
+                rule("", "row_count", {"min": "2", "max": "90"}, "block"),
             ),
             ("row_count()", rule("", "row_count", {}, "block")),
             (
-                "freshness(updated_at, max_hours=24)",
-                rule("updated_at", "freshness", {"max_hours": "24"}, "warn"),
+                "freshness(seen, max_hours=1.5)",
+                rule("seen", "freshness", {"max_hours": "1.5"}, "warn"),
             ),
-            ("freshness(updated_at)", rule("updated_at", "freshness", {}, "warn")),
-            (r"regex(email, .*@.*\..*)", rule("email", "regex", {"pattern": r".*@.*\..*"}, "warn")),
+            ("freshness(seen)", rule("seen", "freshness", {}, "warn")),
+            (r"regex(code, ^[A-Z]+\d$)", rule("code", "regex", {"pattern": r"^[A-Z]+\d$"}, "warn")),
             ("regex(c, a{1,3})", rule("c", "regex", {"pattern": "a{1,3}"}, "warn")),
             ("regex(c, a, b)", rule("c", "regex", {"pattern": "a, b"}, "warn")),
             ("regex(c, (x))", rule("c", "regex", {"pattern": "(x)"}, "warn")),

@@ -50,7 +50,7 @@ class TestRename:
 
 class TestRenameRule:
     def test_mapping_is_kept(self):
-        rule = {"type": "rename", "mapping": {"hire_date": "start_date"}}
+        rule = {"type": "rename", "mapping": {"o_orderdate": "ordered_on"}}
         assert parse_rule(rule) == rule
 
     def test_alias_type(self):
@@ -58,9 +58,9 @@ class TestRenameRule:
         assert parse_rule(rule)["mapping"] == {"x": "y"}
 
     def test_shorthand(self):
-        assert parse_rule({"type": "rename", "from": "ts", "to": "event_time"}) == {
+        assert parse_rule({"type": "rename", "from": "l_tax", "to": "tax"}) == {
             "type": "rename",
-            "mapping": {"ts": "event_time"},
+            "mapping": {"l_tax": "tax"},
         }
 
     def test_input_is_not_changed(self):
