@@ -20,9 +20,9 @@ def missing_run_dates(
 ) -> DataFrame:
     """The dates between ``start`` and ``end`` (inclusive) without rows.
 
-    Bounds that are not given are the first and last date present.  The target
-    is reduced to its distinct dates before the shuffle; partition columns make
-    that a listing.  Output: ``run_date``.
+    Bounds that are not given are the first and last date present.  Only the
+    date column of the target is read, and reduced to its distinct dates before
+    the shuffle.  Output: ``run_date``.
     """
     require_columns(target, [date_column], "missing_run_dates")
     day = column(date_column).cast("date")

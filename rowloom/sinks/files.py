@@ -32,13 +32,13 @@ def write_file(
     CSV gets a header line and doubles quotes inside fields; text formats keep
     microseconds.  Reading a CSV turns empty text into NULL, unless both sides
     name another marker, as in ``options={"nullValue": "\\N"}``.
-    ``compress`` is a codec such as ``gzip`` or ``snappy``.  ``mode`` is Spark's (error, append, overwrite, ignore);
-    overwriting together with ``partition_by`` replaces only the partitions
-    that occur in ``df``, which makes a repeated run harmless.  Rows bound for
-    partition folders are first rebalanced by them, so that not every task
-    writes a small file into every folder; adaptive execution splits a folder
-    that gets a large share of the rows over several tasks.  Otherwise rows are
-    written where they lie.
+    ``compress`` is a codec such as ``gzip`` or ``snappy``.  ``mode`` is Spark's
+    (error, append, overwrite, ignore); overwriting together with
+    ``partition_by`` replaces only the partitions that occur in ``df``, which
+    makes a repeated run harmless.  Rows bound for partition folders are first
+    rebalanced by them, so that not every task writes a small file into every
+    folder; adaptive execution splits a folder that gets a large share of the
+    rows over several tasks.  Otherwise rows are written where they lie.
     """
     require(path, "write_file: needs a path")
     if format not in SINK_FORMATS:
