@@ -21,8 +21,10 @@ from rowloom.columns import (
 )
 
 # A CASE chain is evaluated branch by branch and ends up in generated code, so
-# larger replacement mappings are looked up in a broadcast table instead.
+# larger replacement mappings become a lookup table.  That is broadcast while the
+# number of entries proves it small, and joined like any other table beyond.
 MAX_CASE_BRANCHES = 64
+MAX_BROADCAST_ENTRIES = 100_000
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -71,8 +73,8 @@ def replace_values(df: DataFrame, column_name: str, mapping: Mapping) -> DataFra
     chain.  Keys are cast to the column's type; a ``None`` key matches NULL.
     The column keeps its type unless a replacement is text and the column is
     not: then the result is a string column.  Up to ``MAX_CASE_BRANCHES``
-    entries become one CASE expression; a longer mapping becomes a lookup
-    table that is broadcast, its size being that of the rule itself.
+    entries become one CASE expression, a longer mapping a lookup table, which
+    is broadcast up to ``MAX_BROADCAST_ENTRIES``.
     """
     require_columns(df, [column_name], "replace_values")
     require(mapping, "replace_values: needs a non-empty mapping {old: new}")
@@ -102,7 +104,9 @@ def replace_values(df: DataFrame, column_name: str, mapping: Mapping) -> DataFra
         F.col("__new").cast(result_type).alias("__new"),
         F.lit(True).alias("__hit"),
     )
-    joined = df.join(F.broadcast(lookup), current.eqNullSafe(F.col("__old")), "left")
+    if len(entries) <= MAX_BROADCAST_ENTRIES:
+        lookup = F.broadcast(lookup)
+    joined = df.join(lookup, current.eqNullSafe(F.col("__old")), "left")
     value = F.when(F.col("__hit"), F.col("__new")).otherwise(current.cast(result_type))
     return joined.select(
         *[value.alias(name) if name == column_name else column(name) for name in df.columns]
@@ -147,11 +151,17 @@ def deduplicate(
 ) -> DataFrame:
     """Keep one row per key, or one of each distinct row without keys.
 
-    Without ``order_by`` any row of a key may survive.  With it the first row
-    in that order survives (names sort ascending, nulls last), and the choice
-    is repeatable as long as the order has no ties.  Either way a key's rows
-    are cut down inside each input partition before the shuffle, so a key that
-    holds a large share of the table does not end up in one task.
+    With ``order_by`` the first row of a key in that order survives (names sort
+    ascending, nulls last; pass a ``Column`` such as ``col.desc()`` for other
+    orders).  Ties, and keys without an order, go to the row whose remaining
+    columns are smallest, so the choice is repeatable; only orders given as
+    ``Column`` and rows holding maps leave ties open.
+
+    The row is found by an aggregate (the minimum of a struct) or a ranking
+    window.  Both cut a key down to one row inside each input partition before
+    the shuffle, so a key that holds a large share of the table does not end
+    up in one task.  The aggregate sorts by the key only, which makes it the
+    faster of the two.
 
     A stream needs a watermark: duplicates are then dropped within it.
     """
@@ -161,10 +171,16 @@ def deduplicate(
         if order_by is not None:
             require_batch(df, "deduplicate with order_by", "use foreachBatch")
         return df.dropDuplicatesWithinWatermark(names or df.columns)
-    if order_by is None:
-        return df.dropDuplicates(names) if names else df.distinct()
-    require(names, "deduplicate: order_by needs key columns")
-    wanted = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
+    wanted = [order_by] if isinstance(order_by, (str, Column)) else list(order_by or [])
+    if wanted and not names:
+        raise ValueError("deduplicate: order_by needs key columns")
+    if not names or set(names) == set(df.columns):
+        return df.distinct()
+    by_name = all(isinstance(item, str) for item in wanted)
+    if by_name and all(_orderable(field.dataType) for field in df.schema):
+        return _smallest_row(df, names, wanted)
+    if not wanted:
+        return df.dropDuplicates(names)
     order = [_nulls_last(item) if isinstance(item, str) else item for item in wanted]
     window = Window.partitionBy(*[column(name) for name in names]).orderBy(*order)
     return (
@@ -174,6 +190,34 @@ def deduplicate(
     )
 
 
+def _smallest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    require_columns(df, order, "deduplicate (order_by)")
+    others = [name for name in df.columns if name not in keys]
+    ranks = [
+        part.alias(f"r{index}_{place}")
+        for index, name in enumerate(order)
+        for place, part in enumerate((column(name).isNull(), column(name)))
+    ]
+    row = F.struct(*[column(name) for name in others]).alias("row")
+    best = df.groupBy(*[column(name) for name in keys]).agg(
+        F.min(F.struct(*ranks, row)).alias("__best")
+    )
+    return best.select(
+        *[
+            column(name) if name in keys else F.col("__best")["row"][name].alias(name)
+            for name in df.columns
+        ]
+    )
+
+
+def _orderable(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return all(_orderable(field.dataType) for field in data_type)
+    if isinstance(data_type, T.ArrayType):
+        return _orderable(data_type.elementType)
+    return isinstance(data_type, T.AtomicType) and not isinstance(data_type, T.VariantType)
+
+
 _AGGREGATES: dict[str, Callable[[Column], Column]] = {
     "sum": F.sum,
     "avg": F.avg,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -191,4 +192,10 @@ def ingest_leads(
     ingest_new_files(
         spark, incoming, LEAD_SCHEMA, take, checkpoint, format="csv", transform=clean_leads
     )
-    return spark.read.schema(LEAD_SCHEMA + ", batch bigint").parquet(table)
+    stored = LEAD_SCHEMA + ", batch bigint"
+    try:
+        return spark.read.schema(stored).parquet(table)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], stored)

@@ -202,6 +202,28 @@ class TestJobs:
         with pytest.raises(Exception, match="got 1 leads"):
             jobs.ingest_leads(spark, str(incoming), *paths, lambda rows: None)
 
+    def test_leads_arrive_in_batches(self, spark, tmp_path):
+        incoming, outbox = tmp_path / "in", tmp_path / "outbox"
+        for folder in (incoming, outbox):
+            folder.mkdir()
+        target = str(outbox)
+
+        def push(rows):
+            for row in rows:
+                with open(os.path.join(target, row["email"]), "w") as out:
+                    json.dump(row, out)
+
+        def run():
+            paths = [str(tmp_path / name) for name in ("table", "mark")]
+            return jobs.ingest_leads(spark, str(incoming), *paths, push, minimum=2)
+
+        assert run().count() == 0
+        (incoming / "a.csv").write_text("email,name,phone\na@b.c,a,1\nB@b.c,b,2\nbad,c,3\n")
+        assert run().count() == 2 and run().count() == 2
+        (incoming / "b.csv").write_text("email,name,phone\nx@b.c,x,1\ny@b.c,y,2\n")
+        assert sorted(row.batch for row in run().collect()) == [0, 0, 1, 1]
+        assert sorted(os.listdir(target)) == ["a@b.c", "b@b.c", "x@b.c", "y@b.c"]
+
     def test_customer_360(self, spark, rows):
         customers = spark.createDataFrame(
             [(1, "a", "S"), (2, "b", "S"), (3, "c", "T")],

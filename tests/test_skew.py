@@ -91,6 +91,7 @@ def test_grouped_operators_condense_before_the_shuffle(spark):
     for result in (
         deduplicate(df, "k"),
         deduplicate(df, "k", order_by="t_k"),
+        deduplicate(df, "k", order_by=F.col("t_k").desc()),
         quality_report(df, ["unique(k)"]),
     ):
         plan = result._jdf.queryExecution().executedPlan().toString()

@@ -171,6 +171,14 @@ class TestReplace:
         assert rows(result) == expected
         assert result.schema == df.schema
 
+    def test_very_long_mapping_is_not_broadcast(self, spark, monkeypatch):
+        monkeypatch.setattr("rowloom.operators.transforms.MAX_BROADCAST_ENTRIES", 80)
+        df = spark.range(200)
+        result = replace_values(df, "id", {n: -n for n in range(100)})
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert result.agg(F.sum("id")).first()[0] == sum(range(100, 200)) - sum(range(100))
+
     def test_long_mapping_null_key(self, spark, rows):
         df = spark.createDataFrame([("1",), (None,)], "v string")
         mapping = {None: "none", **{str(n): f"n{n}" for n in range(100)}}
@@ -232,8 +240,30 @@ class TestDeduplicate:
         result = deduplicate(events, ["k"], order_by=F.col("ord").desc_nulls_last())
         assert (1, 2, "late") in rows(result)
 
-    def test_any_survivor(self, events):
-        assert deduplicate(events, "k").count() == 3
+    def test_ties_are_settled(self, events, rows):
+        assert rows(deduplicate(events, "k")) == [(1, 1, "early"), (2, None, "x"), (None, 1, "n")]
+        tied = events.withColumn("ord", F.lit(0))
+        assert (1, 0, "early") in rows(deduplicate(tied, "k", order_by="ord"))
+
+    def test_order_by_missing_column(self, events):
+        with pytest.raises(ValueError, match="zzz"):
+            deduplicate(events, "k", order_by="zzz")
+
+    def test_odd_names(self, spark, rows):
+        df = spark.createDataFrame([(1, 2, 3), (1, 1, 9)], ["k.x", "o`y", "row"])
+        assert rows(deduplicate(df, "k.x", order_by="o`y")) == [(1, 1, 9)]
+
+    def test_maps_and_nested_rows(self, spark):
+        df = spark.sql(
+            "SELECT * FROM VALUES (1, map('a', 1), 2), (1, map('b', 2), 1) AS t(k, m, o)"
+        )
+        assert deduplicate(df, "k", order_by="o").first().m == {"b": 2}
+        assert deduplicate(df, "k").count() == 1
+        nested = df.selectExpr("k", "struct(o, array(o) AS l) AS s")
+        assert deduplicate(nested, "k").first().s.l == [1]
+
+    def test_schema_is_kept(self, events):
+        assert deduplicate(events, "v", order_by="ord").dtypes == events.dtypes
 
     def test_whole_rows(self, events):
         assert deduplicate(events.union(events)).count() == 5
@@ -243,8 +273,12 @@ class TestDeduplicate:
             deduplicate(events, order_by="ord")
 
     def test_partial_before_shuffle(self, events):
-        plan = deduplicate(events, "k", order_by="ord")._jdf.queryExecution().toString()
-        assert "Partial" in plan and "WindowGroupLimit" in plan
+        def plan(order):
+            return deduplicate(events, "k", order_by=order)._jdf.queryExecution().toString()
+
+        assert "partial_min" in plan("ord") and "partial_min" in plan(None)
+        ranked = plan(F.col("ord").desc())
+        assert "WindowGroupLimit" in ranked and "Partial" in ranked
 
 
 class TestAggregate:
