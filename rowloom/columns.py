@@ -45,12 +45,15 @@ def require_columns(df: DataFrame, names: Iterable[str], operator: str) -> None:
 
 
 def require_unique_names(names: Iterable[str], operator: str) -> None:
-    """Raise ``ValueError`` when an operator would produce two columns of one name."""
+    """Raise ``ValueError`` when an operator would produce two columns of one name.
+
+    Case does not tell names apart, as in Spark's default settings.
+    """
     seen: set[str] = set()
     for name in names:
-        if name in seen:
+        if name.lower() in seen:
             raise ValueError(f"{operator}: output would hold two columns named {name!r}")
-        seen.add(name)
+        seen.add(name.lower())
 
 
 def require_batch(df: DataFrame, operator: str, instead: str) -> None:

@@ -63,9 +63,8 @@ def join(
 
     shared = {name for name, other in keys if name == other}
     kept_right = [name for name in right.columns if name not in shared]
-    outputs = {
-        name: name + "_right" if name in left.columns else name for name in kept_right
-    }
+    taken = {name.lower() for name in left.columns}
+    outputs = {name: name + "_right" if name.lower() in taken else name for name in kept_right}
     require_unique_names([*left.columns, *outputs.values()], "join")
 
     # Fresh names on the right make self joins and collisions unambiguous.

@@ -279,6 +279,20 @@ def t6_sort(t: Tables) -> DataFrame:
     return sort(t.orders, ["o_totalprice", "o_orderkey"], [False, True])
 
 
+@query(
+    "t6_sort_top",
+    """
+    SELECT o_orderkey, o_totalprice,
+           row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position
+    FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100
+    """,
+)
+def t6_sort_top(t: Tables) -> DataFrame:
+    ordered = sort(t.orders, ["o_totalprice", "o_orderkey"], [False, True])
+    top = ordered.select("o_orderkey", "o_totalprice").limit(100)
+    return top.withColumn("position", F.monotonically_increasing_id() + 1)
+
+
 @query(
     "t7_dedup_keys",
     """
@@ -1269,11 +1283,15 @@ def r4_models(t: Tables) -> DataFrame:
     return models["report"]
 
 
+ORDER_YEARS = """(
+    SELECT DISTINCT year(o_orderdate) AS year FROM orders WHERE o_orderstatus != 'P')"""
+
+
 @query(
     "r5_model_test",
     _report_sql(
-        ("year", "unique", "block", "count(year) - count(DISTINCT year)", "(SELECT DISTINCT year(o_orderdate) AS year FROM orders WHERE o_orderstatus != 'P')"),
-        ("year", "not_null", "block", "0", "(SELECT DISTINCT year(o_orderdate) AS year FROM orders WHERE o_orderstatus != 'P')"),
+        ("year", "unique", "block", "count(year) - count(DISTINCT year)", ORDER_YEARS),
+        ("year", "not_null", "block", "0", ORDER_YEARS),
     ),
 )
 def r5_model_test(t: Tables) -> DataFrame:

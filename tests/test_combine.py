@@ -91,6 +91,12 @@ def test_self_join(spark, rows):
     assert rows(result) == [(1, 2, 2, 3), (2, 3, None, None), (None, None, 1, 2)]
 
 
+def test_names_differing_in_case_collide(spark):
+    a = spark.createDataFrame([(1, "x")], "k int, Name string")
+    b = spark.createDataFrame([(1, "y")], "k int, name string")
+    assert join(a, b, "k").columns == ["k", "Name", "name_right"]
+
+
 def test_nan_keys_match(spark, rows):
     nan = float("nan")
     a = spark.createDataFrame([(nan, 1), (1.0, 2)], "k double, v int")

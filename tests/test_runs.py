@@ -4,7 +4,6 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from rowloom import (
     ingest_new_files,
@@ -110,7 +109,9 @@ class TestModels:
         assert report.filter("passed").count() == 2
 
     def test_select(self, spark, raw):
-        assert list(sql_models(spark, self.MODELS, {"raw": raw}, select=["top"], values={"param.least": 1})) == ["top"]
+        values = {"param.least": 1}
+        models = sql_models(spark, self.MODELS, {"raw": raw}, select=["top"], values=values)
+        assert list(models) == ["top"]
 
     def test_rejected(self, spark, raw):
         with pytest.raises(ValueError):
@@ -241,7 +242,9 @@ class TestJobs:
 
     def test_empty_events_are_refused(self, spark):
         events = spark.createDataFrame(
-            [], "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+            [],
+            "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+            "value double, props string",
         )
         with pytest.raises(ValidationError, match="received 0 events"):
             jobs.load_events(events, lambda df: None)

@@ -10,14 +10,15 @@ from rowloom import deduplicate, join, quality_report, upsert, write_file
 
 @contextmanager
 def settings(spark, **values):
-    names = {name.replace("__", "."): value for name, value in values.items()}
+    names = {"spark.sql." + name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
     for name, value in names.items():
-        spark.conf.set(f"spark.sql.{name}", value)
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        for name in names:
-            spark.conf.unset(f"spark.sql.{name}")
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def small_splits(spark):

@@ -230,7 +230,8 @@ class TestQuery:
         assert self.one(spark, query) == "x"
 
     def test_values_cannot_change_the_statement(self, spark):
-        assert self.one(spark, "SELECT count(*) FROM {d} WHERE s = '{{ param.name }}'", d=spark.sql("SELECT 'y' AS s")) == 0
+        query = "SELECT count(*) FROM {d} WHERE s = '{{ param.name }}'"
+        assert self.one(spark, query, d=spark.sql("SELECT 'y' AS s")) == 0
 
     def test_frames_and_arguments(self, spark, rows):
         df = spark.createDataFrame([(1, 10), (1, 5), (2, 7)], "k int, v int")
