@@ -1254,6 +1254,37 @@ def r3_missing_dates(t: Tables) -> DataFrame:
     return missing_run_dates(urgent, "o_orderdate", "1995-01-01", "2001-12-31")
 
 
+@query(
+    "r3_backfill",
+    """
+    SELECT day, count(*) AS events, round(sum(value), 2) AS total,
+           CASE WHEN day IN (SELECT CAST(ts AS DATE) FROM events WHERE value > 300)
+                THEN 'first' ELSE 'backfill' END AS run
+    FROM (SELECT CAST(ts AS DATE) AS day, value FROM events) GROUP BY day
+    """,
+)
+def r3_backfill(t: Tables) -> DataFrame:
+    events = t.events.select(F.col("ts").cast("date").alias("day"), "value")
+    path = t.scratch("r3")
+
+    def load(days: DataFrame, key: str, run: str) -> None:
+        wanted = join(events, days, f"day={key}")
+        fields = [
+            {"column": "*", "function": "count", "alias": "events"},
+            {"column": "value", "function": "sum", "alias": "total"},
+        ]
+        daily = aggregate(wanted, "day", fields).withColumn("run", F.lit(run))
+        daily = add_column(daily, "total", "round(total, 2)")
+        write_file(daily, path, "parquet", mode="overwrite", partition_by="day")
+
+    busy = filter_rows(events, "value > 300").select(F.col("day").alias("busy_day")).distinct()
+    load(busy, "busy_day", "first")
+    schema = "events bigint, total double, run string, day date"
+    target = read_file(t.spark, path, "parquet", schema)
+    load(missing_run_dates(target, "day", "2024-01-01", "2024-01-30"), "run_date", "backfill")
+    return read_file(t.spark, path, "parquet", schema)
+
+
 MODELS = {
     "stg_orders": """
         SELECT o_orderkey, o_custkey, o_totalprice, year(o_orderdate) AS year FROM {orders}

@@ -69,7 +69,8 @@ def run_query(
 ) -> DataFrame:
     """A full SQL query over Spark tables, views and given DataFrames.
 
-    ``{name}`` in the text stands for the DataFrame passed as ``name=``.
+    ``{name}`` in the text stands for the DataFrame passed as ``name=``; other
+    braces, as in patterns, are plain text.
     ``{{ name }}`` stands for a run variable (see ``run_variables``).  It
     becomes a typed parameter, never part of the SQL text, so partition pruning
     sees a literal and a value cannot change the statement.  Quotes around it
@@ -104,4 +105,10 @@ def run_query(
         return f"CAST({value} AS {found['type']})" if found["type"] else value
 
     statement = _SQL_TOKEN.sub(rewrite, query)
+    if frames:
+        # Spark formats the text; only the names of frames may be braces to it.
+        names = "|".join(re.escape(name) for name in frames)
+        pieces = re.split(r"(\{(?:" + names + r")\})", statement)
+        pieces[::2] = [text.replace("{", "{{").replace("}", "}}") for text in pieces[::2]]
+        statement = "".join(pieces)
     return spark.sql(statement, args=bound or None, **frames)

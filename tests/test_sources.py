@@ -238,6 +238,11 @@ class TestQuery:
         query = "SELECT k, sum(v) AS s FROM {df} WHERE v > :least GROUP BY k"
         assert rows(run_query(spark, query, args={"least": 6}, df=df)) == [(1, 10), (2, 7)]
 
+    def test_other_braces_are_text(self, spark, rows):
+        df = spark.createDataFrame([("AAB",), ("AB",)], "s string")
+        assert rows(run_query(spark, "SELECT s FROM {df} WHERE s RLIKE '^A{2}'", df=df)) == [("AAB",)]
+        assert self.one(spark, "SELECT '{\"k\": {}}' AS j FROM {df}", df=df) == '{"k": {}}'
+
     def test_partition_pruning(self, spark, tmp_path):
         path = str(tmp_path / "days")
         df = spark.sql("SELECT explode(sequence(date '2024-01-10', date '2024-01-20')) AS day, 1 AS v")
