@@ -48,12 +48,13 @@ def join(
     either side, of an outer join only on the preserved side, and of a full
     join on neither.  An outer join is therefore planned as the inner join plus
     the unmatched rows (an anti join against the other side's keys), which may
-    be split everywhere; both read the same shuffle.  Rows with a
-    NULL key, often the most frequent one, are not shuffled at all.  Say
-    ``left_unique`` / ``right_unique`` when a side holds each key once: the
-    plain outer join is then safe and is what gets planned.  (If that side is
-    itself an aggregate by the same key and the other side is badly skewed,
-    pass it through ``materialize``, so that there is a shuffle to split.)
+    be split everywhere; both read the same shuffle.  Rows with a NULL key,
+    often the most frequent one, are not shuffled at all.  Say ``left_unique``
+    / ``right_unique`` when a side holds each key once (NULL aside): the plain
+    outer join is then safe and is what gets planned.  (If that side is itself
+    an aggregate by the same key and the other side is badly skewed, pass it
+    through ``materialize``, so that there is a shuffle to split.)  Streams get
+    Spark's own join.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"join: how must be one of {JOIN_TYPES}, not {how!r}")
@@ -92,13 +93,14 @@ def join(
             selected.append(value.alias(outputs[name]))
         return frame.select(*selected)
 
-    plain = (
+    safe = (
         how == "inner"
         or (how == "left" and right_unique)
         or (how == "right" and left_unique)
-        or (how == "full" and left_unique and right_unique)
+        or left.isStreaming
+        or right.isStreaming
     )
-    if plain:
+    if safe:
         key_from = "both" if how in ("inner", "left") else "either"
         return shape(left.join(other, condition, how), key_from)
 
@@ -106,14 +108,19 @@ def join(
     right_names = [inside[b] for _, b in keys]
     # The same filtered input on both uses of a side, so that its shuffle is reused.
     left_keyed, right_keyed = left.filter(~any_null(left_names)), other.filter(~any_null(right_names))
-    parts = [shape(left_keyed.join(right_keyed, condition, "inner"), "both")]
+    if how == "full" and left_unique and right_unique:
+        parts = [shape(left_keyed.join(right_keyed, condition, "full"), "either")]
+    else:
+        parts = [shape(left_keyed.join(right_keyed, condition, "inner"), "both")]
+        if how in ("left", "full"):
+            present = key_set(right_keyed, right_names)
+            parts.append(shape(left_keyed.join(present, condition, "left_anti"), "left"))
+        if how in ("right", "full"):
+            present = key_set(left_keyed, left_names)
+            parts.append(shape(right_keyed.join(present, condition, "left_anti"), "right"))
     if how in ("left", "full"):
-        present = key_set(right_keyed, right_names)
-        parts.append(shape(left_keyed.join(present, condition, "left_anti"), "left"))
         parts.append(shape(left.filter(any_null(left_names)), "left"))
     if how in ("right", "full"):
-        present = key_set(left_keyed, left_names)
-        parts.append(shape(right_keyed.join(present, condition, "left_anti"), "right"))
         parts.append(shape(other.filter(any_null(right_names)), "right"))
     return reduce(DataFrame.unionAll, parts)
 
