@@ -2,6 +2,8 @@ import logging
 from datetime import datetime, timedelta
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rowloom import (
@@ -81,24 +83,38 @@ class TestGrammar:
             parse_quality_rule(text)
         assert caught.value.rule == text.strip()
 
+    @given(
+        name=st.sampled_from(["min", "max", "range", "regex", "type_check"]),
+        column=st.from_regex(r"[a-z_]\w{0,8}", fullmatch=True),
+        values=st.lists(st.from_regex(r"-?\d{1,4}(\.\d)?", fullmatch=True), min_size=2, max_size=2),
+        pads=st.lists(st.sampled_from(["", " ", "\t"]), min_size=6, max_size=6),
+    )
+    def test_white_space_does_not_matter(self, name, column, values, pads):
+        used = values if name == "range" else values[:1]
+        parts = [pads[i] + part + pads[i + 1] for i, part in enumerate([column, *used])]
+        padded = f"{pads[4]}{name}({','.join(parts)}){pads[5]}"
+        parsed = parse_quality_rule(padded)
+        assert parsed == parse_quality_rule(f"{name}({', '.join([column, *used])})")
+        assert parsed["column"] == column and list(parsed["params"].values()) == used
+
     def test_dict_rules(self):
-        given = rule("name", "not_null", {}, "warn")
-        parsed = parse_quality_rule(given)
-        assert parsed == given and parsed is not given
+        full = rule("name", "not_null", {}, "warn")
+        parsed = parse_quality_rule(full)
+        assert parsed == full and parsed is not full
         assert parse_quality_rule({"column": "a", "rule": "unique"})["on_failure"] == "block"
 
     @pytest.mark.parametrize(
-        "given",
+        "bad",
         [{"rule": "nope"}, {"rule": "not_null"}, {"rule": "min", "column": "a"}, {}],
     )
-    def test_bad_dict_rules(self, given):
+    def test_bad_dict_rules(self, bad):
         with pytest.raises(RuleError):
-            parse_quality_rule(given)
+            parse_quality_rule(bad)
 
-    @pytest.mark.parametrize("given", [1, None, ["not_null(a)"]])
-    def test_other_kinds(self, given):
+    @pytest.mark.parametrize("other", [1, None, ["not_null(a)"]])
+    def test_other_kinds(self, other):
         with pytest.raises(TypeError):
-            parse_quality_rule(given)
+            parse_quality_rule(other)
 
     def test_no_rules(self):
         with pytest.raises(ValueError):

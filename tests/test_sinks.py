@@ -21,13 +21,17 @@ from rowloom import (
 from rowloom.session import new_path, shared_dir
 from rowloom.sinks.database import upsert_statement
 
-SCHEMA = "id bigint, text string, t timestamp_ntz, x double"
+SCHEMA = "id bigint, text string, t timestamp_ntz, z timestamp, x double"
 
 
 @pytest.fixture
 def data(spark):
     moment = datetime(2024, 1, 1, 1, 2, 3, 456789)
-    rows = [(1, 'a "quoted", text', moment, 1.5), (2, "", moment, None), (3, None, None, -0.1)]
+    rows = [
+        (1, 'a "quoted", text', moment, moment, 1.5),
+        (2, "", moment, None, None),
+        (3, None, None, moment, -0.1),
+    ]
     return spark.createDataFrame(rows, SCHEMA)
 
 
