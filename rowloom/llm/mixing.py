@@ -71,7 +71,7 @@ def mix_sources(
     weights: Sequence[float] = (5, 2, 1),
     share: float = 1.5,
     most: float = 2.0,
-    piece: int = 5_000,
+    piece: int = 2_000,
 ) -> DataFrame:
     """Return doc_id, source, size, source_size, target and taken, one row per document.
 

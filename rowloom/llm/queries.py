@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowloom.llm import exact_dedup, line_dedup, mixing, url_filter
+from rowloom.llm import bpe, exact_dedup, line_dedup, mixing, repetition, url_filter
 
 RULES = [
     ("allow", "com/"),
@@ -23,6 +24,18 @@ def pages(spark, folder):
     return spark.read.parquet(f"{folder}/pages.parquet")
 
 
+def op1_repetition(spark, folder):
+    judged = repetition.judge_repetition(documents(spark, folder))
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select(*base, "base_failed", "kept", "covered_words")
+
+
+def op4_bpe(spark, folder):
+    found = bpe.encode_documents(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+    digest = F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), digest)
+
+
 def op2_line_dedup(spark, folder):
     found = line_dedup.drop_shared_lines(documents(spark, folder))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -43,13 +56,45 @@ def op10_url_filter(spark, folder):
 
 
 QUERIES = {
+    "op1_repetition": op1_repetition,
     "op2_line_dedup": op2_line_dedup,
+    "op4_bpe": op4_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_mixing": op8_mixing,
     "op10_url_filter": op10_url_filter,
 }
 
 ORACLE = {
+    "op1_repetition": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+        ), starts AS (
+            SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM t
+        ), windows AS (
+            SELECT doc_id, k, i, count(*) OVER (PARTITION BY doc_id, k, array_to_string(words[i:i + k - 1], ' ')) AS n
+            FROM starts, (VALUES (3), (8), (51)) AS sizes(k) WHERE i + k - 1 <= len(words)
+        ), places AS (
+            SELECT DISTINCT doc_id, k, unnest(range(i, i + k)) AS place FROM windows WHERE n > 1
+        ), repeats AS (
+            SELECT doc_id, count(*) FILTER (WHERE k = 3) AS n_repeat_words, count(*) FILTER (WHERE k = 8) AS covered_words,
+                   count(*) FILTER (WHERE k = 51) AS too_long
+            FROM places GROUP BY doc_id
+        ), lines AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t
+        ), dup AS (
+            SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
+            WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+        ), measured AS (
+            SELECT t.doc_id, len(words) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(covered_words, 0) AS covered_words, coalesce(too_long, 0) AS too_long
+            FROM t LEFT JOIN repeats USING (doc_id) LEFT JOIN dup USING (doc_id)
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words,
+               n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * covered_words > 45 * n_words OR too_long > 0) AS kept
+        FROM measured
+    """,
     "op2_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
