@@ -68,11 +68,19 @@ ORACLE = {
     "op1_repetition": r"""
         WITH t AS (
             SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
-        ), starts AS (
-            SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM t
+        ), g1 AS (
+            SELECT doc_id, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS i, len(words) AS size FROM t
+        ), g2 AS (SELECT *, hash(w, lead(w) OVER d) AS h2, lead(w, 2) OVER d AS third FROM g1 WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+        ), g4 AS (SELECT *, hash(h2, third) AS h3, hash(h2, lead(h2, 2) OVER d) AS h4 FROM g2 WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+        ), g8 AS (SELECT *, hash(h4, lead(h4, 4) OVER d) AS h8 FROM g4 WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+        ), g16 AS (SELECT *, hash(h8, lead(h8, 8) OVER d) AS h16 FROM g8 WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+        ), g32 AS (SELECT *, hash(h16, lead(h16, 16) OVER d) AS h32 FROM g16 WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+        ), g51 AS (
+            SELECT *, hash(h32, lead(h16, 32) OVER d, lead(h3, 48) OVER d) AS h51 FROM g32 WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+        ), sized AS (
+            SELECT doc_id, i, size, unnest([3, 8, 51]) AS k, unnest([h3, h8, h51]) AS h FROM g51
         ), windows AS (
-            SELECT doc_id, k, i, count(*) OVER (PARTITION BY doc_id, k, array_to_string(words[i:i + k - 1], ' ')) AS n
-            FROM starts, (VALUES (3), (8), (51)) AS sizes(k) WHERE i + k - 1 <= len(words)
+            SELECT doc_id, k, i, count(*) OVER (PARTITION BY doc_id, k, h) AS n FROM sized WHERE i + k - 1 <= size
         ), places AS (
             SELECT DISTINCT doc_id, k, unnest(range(i, i + k)) AS place FROM windows WHERE n > 1
         ), repeats AS (
