@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowloom.llm import bpe, exact_dedup, line_dedup, mixing, repetition, url_filter
+from rowloom.llm import bpe, exact_dedup, line_dedup, lm, mixing, repetition, url_filter
 
 RULES = [
     ("allow", "com/"),
@@ -30,6 +30,12 @@ def op1_repetition(spark, folder):
     return judged.select(*base, "base_failed", "kept", "covered_words")
 
 
+def op3_lm(spark, folder):
+    scored = lm.score_texts(documents(spark, folder), order=2)
+    held_out = (~F.col("learned")).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_bpe(spark, folder):
     found = bpe.encode_documents(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
     digest = F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
@@ -58,6 +64,7 @@ def op10_url_filter(spark, folder):
 QUERIES = {
     "op1_repetition": op1_repetition,
     "op2_line_dedup": op2_line_dedup,
+    "op3_lm": op3_lm,
     "op4_bpe": op4_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_mixing": op8_mixing,
