@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowloom.llm import bpe, exact_dedup, line_dedup, lm, mixing, repetition, url_filter
+from rowloom.llm import bpe, exact_dedup, line_dedup, lm, mixing, repetition, toxicity, url_filter
 
 RULES = [
     ("allow", "com/"),
@@ -57,6 +57,11 @@ def op8_mixing(spark, folder):
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_toxicity(spark, folder):
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.score_toxicity(documents(spark, folder), labels)
+
+
 def op10_url_filter(spark, folder):
     return url_filter.judge_urls(pages(spark, folder), RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -68,6 +73,7 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_mixing": op8_mixing,
+    "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
 }
 
