@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowloom.llm import bpe, exact_dedup, line_dedup, lm, mixing, repetition, toxicity, url_filter
+from rowloom.llm import bpe, exact_dedup, html_wrappers, jaccard, line_dedup, lm, mixing, repetition, toxicity, url_filter
 
 RULES = [
     ("allow", "com/"),
@@ -52,6 +52,15 @@ def op5_exact_dedup(spark, folder):
     return marks.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op6_jaccard(spark, folder):
+    return jaccard.similar_documents(documents(spark, folder), threshold=0.8)
+
+
+def op7_html(spark, folder):
+    found = html_wrappers.extract_text(pages(spark, folder))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_mixing(spark, folder):
     mix = mixing.mix_sources(documents(spark, folder), weights=(5, 2, 1), share=1.5, most=2.0)
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -72,6 +81,8 @@ QUERIES = {
     "op3_lm": op3_lm,
     "op4_bpe": op4_bpe,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_jaccard": op6_jaccard,
+    "op7_html": op7_html,
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
