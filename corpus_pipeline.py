@@ -1,24 +1,58 @@
-"""The corpus pipeline: operators one after another, each reading what its predecessor wrote."""
+"""The corpus pipeline: operators one after another, each reading what its predecessor wrote.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame.  All but the
+last return the columns of ``docs``.  NULL texts, empty tables and repeated
+rows are handled as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowloom.llm import exact_dedup, mixing
+from rowloom.llm import bpe, exact_dedup, jaccard, mixing, repetition
+from rowloom.llm.common import free_names
 from rowloom.session import materialize
 
+#: The tokenizer file of the last stage.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the repetition rules reject go."""
+    return repetition.drop_repetitive(docs)
+
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
     return exact_dedup.drop_copies(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the smallest id stays."""
+    return jaccard.drop_similar(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources are brought to their target weights; repeated epochs repeat documents."""
+    """Sources are brought to their target weights; a document is repeated for each epoch that takes from it."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("exact_dedup", exact), ("mixing", mix)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts become token ids; the decoded text is kept as its digest."""
+    (name,) = free_names(docs, "tokens_")
+    rows = docs.withColumn(name, bpe.tokens("text", VOCABULARY))
+    return rows.select(
+        "doc_id",
+        "source",
+        (F.octet_length(f"{name}.ids") / 4).cast("long").alias("n_tokens"),
+        F.col(f"{name}.ids").alias("token_ids"),
+        F.sha2(F.col(f"{name}.decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [("quality_rules", quality), ("exact_dedup", exact), ("jaccard_join", near), ("mixing", mix), ("bpe_encoding", encode)]
 ORACLE_SQL = None
 
 
