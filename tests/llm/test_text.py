@@ -1,0 +1,205 @@
+"""Repetition, language-model scores, byte-pair encoding and toxicity."""
+
+import binascii
+import collections
+import math
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from rowloom.llm import bpe, lm, repetition, toxicity
+
+from helpers import AWKWARD, awkward, words  # noqa: I001
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def deepest_by_hand(text):
+    w = text.split()
+    found = [0] * len(w)
+    for i in range(len(w)):
+        for j in range(len(w)):
+            k = 0
+            while i != j and max(i, j) + k < len(w) and w[i + k] == w[j + k]:
+                k += 1
+            found[i] = max(found[i], k)
+    return found
+
+
+def test_repeats_by_hand():
+    rng = random.Random(1)
+    for _ in range(60):
+        texts = [b" ".join(bytes([97 + rng.randrange(rng.choice([1, 2, 4]))]) for _ in range(rng.choice([0, 1, 5, 40]))) for _ in range(5)]
+        found = repetition.measure(texts, 4)
+        for place, text in enumerate(texts):
+            depths = deepest_by_hand(text)
+            wide = {p for i, d in enumerate(depths) if d >= 4 for p in range(i, i + d)}
+            three = {p for i, d in enumerate(depths) if d >= 3 for p in range(i, i + 3)}
+            assert found["longest_repeat"][place] == max(depths, default=0)
+            assert found["covered_words"][place] == len(wide) == sum(b - a for a, b in found["spans"][place])
+            assert found["n_repeat_words"][place] == len(three)
+
+
+def test_repetition_awkward(spark):
+    docs = awkward(spark, [*AWKWARD, (20, words(70) + " " + words(70)), (21, words(200) + " " + words(8)), (22, "# a\n# a\n\n \n# b")])
+    got = {r.doc_id: r for r in repetition.judge_repetition(docs).collect()}
+    assert got[1].n_words == got[2].n_words == 0 and got[1].base_failed and not got[1].kept
+    assert got[4].kept and got[6].kept and got[6].n_words == 30_000
+    assert not got[20].kept and got[20].longest_repeat == 70
+    assert got[21].kept and got[21].covered_words == 16 and got[21].spans == [[0, 8], [200, 208]]
+    assert (got[22].n_symbols, got[22].n_dup_lines, got[22].word_chars) == (3, 1, 6)
+    assert (got[8].n_words, got[8].word_chars) == (3, 1 + 2 + 13)
+    kept = repetition.drop_repetitive(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [4, 5, 6, 21]
+    assert repetition.judge_repetition(awkward(spark, [])).collect() == []
+
+
+def scores_by_hand(rows, order, prior, discount):
+    tokens = [[b"<s>", *(t or "").encode().lower().split(), b"</s>"] for _, t in rows]
+    learn = [i is None or binascii.crc32(str(i).encode()) % 5 != 1 for i, _ in rows]
+    counts = collections.Counter(tuple(t[a : a + k]) for t, use in zip(tokens, learn, strict=True) if use for k in range(1, order + 1) for a in range(len(t) - k + 1))
+    uni = {g[0]: c for g, c in counts.items() if len(g) == 1 and g[0] != b"<s>"}
+    n, v = sum(uni.values()), len(uni)
+
+    def chance(history, word):
+        if not history:
+            return (uni[word] - discount) / n if word in uni else (discount * v / n if n else 1.0)
+        below = chance(history[1:], word)
+        return (counts[(*history, word)] + prior * below) / (counts[history] + prior) if counts[history] else below
+
+    result = []
+    for (i, _), t, use in zip(rows, tokens, learn, strict=True):
+        score = sum(math.log10(chance(tuple(t[max(0, a - order + 1) : a]), t[a])) for a in range(1, len(t)))
+        base = sum(math.log10((uni.get(w, 0) + 0.5) / (n + 0.5 * (v + 1))) for w in t[1:])
+        result.append((i, use, len(t) - 1, sum(w in uni for w in t[1:]), n, base, score))
+    return sorted(result, key=repr)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores_by_hand(spark, rows, order):
+    rng = random.Random(order)
+    texts = [*AWKWARD[:8], *((i, " ".join(rng.choice("aBcde") for _ in range(rng.randrange(30)))) for i in range(20, 60))]
+    got = rows(lm.score_texts(awkward(spark, texts), order=order, prior=2.0, discount=0.5, block_bytes=200))
+    wanted = scores_by_hand(texts, order, 2.0, 0.5)
+    assert [r[:5] for r in got] == [r[:5] for r in wanted]
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in wanted])
+
+
+def test_scores_without_learning_texts(spark):
+    got = lm.score_texts(awkward(spark, [(1, "a b"), (2, None)]), learn=F.lit(False)).collect()
+    assert sorted((r.n_tokens, r.n_known, r.score) for r in got) == [(1, 0, 0.0), (3, 0, 0.0)]
+    assert lm.score_texts(awkward(spark, [])).collect() == []
+
+
+def test_unknown_and_known_words_sum_to_one():
+    grams = lm.Grams([b"a b a c", b"a b"], 2)
+    counts = grams.by_order(grams.counts(np.array([True, True]))[:])
+    model = lm.BackoffAutomaton(grams, counts, 8, 3.0, 0.5)
+    words_ = [k for k in range(1, len(grams.keys[0]))]
+    unknown = 0.5 * len(words_) / 8
+    assert math.isclose(sum(10 ** model.arcs[0][k] for k in words_) + unknown, 1)
+    for history in (2, 3):  # after "a" and after "b"
+        arcs = {int(s): 10 ** model.arcs[1][g] for g, (h, s) in enumerate(zip(grams.history[1], grams.suffix[1], strict=True)) if h == history}
+        fail = 10 ** model.fails[0][history]
+        rest = sum(10 ** model.arcs[0][k] for k in words_ if k not in arcs) + unknown
+        assert math.isclose(sum(arcs.values()) + fail * rest, 1)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def flat(encoder, text):
+    return [i for part in encoder.encode(text) for i in part]
+
+
+def test_bpe_equals_the_library(library):
+    encoder, rng = bpe.encoder(PATH), random.Random(3)
+    texts = ["", " \n\t ", "<|endoftext|>a<|startoftext|>", "ΑΣ İ e\u0301 <|ENDOFTEXT|>", "don't we'll 3.14 ###!!", "x" * 5000, "ab" * 40_000, "日本語 टेक्स्ट 🙂👍"]
+    texts += ["".join(rng.choice("abetinhors é'9#\n") for _ in range(rng.choice([5, 80, 900]))) for _ in range(200)]
+    texts += ["".join(chr(rng.choice([rng.randrange(32, 0x250), rng.randrange(0x250, 0x3000), rng.randrange(0x1F300, 0x1F600)])) for _ in range(40)) for _ in range(200)]
+    texts += [" ".join(words(9_000).split())]
+    for text in texts:
+        wanted = library.encode(text, add_special_tokens=False).ids
+        assert flat(encoder, text) == wanted
+        packed, decoded = bpe.encode_decode(text, encoder)
+        assert packed == np.array(wanted, "<u4").tobytes()
+        assert decoded == library.decode(wanted, skip_special_tokens=False)
+
+
+def test_lookahead_holds():
+    """Prefixes of a word agree with the word on every token that the lookahead calls final."""
+    vocabulary, rng = bpe.Vocabulary(PATH), random.Random(4)
+    for _ in range(60):
+        raw = "".join(rng.choice("aeinrst") for _ in range(1700)).encode()
+        full = bpe.merge([vocabulary.inner[b] for b in raw], vocabulary.merges)
+        cut = rng.randrange(vocabulary.lookahead, len(raw))
+        part, used = bpe.merge([vocabulary.inner[b] for b in raw[:cut]], vocabulary.merges), 0
+        for place, token in enumerate(part):
+            used += vocabulary.sizes[token]
+            if used > cut - vocabulary.lookahead:
+                break
+            assert full[place] == token
+
+
+def test_lookahead_of_a_small_list():
+    assert bpe.sufficient_lookahead([("a", "b"), ("c", "a"), ("d", "c")]) == 3
+    assert bpe.sufficient_lookahead([("a", "a")]) == 1
+
+
+def test_readable_decoding():
+    encoder = bpe.encoder(PATH)
+    for text in ("hello world", "día ü 日本 🙂"):
+        ids = flat(encoder, text)
+        machine = bpe.TextDecoder(encoder.vocabulary)
+        one_by_one = "".join(machine.feed([i]) for i in ids) + machine.finish()
+        assert one_by_one.replace(" ", "") == text.replace(" ", "")
+
+
+def test_bpe_awkward(spark, library):
+    docs = awkward(spark, AWKWARD)
+    got = bpe.encode_documents(docs, PATH).collect()
+    assert sorted(bytes(r.ids) for r in got) == sorted(np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for _, t in AWKWARD)
+    assert bpe.encode_documents(awkward(spark, []), PATH).collect() == []
+
+
+def toxic_table(spark, n=900):
+    rng, texts, labels = random.Random(5), [], []
+    for i in range(n):
+        text = [f"w{rng.randrange(300)}" for _ in range(rng.randrange(5, 60))]
+        if i % 8 == 0:
+            text.insert(rng.randrange(len(text)), rng.choice(["vilest", "nasty", "rotten"]) + rng.choice(["", "!", "er"]))
+        texts.append((i, " ".join(text)))
+        if i % 2 == 0:
+            labels.append((i, int(i % 8 == 0)))
+    return awkward(spark, [*texts, (None, "nasty"), (n, None), (n + 1, ""), (0, texts[0][1])]), spark.createDataFrame([*labels, (0, 0), (10**6, 1), (None, 1)], "doc_id long, toxic int")
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = toxic_table(spark)
+    got = toxicity.score_toxicity(docs, labels).collect()
+    assert len(got) == docs.count() and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+    held = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 900]
+    assert held and all(binascii.crc32(str(r.doc_id).encode()) % 5 == 0 for r in held)
+    right = sum(r.predicted == int(r.doc_id % 8 == 0) for r in held)
+    assert right >= 0.97 * len(held)
+
+
+def test_toxicity_ignores_held_out_labels(spark):
+    docs, labels = toxic_table(spark, 300)
+    told = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    flipped = labels.withColumn("toxic", F.when(told, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    one, two = (sorted((r.doc_id or -1, r.score) for r in toxicity.score_toxicity(docs, x).collect()) for x in (labels, flipped))
+    assert one == two
+
+
+def test_toxicity_without_labels(spark):
+    docs = awkward(spark, AWKWARD)
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert {r.predicted for r in toxicity.score_toxicity(docs, none).collect()} == {0}
+    assert toxicity.score_toxicity(awkward(spark, []), none).collect() == []
