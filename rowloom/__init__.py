@@ -1,8 +1,15 @@
 """Data-pipeline operators for Spark: plain functions on DataFrames."""
 
 from rowloom.errors import QualityError, RuleError, ValidationError
-from rowloom.functions.outcome import BatchResult, TaskOutcome
-from rowloom.functions.rows import filter_py, map_rows, task, task_batches, task_groups
+from rowloom.functions.outcome import Reporter, TaskOutcome
+from rowloom.functions.rows import (
+    filter_py,
+    map_rows,
+    reported_batches,
+    task,
+    task_batches,
+    task_groups,
+)
 from rowloom.operators.branching import branch
 from rowloom.operators.combine import fan_in, fan_out, join
 from rowloom.operators.history import missing_run_dates, snapshot
@@ -21,7 +28,7 @@ from rowloom.operators.transforms import (
     transform,
 )
 from rowloom.plans.models import sql_models
-from rowloom.session import materialize, ship_package
+from rowloom.session import materialize, release, ship_package, stages
 from rowloom.sinks.api import deliver, http_transport, render_requests
 from rowloom.sinks.custom import custom_sink
 from rowloom.sinks.database import migrate, write_db
@@ -34,8 +41,8 @@ from rowloom.sources.sql import render_text, run_query, run_variables
 from rowloom.streaming.ingest import ingest_new_files
 
 __all__ = [
-    "BatchResult",
     "QualityError",
+    "Reporter",
     "RuleError",
     "TaskOutcome",
     "ValidationError",
@@ -66,10 +73,12 @@ __all__ = [
     "quality_report",
     "read_db",
     "read_file",
+    "release",
     "rename",
     "render_requests",
     "render_text",
     "replace_values",
+    "reported_batches",
     "request_rows",
     "run_query",
     "run_variables",
@@ -78,6 +87,7 @@ __all__ = [
     "snapshot",
     "sort",
     "sql_models",
+    "stages",
     "task",
     "task_batches",
     "task_groups",

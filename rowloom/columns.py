@@ -14,6 +14,14 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(stem: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has, whatever its case."""
+    taken = {name.lower() for frame in frames for name in frame.columns}
+    while stem.lower() in taken:
+        stem = "_" + stem
+    return stem
+
+
 def any_null(names: Iterable[str]) -> Column:
     """True when at least one of the columns is NULL."""
     return reduce(lambda a, b: a | b, [column(name).isNull() for name in names])

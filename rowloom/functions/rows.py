@@ -7,9 +7,9 @@ closures and must be pure: Spark may run them again after a lost task.
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,16 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from rowloom.columns import column, name_list, require, require_columns
-from rowloom.functions.outcome import BatchResult
-
-log = logging.getLogger("rowloom.functions")
+from rowloom.columns import column, free_name, name_list, require, require_columns
+from rowloom.functions.outcome import Reporter, TaskOutcome
 
 # Rows turned into Python objects at a time.  Bounds the memory of a worker
 # when the texts in a batch are long; Arrow batches themselves are bounded by
 # spark.sql.execution.arrow.maxRecordsPerBatch.
 SLICE_ROWS = 2048
 
+# Pieces of one group that are merged at a time, and groups a task holds.
+MERGE_PIECES = 16
+HELD_PIECES = 10_000
+
 
 def as_struct_type(schema: str | T.StructType) -> T.StructType:
     """Accept a DDL string or a ``StructType``."""
@@ -70,12 +72,16 @@ def from_dicts(rows: Sequence[dict], schema: pa.Schema) -> Iterator[pa.RecordBat
 
 
 def from_frame(frame: pd.DataFrame, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Build Arrow batches from a pandas frame; NaN is NULL, columns as in ``from_dicts``."""
+    """Build Arrow batches from a pandas frame, columns as in ``from_dicts``.
+
+    NaN stays NaN in a float column of the frame that goes to a float column;
+    elsewhere what pandas takes as missing is NULL.
+    """
     unknown = set(frame.columns) - set(schema.names)
     if unknown:
         raise ValueError(f"result has columns outside its schema: {sorted(unknown)}")
     arrays = [
-        pa.array(frame[field.name], field.type, from_pandas=True)
+        _from_series(frame[field.name], field.type)
         if field.name in frame
         else pa.nulls(len(frame), field.type)
         for field in schema
@@ -84,6 +90,24 @@ def from_frame(frame: pd.DataFrame, schema: pa.Schema) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+def _from_series(values: pd.Series, kind: pa.DataType) -> pa.Array:
+    keeps_nan = pa.types.is_floating(kind) and isinstance(values.dtype, np.dtype) and values.dtype.kind == "f"
+    if keeps_nan:
+        return pa.array(values.to_numpy(), kind)
+    if pa.types.is_floating(kind) and values.dtype == object:
+        return pa.array(values.tolist(), kind)
+    return pa.array(values, kind, from_pandas=True)
+
+
+def to_frame(batch: pa.RecordBatch) -> pd.DataFrame:
+    """An Arrow batch as pandas; a float column with NULLs holds objects, so NULL and NaN stay apart."""
+    frame = batch.to_pandas(integer_object_nulls=True)
+    for name, values in zip(batch.schema.names, batch.columns):
+        if pa.types.is_floating(values.type) and values.null_count:
+            frame[name] = pd.Series(values.to_pylist(), dtype=object, index=frame.index)
+    return frame
+
+
 def _entries(value, data_type: pa.DataType):
     # Arrow builds a map column from pairs, Python code returns dicts.
     return list(value.items()) if pa.types.is_map(data_type) and isinstance(value, dict) else value
@@ -145,48 +169,100 @@ def task_batches(
 ) -> DataFrame:
     """K2: apply a row-independent function to lists of row dicts.
 
-    The function may return a list of dicts, a pandas DataFrame, a
-    ``BatchResult`` (its warnings and errors go to the worker log), or ``None``
+    The function may return a list of dicts, a pandas DataFrame, or ``None``
     to leave the batch as it is.  With ``frames=True`` it gets a pandas
-    DataFrame, which is much faster for vectorised code.  How rows fall into batches is not defined, so
-    the result must not depend on it; per-key logic is ``task_groups``, whole
-    dataset logic is ``task``.
+    DataFrame, which is much faster for vectorised code; NaN and NULL stay what
+    they are.  How rows fall into batches is not defined, so the result must
+    not depend on it; per-key logic is ``task_groups``, whole dataset logic is
+    ``task``, and functions that warn go through ``reported_batches``.
     """
-    names = name_list(columns)
-    require_columns(df, names, "task_batches")
-    source = df.select(*[column(name) for name in names]) if names else df
-    output = source.schema if schema is None else as_struct_type(schema)
+    source, output = _batch_input(df, columns, schema)
     arrow_schema = to_arrow_schema(output)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if frames:
-                inputs = [batch.to_pandas(integer_object_nulls=True)]
-            else:
-                inputs = to_dicts(batch.schema.names, batch.columns)
-            for rows in inputs:
-                result = function(rows)
-                if result is None:
-                    if frames:
-                        yield batch
-                        continue
-                    result = rows
-                if isinstance(result, BatchResult):
-                    _log(result)
-                    result = result.rows
-                if isinstance(result, pd.DataFrame):
-                    yield from from_frame(result, arrow_schema)
-                else:
-                    yield from from_dicts(BatchResult(result).to_rows(), arrow_schema)
+            for rows, untouched in _inputs(batch, frames):
+                yield from _outputs(function(rows), rows, untouched, arrow_schema)
 
     return source.mapInArrow(run, output)
 
 
-def _log(result: BatchResult) -> None:
-    for text in result.warnings:
-        log.warning("%s", text)
-    for text in result.errors:
-        log.error("%s", text)
+def reported_batches(
+    df: DataFrame,
+    function: Callable[[list[dict], Reporter], object],
+    schema: str | T.StructType | None = None,
+    columns: str | Sequence[str] | None = None,
+    *,
+    warnings: Sequence[str] = (),
+    errors: Sequence[str] = (),
+    sums: Sequence[str] = (),
+    frames: bool = False,
+) -> TaskOutcome:
+    """K2, K4: ``task_batches`` with a function that reports.
+
+    ``function(rows, reporter)`` may call ``reporter.warn``, ``error`` and
+    ``add`` with the texts and names declared here.  What it says leaves the
+    worker beside the rows and is summed up while the first action computes
+    them; a task that is repeated counts once.  Read it from the outcome.
+    """
+    source, output = _batch_input(df, columns, schema)
+    plain = to_arrow_schema(output)
+    is_row, reports = free_name("is_row", source), free_name("reports", source)
+    wide = T.StructType([*output.fields]).add(is_row, "boolean").add(
+        reports, T.ArrayType(T.DoubleType())
+    )
+    wide_schema = to_arrow_schema(wide)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        said = Reporter(warnings, errors, sums)
+        for batch in batches:
+            for rows, untouched in _inputs(batch, frames):
+                said.clear()
+                for part in _outputs(function(rows, said), rows, untouched, plain):
+                    flags = [pa.array([True] * part.num_rows), pa.nulls(part.num_rows, pa.list_(pa.float64()))]
+                    yield pa.RecordBatch.from_arrays([*part.columns, *flags], schema=wide_schema)
+                if any(said.values()):
+                    # A row of its own, as the function may have returned none.
+                    nothing = [pa.nulls(1, field.type) for field in plain]
+                    note = [pa.array([False]), pa.array([said.values()], pa.list_(pa.float64()))]
+                    yield pa.RecordBatch.from_arrays([*nothing, *note], schema=wide_schema)
+
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in wide])
+    made = source.mapInArrow(run, nullable)
+    shown = [column(field.name) for field in output]
+    return TaskOutcome.of_reports(
+        made, column(reports), column(is_row), shown, list(warnings), list(errors), list(sums)
+    )
+
+
+def _batch_input(df: DataFrame, columns, schema) -> tuple[DataFrame, T.StructType]:
+    names = name_list(columns)
+    require_columns(df, names, "task_batches")
+    source = df.select(*[column(name) for name in names]) if names else df
+    return source, source.schema if schema is None else as_struct_type(schema)
+
+
+def _inputs(batch: pa.RecordBatch, frames: bool) -> Iterator[tuple[object, pa.RecordBatch | None]]:
+    """What a batch function gets, and the batch that stands for it if it is whole."""
+    if frames:
+        yield to_frame(batch), batch
+    else:
+        for rows in to_dicts(batch.schema.names, batch.columns):
+            yield rows, None
+
+
+def _outputs(result, rows, untouched: pa.RecordBatch | None, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """What a batch function returned, as Arrow batches."""
+    if result is None and untouched is not None:
+        yield untouched
+        return
+    result = rows if result is None else result
+    if isinstance(result, pd.DataFrame):
+        yield from from_frame(result, schema)
+    elif isinstance(result, list):
+        yield from from_dicts(result, schema)
+    else:
+        raise TypeError(f"a batch function returns dicts or a pandas frame, not {type(result).__name__}")
 
 
 def task(df: DataFrame, function: Callable[[DataFrame], DataFrame | None]) -> DataFrame:
@@ -223,9 +299,11 @@ def task_groups(
     are put together.  Derive final columns from the result with ordinary
     expressions.
 
-    No task ever holds a whole group: pieces are condensed before anything is
-    shuffled, then merged under ``spread`` different salts per key, then the
-    at most ``spread`` remaining parts of each key are merged.
+    ``merge`` never gets more than ``MERGE_PIECES`` pieces at a time.  A task
+    merges the pieces of its batches as it goes and sends one per key (more
+    only when it holds more than ``HELD_PIECES`` of them); those are merged
+    under ``spread`` different salts per key, and the at most ``spread``
+    results of each key at the end.
     """
     key_names = name_list(keys)
     require(key_names, "task_groups: needs at least one key")
@@ -242,17 +320,43 @@ def task_groups(
     arrow_schema = to_arrow_schema(output)
 
     def condense(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list[pd.DataFrame]] = {}
         for batch in batches:
-            frame = batch.to_pandas(integer_object_nulls=True)
-            for _, piece in frame.groupby(key_names, dropna=False, sort=False):
-                yield from from_frame(function(piece.reset_index(drop=True)), arrow_schema)
+            for key, piece in to_frame(batch).groupby(key_names, dropna=False, sort=False):
+                key = tuple(None if pd.isna(part) else part for part in key)
+                pieces = held.setdefault(key, [])
+                pieces.append(function(piece.reset_index(drop=True)))
+                if len(pieces) == MERGE_PIECES:
+                    held[key] = [merge_pieces(pieces)]
+            if len(held) > HELD_PIECES:
+                yield from sent(held)
+        yield from sent(held)
+
+    def sent(held: dict[tuple, list[pd.DataFrame]]) -> Iterator[pa.RecordBatch]:
+        for pieces in held.values():
+            yield from from_frame(merge_pieces(pieces), arrow_schema)
+        held.clear()
+
+    def merge_pieces(pieces: Sequence[pd.DataFrame]) -> pd.DataFrame:
+        """Put pieces together, a bounded number at a time."""
+        whole = pieces[0]
+        for start in range(1, len(pieces), MERGE_PIECES - 1):
+            some = [whole, *pieces[start : start + MERGE_PIECES - 1]]
+            whole = merge(pd.concat([p[output.names] for p in some], ignore_index=True))[output.names]
+        return whole
 
     def combine(frame: pd.DataFrame) -> pd.DataFrame:
-        return merge(frame[output.names])[output.names]
-
-    salted = source.mapInArrow(condense, output).withColumn(
-        "__salt", F.pmod(F.spark_partition_id(), F.lit(spread))
+        pieces = [piece for _, piece in frame.groupby(piece_name, sort=True)]
+        return merge_pieces([piece[output.names].reset_index(drop=True) for piece in pieces])
+
+    piece_name, salt_name = free_name("piece", source), free_name("salt", source)
+    while {piece_name, salt_name} & set(output.names):
+        piece_name, salt_name = "_" + piece_name, "_" + salt_name
+    salted = source.mapInArrow(condense, output).withColumns(
+        {piece_name: F.spark_partition_id(), salt_name: F.pmod(F.spark_partition_id(), F.lit(spread))}
     )
     grouped = [column(name) for name in key_names]
-    merged = salted.groupBy(*grouped, F.col("__salt")).applyInPandas(combine, output)
+
+    merged = salted.groupBy(*grouped, column(salt_name)).applyInPandas(combine, output)
+    merged = merged.withColumn(piece_name, F.monotonically_increasing_id())
     return merged.groupBy(*grouped).applyInPandas(combine, output)

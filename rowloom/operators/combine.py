@@ -9,8 +9,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.columns import any_null, column, require, require_columns, require_unique_names
-from rowloom.session import materialize
+from rowloom.columns import (
+    any_null,
+    column,
+    free_name,
+    require,
+    require_columns,
+    require_unique_names,
+)
+from rowloom.session import materialize, release
 
 JOIN_TYPES = ("inner", "left", "right", "full")
 
@@ -36,6 +43,7 @@ def join(
     *,
     left_unique: bool = False,
     right_unique: bool = False,
+    split_skew: bool = False,
 ) -> DataFrame:
     """Equi-join on one key, or on a list of keys.
 
@@ -44,17 +52,16 @@ def join(
     whose name is taken get the suffix ``_right``.  ``how`` is inner, left,
     right or full.
 
-    Skew: at run time Spark splits an oversized partition of an inner join on
-    either side, of an outer join only on the preserved side, and of a full
-    join on neither.  An outer join is therefore planned as the inner join plus
-    the unmatched rows (an anti join against the other side's keys), which may
-    be split everywhere; both read the same shuffle.  Rows with a NULL key,
-    often the most frequent one, are not shuffled at all.  Say ``left_unique``
-    / ``right_unique`` when a side holds each key once (NULL aside): the plain
-    outer join is then safe and is what gets planned.  (If that side is itself
-    an aggregate by the same key and the other side is badly skewed, pass it
-    through ``materialize``, so that there is a shuffle to split.)  Streams get
-    Spark's own join.
+    Each side is read once and Spark picks the join.  Skew: at run time Spark
+    splits an oversized partition of an inner join on either side, of an outer
+    join only on the preserved side, and of a full join on neither.  For a hot
+    key on such a side say ``split_skew=True``: both inputs are then written
+    once to the shared folder, which keeps several reads of them equal, and
+    the join becomes the inner join plus the unmatched rows (an anti join
+    against the other side's keys), which may be split everywhere.  With
+    ``left_unique`` / ``right_unique``, said of a side that holds each key once
+    (NULL aside), ``split_skew`` leaves joins plain that are safe because of
+    it.  Streams always get Spark's own join.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"join: how must be one of {JOIN_TYPES}, not {how!r}")
@@ -69,7 +76,7 @@ def join(
     require_unique_names([*left.columns, *outputs.values()], "join")
 
     # Fresh names on the right make self joins and collisions unambiguous.
-    inside = {name: f"__right_{index}" for index, name in enumerate(right.columns)}
+    inside = {name: free_name(f"right_{index}", left) for index, name in enumerate(right.columns)}
     other = right.select(*[column(name).alias(inside[name]) for name in right.columns])
     matches = [column(a) == column(inside[b]) for a, b in keys]
     condition = reduce(lambda first, second: first & second, matches)
@@ -93,35 +100,31 @@ def join(
             selected.append(value.alias(outputs[name]))
         return frame.select(*selected)
 
-    safe = (
-        how == "inner"
+    plain = (
+        not split_skew
+        or how == "inner"
         or (how == "left" and right_unique)
         or (how == "right" and left_unique)
+        or (how == "full" and left_unique and right_unique)
         or left.isStreaming
         or right.isStreaming
     )
-    if safe:
+    if plain:
         key_from = "both" if how in ("inner", "left") else "either"
         return shape(left.join(other, condition, how), key_from)
 
     left_names = [a for a, _ in keys]
     right_names = [inside[b] for _, b in keys]
-    # The same filtered input on both uses of a side, so that its shuffle is reused.
-    left_keyed, right_keyed = left.filter(~any_null(left_names)), other.filter(~any_null(right_names))
-    if how == "full" and left_unique and right_unique:
-        parts = [shape(left_keyed.join(right_keyed, condition, "full"), "either")]
-    else:
-        parts = [shape(left_keyed.join(right_keyed, condition, "inner"), "both")]
-        if how in ("left", "full"):
-            present = key_set(right_keyed, right_names)
-            parts.append(shape(left_keyed.join(present, condition, "left_anti"), "left"))
-        if how in ("right", "full"):
-            present = key_set(left_keyed, left_names)
-            parts.append(shape(right_keyed.join(present, condition, "left_anti"), "right"))
+    # Read several times, so both must hold the same rows each time.
+    left, other = materialize(left, "left"), materialize(other, "right")
+    parts = [shape(left.join(other, condition, "inner"), "both")]
+    # Anti joins keep the rows whose key is NULL.
     if how in ("left", "full"):
-        parts.append(shape(left.filter(any_null(left_names)), "left"))
+        present = key_set(other, right_names)
+        parts.append(shape(left.join(present, condition, "left_anti"), "left"))
     if how in ("right", "full"):
-        parts.append(shape(other.filter(any_null(right_names)), "right"))
+        present = key_set(left, left_names)
+        parts.append(shape(other.join(present, condition, "left_anti"), "right"))
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -133,8 +136,10 @@ def key_set(df: DataFrame, names: Sequence[str], spread: int = 32) -> DataFrame:
     a shuffle next to the join, and Spark splits an oversized partition of the
     other side only between two shuffles.
     """
-    salt = F.pmod(F.spark_partition_id(), F.lit(spread)).alias("__salt")
-    return df.select(*[column(name) for name in names], salt).distinct().drop("__salt")
+    salt = free_name("salt", df)
+    keyed = df.filter(~any_null(names)).select(*[column(name) for name in names])
+    salted = keyed.withColumn(salt, F.pmod(F.spark_partition_id(), F.lit(spread)))
+    return salted.distinct().drop(salt)
 
 
 def fan_in(*frames: DataFrame) -> DataFrame:
@@ -151,15 +156,14 @@ def fan_out(
     df: DataFrame,
     consumers: Sequence[Callable[[DataFrame], object]],
     *,
-    reuse: str | None = "persist",
+    reuse: str | None = "table",
 ) -> list:
     """Feed one input to several consumers and return their results.
 
-    ``reuse="persist"`` keeps the input on the executors (memory, then disk)
-    while the consumers run; ``"table"`` writes it once to the shared folder,
-    the better choice when it is large or costly; ``None`` recomputes it.
-    Persisted data is released at the end, so consumers must be actions such
-    as writes.
+    ``reuse="table"`` writes the input once to the shared folder while the
+    consumers run; ``"persist"`` keeps it on the executors (memory, then disk),
+    for inputs known to be small; ``None`` recomputes it.  The copy is removed
+    at the end, so consumers must be actions such as writes.
     """
     require(consumers, "fan_out: needs at least one consumer")
     source = reusable(df, reuse)
@@ -168,6 +172,8 @@ def fan_out(
     finally:
         if reuse == "persist":
             source.unpersist()
+        if reuse == "table":
+            release(source)
 
 
 def reusable(df: DataFrame, reuse: str | None) -> DataFrame:

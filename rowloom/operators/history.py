@@ -50,7 +50,9 @@ def snapshot(
     ``valid_to``; its open rows (``valid_to`` is NULL) hold each key once.  A
     key whose values changed is closed at ``as_of`` and opened anew; a new key
     is opened; a key missing from the source stays open.  Values are compared
-    NULL-safely.  Repeated keys in the source are an error of the caller; one
+    NULL-safely.  Other columns of ``history`` stay, NULL in rows opened now; an
+    ``as_of`` before the start of an open row that it would close fails the
+    job.  Repeated keys in the source are an error of the caller; one
     of the rows is used.
 
     Old and new rows meet by grouping, not by a join: one shuffle, rows of a
@@ -63,7 +65,7 @@ def snapshot(
     values = [name for name in source.columns if name not in names]
     moment_type = history.schema["valid_from"].dataType
     moment = F.lit(str(as_of)).cast(moment_type)
-    layout = [*source.columns, "valid_from", "valid_to"]
+    layout = history.columns
 
     history = history.select(*[column(name) for name in layout])
     closed = history.filter(F.col("valid_to").isNotNull())
@@ -74,11 +76,13 @@ def snapshot(
         F.lit(None).cast(state).alias("new"),
     )
     fields = [column(name).cast(history.schema[name].dataType).alias(name) for name in source.columns]
-    opened = [moment.alias("valid_from"), F.lit(None).cast(moment_type).alias("valid_to")]
+    made = {field.name: F.lit(None).cast(field.dataType) for field in history.schema}
+    made |= {name: column(name) for name in source.columns}
+    made |= {"valid_from": moment, "valid_to": F.lit(None).cast(moment_type)}
     new_rows = source.select(*fields).select(
         *[column(name) for name in names],
         F.lit(None).cast(state).alias("old"),
-        F.struct(*[column(name) for name in source.columns], *opened).alias("new"),
+        F.struct(*[made[name].alias(name) for name in layout]).alias("new"),
     )
     pairs = (
         old_rows.unionByName(new_rows)
@@ -91,8 +95,10 @@ def snapshot(
     changed = F.lit(False)
     for name in values:
         changed = changed | ~F.col("old")[name].eqNullSafe(F.col("new")[name])
+    early = F.raise_error(F.lit(f"snapshot: as_of {as_of} lies before the start of an open row"))
+    end = F.when(F.col("old")["valid_from"] <= moment, moment).otherwise(early.cast(moment_type))
     ended = F.struct(
-        *[F.col("old")[name].alias(name) for name in layout[:-1]], moment.alias("valid_to")
+        *[(end if name == "valid_to" else F.col("old")[name]).alias(name) for name in layout]
     )
     outcome = (
         F.when(F.col("old").isNull(), F.array("new"))

@@ -16,6 +16,7 @@ from rowloom.columns import column, require_batch, require_columns
 from rowloom.errors import QualityError, ValidationError
 from rowloom.operators.combine import reusable
 from rowloom.operators.rules import parse_quality_rules
+from rowloom.session import release
 
 log = logging.getLogger("rowloom.quality")
 
@@ -44,6 +45,8 @@ def quality_report(
     df: DataFrame,
     rules: Sequence[str | Mapping],
     as_of: datetime | str | None = None,
+    *,
+    reuse: str | None = None,
 ) -> DataFrame:
     """Q10: measure every rule; one output row per rule.
 
@@ -53,7 +56,9 @@ def quality_report(
     * not_null: the value is NULL
     * unique: non-NULL values minus distinct non-NULL values
     * min, max, range: the value lies outside the inclusive bounds; NULL
-      passes, NaN is greater than any number
+      passes, NaN is greater than any number.  In a text column a bound that is
+      a number compares numbers, and a text that is none fails; other bounds
+      compare texts
     * row_count: 1 when the number of rows is outside the bounds
     * freshness: 1 when the newest value is older than ``max_hours`` (24 unless
       given) before ``as_of`` (now unless given), or when there is no value
@@ -66,11 +71,14 @@ def quality_report(
     single row per task.  Each ``unique`` rule is a grouped count of its own
     over just that column, combined before the shuffle, so a value that fills
     a large share of the table costs no more than others and no row is
-    multiplied.  Everything runs as one job.
+    multiplied.  Everything runs as one job.  Each of these parts reads ``df``:
+    over files that is a narrow scan, a computed input is better written once
+    first (``reuse="table"``).
     """
     require_batch(df, "quality_report", "check each batch inside foreachBatch")
     parsed = parse_quality_rules(rules)
     require_columns(df, [r["column"] for r in parsed if r["column"]], "quality_report")
+    df = reusable(df, reuse)
 
     measured = [
         (number, rule, _failed(df, rule, as_of))
@@ -138,13 +146,27 @@ def _failed(df: DataFrame, rule: Mapping, as_of) -> Column:
     if name == "type_check":
         return _wrong_type(value, data_type, params["expected_type"])
     outside = []
-    if "min" in params:
-        outside.append(value < bound(data_type, params["min"]))
-    if "max" in params:
-        outside.append(value > bound(data_type, params["max"]))
+    for side in ("min", "max"):
+        if side in params:
+            held, limit = value, None
+            if isinstance(data_type, T.StringType) and _number(params[side]) is not None:
+                # Text columns hold numbers when the bound is one; what is none fails.
+                held, limit = value.try_cast("double"), F.lit(_number(params[side]))
+                outside.append(value.isNotNull() & held.isNull())
+            else:
+                limit = bound(data_type, params[side])
+            outside.append(held < limit if side == "min" else held > limit)
+    outside = [F.coalesce(part, F.lit(False)) for part in outside]
     return F.count_if(reduce(lambda a, b: a | b, outside))
 
 
+def _number(text) -> float | None:
+    try:
+        return float(str(text))
+    except ValueError:
+        return None
+
+
 def bound(data_type: T.DataType, text) -> Column:
     """Turn a rule's parameter into a literal fit for comparison with a column.
 
@@ -218,15 +240,16 @@ def quality_gate(
     rules: Sequence[str | Mapping],
     as_of: datetime | str | None = None,
     *,
-    reuse: str | None = None,
+    reuse: str | None = "table",
 ) -> DataFrame:
     """Q11: report on ``df``, stop on a failed ``block`` rule, else pass it on.
 
     Only ``"block"`` stops, with ``QualityError``; any other ``on_failure``
     logs a warning.  A gate has to run a job before the rest of the plan.
-    ``reuse="table"`` (or ``"persist"``) makes the checked rows available to
-    what follows, instead of computing them again; the checked data is then
-    also exactly the data passed on.
+    By default (``reuse="table"``) the rows are written once to the shared
+    folder, so that rules and what follows read the same rows and nothing is
+    computed twice; ``stages`` or ``release`` removes them.  ``"persist"`` keeps
+    them on the executors, ``None`` computes them again.
     """
     parse_quality_rules(rules)
     checked = reusable(df, reuse)
@@ -237,6 +260,8 @@ def quality_gate(
     if any(not line["passed"] and line["on_failure"] == "block" for line in report):
         if reuse == "persist":
             checked.unpersist()
+        if reuse == "table":
+            release(checked)
         raise QualityError(report)
     for line in report:
         if not line["passed"]:

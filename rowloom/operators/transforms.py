@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import warnings
 from collections.abc import Callable, Mapping, Sequence
+from datetime import date, datetime
+from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +16,7 @@ from pyspark.sql import types as T
 from rowloom.columns import (
     column,
     expression,
+    free_name,
     name_list,
     require,
     require_batch,
@@ -21,10 +25,9 @@ from rowloom.columns import (
 )
 
 # A CASE chain is evaluated branch by branch and ends up in generated code, so
-# larger replacement mappings become a lookup table.  That is broadcast while the
-# number of entries proves it small, and joined like any other table beyond.
+# larger replacement mappings become a lookup table; both read keys and values
+# alike.  Whether that table is broadcast is Spark's choice, by its size.
 MAX_CASE_BRANCHES = 64
-MAX_BROADCAST_ENTRIES = 100_000
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -70,11 +73,12 @@ def replace_values(df: DataFrame, column_name: str, mapping: Mapping) -> DataFra
     """T5: replace exact values of one column, leave all others.
 
     One pass, so ``{"a": "b", "b": "c"}`` turns ``a`` into ``b`` and does not
-    chain.  Keys are cast to the column's type; a ``None`` key matches NULL.
-    The column keeps its type unless a replacement is text and the column is
-    not: then the result is a string column.  Up to ``MAX_CASE_BRANCHES``
-    entries become one CASE expression, a longer mapping a lookup table, which
-    is broadcast up to ``MAX_BROADCAST_ENTRIES``.
+    chain.  Keys are cast to the column's type as SQL literals are; of keys
+    that become equal the first counts, and a ``None`` key matches NULL.  The
+    column keeps its type unless a replacement is text and the column is not:
+    then the result is a string column.  Up to ``MAX_CASE_BRANCHES`` entries
+    become one CASE expression, a longer mapping a lookup table with one row
+    per key; the result is the same.
     """
     require_columns(df, [column_name], "replace_values")
     require(mapping, "replace_values: needs a non-empty mapping {old: new}")
@@ -94,25 +98,62 @@ def replace_values(df: DataFrame, column_name: str, mapping: Mapping) -> DataFra
             replaced = F.when(matches, value) if replaced is None else replaced.when(matches, value)
         return df.withColumn(column_name, replaced.otherwise(current.cast(result_type)))
 
-    spark = df.sparkSession
-    entries = [
-        (None if old is None else str(old), None if new is None else str(new))
-        for old, new in mapping.items()
-    ]
-    lookup = spark.createDataFrame(entries, "__old string, __new string").select(
-        F.col("__old").cast(source_type).alias("__old"),
-        F.col("__new").cast(result_type).alias("__new"),
-        F.lit(True).alias("__hit"),
+    old_name, new_name = free_name("old", df), free_name("new", df)
+    lookup = _lookup(df.sparkSession, mapping, source_type, result_type).withColumnsRenamed(
+        {"old": old_name, "new": new_name}
     )
-    if len(entries) <= MAX_BROADCAST_ENTRIES:
-        lookup = F.broadcast(lookup)
-    joined = df.join(lookup, current.eqNullSafe(F.col("__old")), "left")
-    value = F.when(F.col("__hit"), F.col("__new")).otherwise(current.cast(result_type))
+    joined = df.join(lookup, current.eqNullSafe(column(old_name)), "left")
+    hit = column(new_name)
+    value = F.when(hit.isNotNull(), hit["value"]).otherwise(current.cast(result_type))
     return joined.select(
         *[value.alias(name) if name == column_name else column(name) for name in df.columns]
     )
 
 
+def _lookup(spark, mapping: Mapping, source_type: T.DataType, result_type: T.DataType) -> DataFrame:
+    """The mapping as rows (old, new struct), one per key after the cast, the first one given.
+
+    Entries of the same Python types become one table with the types that
+    ``lit`` gives them, so the casts are those of the CASE expression.
+    """
+    by_type: dict[tuple, list[tuple]] = {}
+    for place, (old, new) in enumerate(mapping.items()):
+        by_type.setdefault((_literal_type(old), _literal_type(new)), []).append((place, old, new))
+    tables = []
+    for (old_type, new_type), entries in by_type.items():
+        schema = T.StructType().add("place", "long").add("old", old_type).add("new", new_type)
+        table = spark.createDataFrame(entries, schema)
+        tables.append(
+            table.select("place", F.col("old").cast(source_type), F.col("new").cast(result_type))
+        )
+    entries = reduce(DataFrame.unionAll, tables)
+    first = F.min_by(F.struct(F.col("new").alias("value")), "place").alias("new")
+    return entries.groupBy("old").agg(first)
+
+
+def _literal_type(value) -> T.DataType:
+    if value is None:
+        return T.NullType()
+    if isinstance(value, Decimal):
+        sign, digits, exponent = value.as_tuple()
+        scale = max(0, -exponent)
+        return T.DecimalType(min(38, max(len(digits) + max(0, exponent), scale)), min(38, scale))
+    if isinstance(value, int) and not isinstance(value, bool):
+        return T.IntegerType() if -(2**31) <= value < 2**31 else T.LongType()
+    kinds = {
+        bool: T.BooleanType(),
+        float: T.DoubleType(),
+        str: T.StringType(),
+        bytes: T.BinaryType(),
+        datetime: T.TimestampType(),
+        date: T.DateType(),
+    }
+    for kind, data_type in kinds.items():
+        if isinstance(value, kind):
+            return data_type
+    raise ValueError(f"replace_values: {value!r} is no plain value")
+
+
 def _takes_text(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
@@ -137,7 +178,8 @@ def sort(
     if len(directions) != len(names):
         raise ValueError("sort: give one direction, or one per column")
     order = [_nulls_last(name, up) for name, up in zip(names, directions)]
-    return df.withColumn("__tie", F.spark_partition_id()).orderBy(*order, "__tie").drop("__tie")
+    tie = free_name("tie", df)
+    return df.withColumn(tie, F.spark_partition_id()).orderBy(*order, tie).drop(tie)
 
 
 def _nulls_last(name: str, up: bool = True) -> Column:
@@ -183,11 +225,9 @@ def deduplicate(
         return df.dropDuplicates(names)
     order = [_nulls_last(item) if isinstance(item, str) else item for item in wanted]
     window = Window.partitionBy(*[column(name) for name in names]).orderBy(*order)
-    return (
-        df.withColumn("__rank", F.row_number().over(window))
-        .filter(F.col("__rank") == 1)
-        .drop("__rank")
-    )
+    rank = free_name("rank", df)
+    ranked = df.withColumn(rank, F.row_number().over(window))
+    return ranked.filter(F.col(rank) == 1).drop(rank)
 
 
 def _smallest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -199,12 +239,13 @@ def _smallest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
         for place, part in enumerate((column(name).isNull(), column(name)))
     ]
     row = F.struct(*[column(name) for name in others]).alias("row")
+    best_name = free_name("best", df)
     best = df.groupBy(*[column(name) for name in keys]).agg(
-        F.min(F.struct(*ranks, row)).alias("__best")
+        F.min(F.struct(*ranks, row)).alias(best_name)
     )
     return best.select(
         *[
-            column(name) if name in keys else F.col("__best")["row"][name].alias(name)
+            column(name) if name in keys else F.col(best_name)["row"][name].alias(name)
             for name in df.columns
         ]
     )

@@ -8,14 +8,23 @@ from datetime import datetime
 from urllib.parse import urlparse
 
 import pandas as pd
+import pyarrow
 import pyarrow.fs
-import pyarrow.parquet
+import pyarrow.ipc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from rowloom.functions.outcome import BatchResult, TaskOutcome
-from rowloom.functions.rows import filter_py, map_rows, task, task_batches, task_groups
+from pyspark.sql import types as T
+
+from rowloom.functions.outcome import Reporter, TaskOutcome
+from rowloom.functions.rows import (
+    filter_py,
+    map_rows,
+    reported_batches,
+    task,
+    task_batches,
+    task_groups,
+)
 from rowloom.operators.branching import branch
 from rowloom.operators.combine import fan_in, fan_out, join
 from rowloom.operators.history import missing_run_dates, snapshot
@@ -84,11 +93,17 @@ def _schema(df: DataFrame) -> str:
     return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in df.schema)
 
 
-@query("s1_csv", "SELECT * FROM orders")
+@query(
+    "s1_csv",
+    "SELECT * REPLACE ('  ' || o_orderpriority || ' ' || chr(9) AS o_orderpriority) FROM orders",
+)
 def s1_csv(t: Tables) -> DataFrame:
     path = t.scratch("s1")
-    write_file(t.orders, path, "csv")
-    return read_file(t.spark, path, "csv", _schema(t.orders))
+    orders = add_column(t.orders, "o_orderpriority", "'  ' || o_orderpriority || ' \\t'")
+    write_file(orders, path, "csv")
+    # Columns are found by name, whatever their order in the file.
+    schema = T.StructType(list(reversed(orders.schema.fields)))
+    return read_file(t.spark, path, "csv", schema)
 
 
 @query("s2_json", "SELECT doc_id, text, lang, source, n_chars FROM documents")
@@ -100,17 +115,22 @@ def s2_json(t: Tables) -> DataFrame:
 
 @query(
     "s2_json_parse",
-    "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
+    """
+    SELECT event_id, CASE WHEN event_id % 10 > 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k
+    FROM events
+    """,
 )
 def s2_json_parse(t: Tables) -> DataFrame:
-    return parse_payload(t.events, "props", "k bigint", keep="event_id")
+    events = add_column(t.events, "props", "if(event_id % 10 > 0, props, NULL)")
+    return parse_payload(events, "props", "k bigint", keep="event_id", outer=True)
 
 
-@query("s3_xml", "SELECT * FROM customer")
+@query("s3_xml", "SELECT * REPLACE ('  ' || c_name || '   ' AS c_name) FROM customer")
 def s3_xml(t: Tables) -> DataFrame:
     path = t.scratch("s3")
-    write_file(t.customer, path, "xml", row_tag="customer")
-    return read_file(t.spark, path, "xml", _schema(t.customer), row_tag="customer")
+    customers = add_column(t.customer, "c_name", "'  ' || c_name || '   '")
+    write_file(customers, path, "xml", row_tag="customer")
+    return read_file(t.spark, path, "xml", _schema(customers), row_tag="customer")
 
 
 @query("s4_parquet", "SELECT l_orderkey, l_shipdate, l_tax FROM lineitem")
@@ -168,39 +188,44 @@ def s6_top_k(t: Tables) -> DataFrame:
     """,
 )
 def s7_api(t: Tables) -> DataFrame:
-    # Every request carries a page of events; the injected fetch answers with it.
-    pages = parse_payload(t.events, "props", "k bigint", keep=["event_id", "user_id"])
-    requests = render_requests(pages, "memory://events", batch_size=200)
-    return api_source(
-        requests, lambda request: request["body"], "event_id bigint, user_id bigint, k bigint"
-    )
+    # Pages of events lie in the shared folder; a request names one and the fetch reads it there.
+    folder = t.scratch("s7")
+    store = _outbox(folder)
+    events = parse_payload(t.events, "props", "k bigint", keep=["event_id", "user_id"])
+    pages = render_requests(events, "https://api.example.com/events", batch_size=200)
+    deliver(pages, lambda request: store([request["body"]]))
+    found = t.spark.read.format("binaryFile").load(folder).select(F.col("path").alias("url"))
+
+    def fetch(request: dict) -> str:
+        system, path = _file_system(request["url"])
+        with system.open_input_stream(path) as stream:
+            return stream.read().decode()
+
+    return api_source(found, fetch, "event_id bigint, user_id bigint, k bigint")
 
 
 @query("s8_custom", "SELECT p_partkey, p_name, p_size, p_retailprice FROM part")
 def s8_custom(t: Tables) -> DataFrame:
-    def row_groups(rows: list[dict]) -> list[dict]:
-        parts = []
-        for row in rows:
-            system, path = _file_system(row["path"])
-            groups = pyarrow.parquet.ParquetFile(system.open_input_file(path)).num_row_groups
-            parts += [{"path": row["path"], "group": group} for group in range(groups)]
-        return parts
+    # Arrow IPC files, which Spark has no reader for; tasks write and read them.
+    folder, columns = t.scratch("s8"), ["p_partkey", "p_name", "p_size", "p_retailprice"]
+    custom_sink(t.part.select(*columns), _outbox(folder, "arrow", _arrow_file))
 
-    def read_group(spec: dict):
+    def read_arrow(spec: dict):
         system, path = _file_system(spec["path"])
-        file = pyarrow.parquet.ParquetFile(system.open_input_file(path))
-        columns = ["p_partkey", "p_name", "p_size", "p_retailprice"]
-        for batch in file.iter_batches(row_groups=[spec["group"]], columns=columns):
-            yield from batch.to_pylist()
-
-    files = t.spark.read.format("binaryFile").load(t.path("part")).select("path")
-    specs = task_batches(files, row_groups, "path string, group int")
-    return custom_source(
-        t.spark,
-        specs,
-        read_group,
-        "p_partkey bigint, p_name string, p_size int, p_retailprice double",
-    )
+        with system.open_input_file(path) as file, pyarrow.ipc.open_file(file) as reader:
+            for number in range(reader.num_record_batches):
+                yield from reader.get_batch(number).to_pylist()
+
+    files = t.spark.read.format("binaryFile").load(folder).select("path")
+    schema = "p_partkey bigint, p_name string, p_size int, p_retailprice double"
+    return custom_source(t.spark, files, read_arrow, schema, parallelism=4)
+
+
+def _arrow_file(rows: list[dict]) -> bytes:
+    table, out = pyarrow.Table.from_pylist(rows), pyarrow.BufferOutputStream()
+    with pyarrow.ipc.new_file(out, table.schema) as writer:
+        writer.write_table(table)
+    return out.getvalue().to_pybytes()
 
 
 def _file_system(uri: str):
@@ -266,12 +291,17 @@ def t5_replace(t: Tables) -> DataFrame:
     """
     SELECT * REPLACE (
         CASE WHEN o_custkey BETWEEN 0 AND 499 THEN o_custkey + 1000000 ELSE o_custkey END
-        AS o_custkey)
+        AS o_custkey,
+        CASE o_orderpriority WHEN '1-URGENT' THEN 'true' WHEN '2-HIGH' THEN '2.5' ELSE o_orderpriority END
+        AS o_orderpriority)
     FROM orders
     """,
 )
 def t5_replace_long(t: Tables) -> DataFrame:
-    return replace_values(t.orders, "o_custkey", {key: key + 1_000_000 for key in range(500)})
+    # Keys that become equal to earlier ones after the cast have no effect.
+    keys = {key: key + 1_000_000 for key in range(500)} | {f"0{key}": 1 for key in range(500)}
+    texts = {"1-URGENT": True, "2-HIGH": 2.5} | {f"no such text {i}": "x" for i in range(200)}
+    return replace_values(replace_values(t.orders, "o_custkey", keys), "o_orderpriority", texts)
 
 
 @query("t6_sort", "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey")
@@ -483,6 +513,24 @@ def j2_left_unique(t: Tables) -> DataFrame:
     return _joined(t, "left", right_unique=True)
 
 
+@query("j2_left_split", _join_sql("LEFT"))
+def j2_left_split(t: Tables) -> DataFrame:
+    return _joined(t, "left", split_skew=True)
+
+
+@query("j4_full_split", _join_sql("FULL"))
+def j4_full_split(t: Tables) -> DataFrame:
+    return _joined(t, "full", split_skew=True)
+
+
+@query(
+    "j6_inner",
+    "SELECT doc_id, lang, quality, toxic FROM documents JOIN labels USING (doc_id)",
+)
+def j6_inner(t: Tables) -> DataFrame:
+    return join(t.documents.select("doc_id", "lang"), t.labels, "doc_id")
+
+
 @query("j3_right", _join_sql("RIGHT"))
 def j3_right(t: Tables) -> DataFrame:
     return _joined(t, "right")
@@ -621,12 +669,13 @@ def q2_unique(t: Tables) -> DataFrame:
         ("c_acctbal", "min", "warn", "count(*) FILTER (c_acctbal < 0)", "customer"),
         ("c_acctbal", "min", "warn", "count(*) FILTER (c_acctbal < -1000)", "customer"),
         ("c_nationkey", "min", "warn", "count(*) FILTER (c_nationkey < 2.5)", "customer"),
+        ("as_text", "min", "warn", "count(*) FILTER (c_acctbal < 900)", "customer"),
     ),
 )
 def q3_min(t: Tables) -> DataFrame:
-    return quality_report(
-        t.customer, ["min(c_acctbal, 0)", "min(c_acctbal, -1000)", "min(c_nationkey, 2.5)"]
-    )
+    customers = add_column(t.customer, "as_text", "cast(c_acctbal AS string)")
+    rules = ["min(c_acctbal, 0)", "min(c_acctbal, -1000)", "min(c_nationkey, 2.5)"]
+    return quality_report(customers, [*rules, "min(as_text, 900)"])
 
 
 @query(
@@ -975,18 +1024,16 @@ def k1_task(t: Tables) -> DataFrame:
     """,
 )
 def k2_batches(t: Tables) -> DataFrame:
-    def measure(rows: list[dict]) -> BatchResult:
-        return BatchResult(
-            [
-                {
-                    "conv_id": row["conv_id"],
-                    "turn": row["turn"],
-                    "chars": len(row["text"]),
-                    "from_user": row["role"] == "user",
-                }
-                for row in rows
-            ]
-        )
+    def measure(rows: list[dict]) -> list[dict]:
+        return [
+            {
+                "conv_id": row["conv_id"],
+                "turn": row["turn"],
+                "chars": len(row["text"]),
+                "from_user": row["role"] == "user",
+            }
+            for row in rows
+        ]
 
     return task_batches(
         t.conversations, measure, "conv_id bigint, turn bigint, chars bigint, from_user boolean"
@@ -1065,18 +1112,46 @@ def k3_groups(t: Tables) -> DataFrame:
     "k4_outcome",
     """
     SELECT count(*) AS row_count, count(*) FILTER (c_acctbal < 0) AS in_debt,
-           max(c_acctbal) AS highest
+           CAST(sum(round(c_acctbal * 100)) AS BIGINT) AS cents
     FROM customer
     """,
 )
 def k4_outcome(t: Tables) -> DataFrame:
+    def audit(rows: list[dict], report: Reporter) -> None:
+        for row in rows:
+            if row["c_acctbal"] < 0:
+                report.warn("in debt")
+            if not row["c_name"]:
+                report.error("no name")
+            report.add("cents", round(row["c_acctbal"] * 100))
+
+    outcome = reported_batches(
+        t.customer, audit, warnings=["in debt"], errors=["no name"], sums=["cents"]
+    )
+    write_file(outcome.df, t.scratch("k4"), "parquet")
+    return t.spark.range(1).select(
+        F.lit(outcome.row_count).cast("bigint").alias("row_count"),
+        F.lit(outcome.warnings.get("in debt", 0)).cast("bigint").alias("in_debt"),
+        F.lit(int(outcome.metadata["cents"])).cast("bigint").alias("cents"),
+    )
+
+
+@query(
+    "k4_conditions",
+    """
+    SELECT count(*) AS row_count, count(*) FILTER (c_acctbal < 0) AS in_debt,
+           max(c_acctbal) AS highest
+    FROM customer
+    """,
+)
+def k4_conditions(t: Tables) -> DataFrame:
     outcome = TaskOutcome(
         t.customer,
         warnings={"in debt": F.col("c_acctbal") < 0},
         errors={"no name": F.col("c_name").isNull()},
         metadata={"highest": F.max("c_acctbal")},
     )
-    write_file(outcome.df, t.scratch("k4"), "parquet")
+    write_file(outcome.df, t.scratch("k4-conditions"), "parquet")
     return t.spark.range(1).select(
         F.lit(outcome.row_count).cast("bigint").alias("row_count"),
         F.lit(outcome.warnings.get("in debt", 0)).cast("bigint").alias("in_debt"),
@@ -1087,11 +1162,14 @@ def k4_outcome(t: Tables) -> DataFrame:
 # --- sinks ------------------------------------------------------------------
 
 
-@query("w1_csv", "SELECT * FROM documents")
+@query(
+    "w1_csv", "SELECT * REPLACE (' ' || chr(9) || text || '  ' AS text) FROM documents"
+)
 def w1_csv(t: Tables) -> DataFrame:
     path = t.scratch("w1")
-    write_file(t.documents, path, "csv")
-    return read_file(t.spark, path, "csv", _schema(t.documents), multi_line=True)
+    documents = add_column(t.documents, "text", "' \\t' || text || '  '")
+    write_file(documents, path, "csv")
+    return read_file(t.spark, path, "csv", _schema(documents), multi_line=True)
 
 
 @query("w2_json", "SELECT * FROM events")
@@ -1135,11 +1213,26 @@ def w6_upsert(t: Tables) -> DataFrame:
     return upsert(t.orders, changes, "o_orderkey", order_by="o_totalprice")
 
 
-@query("w6_upsert_table", UPSERT_SQL)
+# Some partition values are missing, some are empty; the table holds NULL for both.
+ODD_PRIORITY = """CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 7 = 1 THEN ''
+    ELSE o_orderpriority END"""
+
+
+@query(
+    "w6_upsert_table",
+    f"""
+    WITH odd AS (SELECT * REPLACE ({ODD_PRIORITY} AS o_orderpriority) FROM orders),
+    merged AS (
+        SELECT * FROM odd WHERE o_orderstatus != 'F' OR nullif(o_orderpriority, '') IS NULL
+        UNION ALL {CHANGES.format(orders="odd")})
+    SELECT * REPLACE (nullif(o_orderpriority, '') AS o_orderpriority) FROM merged
+    """,
+)
 def w6_upsert_table(t: Tables) -> DataFrame:
     path = t.scratch("w6")
-    write_file(t.orders, path, "parquet", partition_by=["o_orderpriority", "o_orderstatus"])
-    changes = run_query(t.spark, CHANGES, orders=t.orders)
+    orders = add_column(t.orders, "o_orderpriority", ODD_PRIORITY)
+    write_file(orders, path, "parquet", partition_by=["o_orderpriority", "o_orderstatus"])
+    changes = run_query(t.spark, CHANGES, orders=orders)
     keys = ["o_orderkey", "o_orderpriority", "o_orderstatus"]
     upsert_table(changes, path, keys, ["o_orderpriority", "o_orderstatus"])
     return read_file(t.spark, path, "parquet", _schema(t.orders))
@@ -1149,13 +1242,13 @@ def w6_upsert_table(t: Tables) -> DataFrame:
     "w7_requests",
     """
     SELECT 'https://crm.example.com/customers/' || c_custkey AS url, 'PUT' AS method,
-           '{"name": "' || c_name || '", "segment": "' || c_mktsegment || '"}' AS body
+           '{"name": "' || c_name || ' \\"the ' || c_nationkey || '\\"", "segment": "' || c_mktsegment || '"}' AS body
     FROM customer
     """,
 )
 def w7_requests(t: Tables) -> DataFrame:
     return render_requests(
-        t.customer,
+        add_column(t.customer, "c_name", "c_name || ' \"the ' || c_nationkey || '\"'"),
         "https://crm.example.com/customers/{{ c_custkey }}",
         "PUT",
         '{"name": "{{ c_name }}", "segment": "{{c_mktsegment}}"}',
@@ -1163,18 +1256,28 @@ def w7_requests(t: Tables) -> DataFrame:
     ).select("url", "method", "body")
 
 
-def _outbox(folder: str) -> Callable[[list[str]], None]:
-    """Store lines as files named by task and turn, so that a repeated task replaces its own."""
+def _json_lines(lines: list[str]) -> bytes:
+    return "".join(line + "\n" for line in lines).encode()
+
+
+def _outbox(folder: str, ending: str = "json", pack: Callable = _json_lines) -> Callable[[list], None]:
+    """Store lists as files named by task and turn, so that a repeated task replaces its own.
+
+    Each attempt writes under a name of its own and moves the finished file.
+    """
     turn = 0
 
-    def store(lines: list[str]) -> None:
+    def store(rows: list) -> None:
         nonlocal turn
         turn += 1
+        task = TaskContext.get()
         system, path = _file_system(folder)
         system.create_dir(path, recursive=True)
-        name = f"{path}/part-{TaskContext.get().partitionId()}-{turn}.json"
-        with system.open_output_stream(name) as stream:
-            stream.write("".join(line + "\n" for line in lines).encode())
+        name = f"part-{task.partitionId()}-{turn}.{ending}"
+        draft = f"{path}/_{task.taskAttemptId()}-{name}"
+        with system.open_output_stream(draft) as stream:
+            stream.write(pack(rows))
+        system.move(draft, f"{path}/{name}")
 
     return store
 
@@ -1214,7 +1317,7 @@ def r1_run_variables(t: Tables) -> DataFrame:
         t.spark,
         """
         SELECT event_type, count(*) AS events FROM {events}
-        WHERE ts >= '{{ ds }}' AND ts < {{ next_ds }} AND value > {{ param.low }}
+        WHERE ts >= "{{ ds }}" AND ts < {{ next_ds }} AND value > {{ param.low }}
         GROUP BY event_type
         """,
         run_variables(ds="2024-01-15", params={"low": 5}),
@@ -1445,9 +1548,12 @@ def e5_ingest_leads(t: Tables) -> DataFrame:
         "' ' || c_mktsegment || ' trade' AS name",
         "'- ' || c_acctbal AS phone",
     )
-    write_file(leads, incoming, "csv")
-    push = _lead_outbox(outbox)
-    jobs.ingest_leads(t.spark, incoming, t.scratch("e5"), t.scratch("e5-checkpoint"), push)
+    few = t.region.selectExpr("r_name || '@few.example.com' AS email", "r_name AS name", "'1' AS phone")
+    push, table, checkpoint = _lead_outbox(outbox), t.scratch("e5"), t.scratch("e5-checkpoint")
+    # A batch that is too small is set aside; the one after it is taken.
+    for batch in (few, leads):
+        write_file(batch, incoming, "csv", mode="append")
+        jobs.ingest_leads(t.spark, incoming, table, checkpoint, push)
     return read_file(t.spark, outbox, "json", jobs.LEAD_SCHEMA)
 
 

@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowloom.errors import ValidationError
 from rowloom.functions.rows import filter_py
 from rowloom.operators.branching import branch
 from rowloom.operators.combine import join
 from rowloom.operators.quality import quality_gate, validate
 from rowloom.operators.transforms import add_column, aggregate, transform
 from rowloom.plans.models import sql_models
+from rowloom.session import materialize, release
 from rowloom.sinks.custom import custom_sink
 from rowloom.sinks.files import write_file
 from rowloom.sources.api import parse_payload
 from rowloom.streaming.ingest import ingest_new_files
 
 
+log = logging.getLogger("rowloom.jobs")
+
+
 def export_events(events: DataFrame, path: str) -> DataFrame:
     """Parse JSON payloads, derive columns, keep the interesting rows, write CSV."""
     rows = parse_payload(events, "props", "k int", keep=["event_id", "user_id", "event_type"])
@@ -72,7 +78,9 @@ def customer_360(
     Orders are summed per customer before the join, which makes the right side
     unique, so the plain left join is safe against customers with very many
     orders.  The gate reads the joined rows twice; by default they are written
-    once to the shared folder and the gate and all later work read that.
+    once to the shared folder and the gate and all later work read that.  Run
+    the job and the writing of its result inside ``stages()``, which removes
+    that copy at the end.
     """
     totals = aggregate(
         orders,
@@ -176,22 +184,36 @@ def ingest_leads(
 ) -> DataFrame:
     """E5: take new lead files, clean them, require a minimum, push them on.
 
-    New files end up in ``table`` exactly once per batch id; the batch is then
-    validated and handed to ``push`` on the executors.
+    A batch is checked before anything is stored.  One with fewer than
+    ``minimum`` leads goes to the folder ``table`` + ``-quarantine`` and is
+    reported in the log, and the stream goes on; any other ends up in ``table``
+    and is handed to ``push`` on the executors.  Both folders hold each batch
+    id once.
     """
+    quarantine = f"{table}-quarantine"
+    rejected = []
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        # The same batch id replaces its own folder, so a repeat adds nothing.
-        target = f"{table}/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(target)
-        stored = batch.sparkSession.read.schema(LEAD_SCHEMA).parquet(target)
+        received = materialize(batch, "leads")
         enough = F.count(F.lit(1)) >= minimum
         message = F.concat(F.lit("got "), F.count(F.lit(1)).cast("string"), F.lit(" leads"))
-        custom_sink(validate(stored, lambda df: (enough, message)), push)
+        try:
+            validate(received, lambda df: (enough, message))
+        except ValidationError as error:
+            # The same batch id replaces its own folder, so a repeat adds nothing.
+            received.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+            rejected.append(f"batch {batch_id}: {error}")
+        else:
+            target = f"{table}/batch={batch_id}"
+            received.write.mode("overwrite").parquet(target)
+            custom_sink(received, push)
+        release(received)
 
     ingest_new_files(
         spark, incoming, LEAD_SCHEMA, take, checkpoint, format="csv", transform=clean_leads
     )
+    for reason in rejected:
+        log.warning("leads in quarantine (%s), %s", quarantine, reason)
     stored = LEAD_SCHEMA + ", batch bigint"
     try:
         return spark.read.schema(stored).parquet(table)

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
+        if folder.startswith("file:") and not context.master.startswith("local"):
+            warnings.warn(f"spark.checkpoint.dir is {folder}: every machine must mount it", stacklevel=2)
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -39,12 +44,50 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 
     Cuts the lineage with a result that outlives lost executors.  Unlike
     ``checkpoint()`` the copy is columnar, so each later use reads only the
-    columns and row groups it needs.  Row order is not kept.
+    columns and row groups it needs.  Row order is not kept.  The copy stays
+    until ``release`` is called with the result, or until the ``stages`` block
+    around the call ends.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _open_stages:
+        _open_stages[0].append((spark, path))
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._rowloom_path = path
+    return stored
+
+
+#: The folders written inside the ``stages`` blocks that are open, the innermost first.
+_open_stages: list[list[tuple[SparkSession, str]]] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(stored: DataFrame) -> None:
+    """Remove the copy behind a result of ``materialize``; other frames are left alone."""
+    path = getattr(stored, "_rowloom_path", None)
+    if path:
+        _delete(stored.sparkSession, path)
+
+
+@contextmanager
+def stages() -> Iterator[None]:
+    """Remove on leaving what operators have written to the shared folder inside the block.
+
+    Results must have been written or collected by then.
+    """
+    held: list[tuple[SparkSession, str]] = []
+    _open_stages.insert(0, held)
+    try:
+        yield
+    finally:
+        _open_stages.remove(held)
+        for spark, path in held:
+            _delete(spark, path)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -16,21 +16,33 @@ from rowloom.sinks.custom import run_sink
 _PLACEHOLDER = re.compile(r"\{\{\s*(\w+)\s*\}\}")
 
 
-def render_template(df: DataFrame, template: str) -> Column:
-    """A text with ``{{ column }}`` filled in per row; NULL becomes empty text."""
+def render_template(df: DataFrame, template: str, escape: Callable[[Column], Column] | None = None) -> Column:
+    """A text with ``{{ column }}`` filled in per row, escaped if asked; NULL becomes empty text."""
     pieces = []
     position = 0
     for found in _PLACEHOLDER.finditer(template):
         require_columns(df, [found.group(1)], "render_template")
         if found.start() > position:
             pieces.append(F.lit(template[position : found.start()]))
-        pieces.append(F.coalesce(column(found.group(1)).cast("string"), F.lit("")))
+        value = F.coalesce(column(found.group(1)).cast("string"), F.lit(""))
+        pieces.append(escape(value) if escape else value)
         position = found.end()
     if position < len(template) or not pieces:
         pieces.append(F.lit(template[position:]))
     return F.concat(*pieces)
 
 
+def json_text(value: Column) -> Column:
+    """A value as it stands between the quotes of a JSON text."""
+    whole = F.to_json(F.struct(value.alias("t")))
+    return F.substring(whole, F.lit(7), F.char_length(whole) - 8)
+
+
+def url_part(value: Column) -> Column:
+    """A value as it stands in the path or query of a url."""
+    return F.replace(F.url_encode(value), F.lit("+"), F.lit("%20"))
+
+
 def render_requests(
     df: DataFrame,
     url: str,
@@ -42,8 +54,8 @@ def render_requests(
     """One request row ``(url, method, headers, body)`` per input row.
 
     The body is the row as a JSON object (NULL fields kept), or
-    ``body_template`` with ``{{ column }}`` filled in; ``url`` takes
-    placeholders as well.  With ``batch_size`` above 1 each request carries a
+    ``body_template`` with ``{{ column }}`` filled in, escaped for JSON text;
+    ``url`` takes placeholders as well, their values are percent-encoded.  With ``batch_size`` above 1 each request carries a
     JSON list of up to that many bodies; rows are batched where they lie,
     without a shuffle, and the url is then fixed.
     """
@@ -51,7 +63,7 @@ def render_requests(
     if batch_size < 1:
         raise ValueError("render_requests: batch_size must be at least 1")
     if body_template:
-        body = render_template(df, body_template)
+        body = render_template(df, body_template, json_text)
     else:
         everything = F.struct(*[column(name) for name in df.columns])
         body = F.to_json(everything, {"ignoreNullFields": "false"})
@@ -59,7 +71,7 @@ def render_requests(
     header_map = (F.create_map(*pairs) if pairs else F.create_map()).cast("map<string,string>")
     fixed = [F.lit(method).alias("method"), header_map.alias("headers")]
     if batch_size == 1:
-        return df.select(render_template(df, url).alias("url"), *fixed, body.alias("body"))
+        return df.select(render_template(df, url, url_part).alias("url"), *fixed, body.alias("body"))
     if _PLACEHOLDER.search(url):
         raise ValueError("render_requests: a batched request cannot have a url per row")
 

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rowloom.columns import any_null, column, name_list, require, require_columns
+from rowloom.columns import any_null, column, free_name, name_list, require, require_columns
 from rowloom.operators.combine import key_set
 from rowloom.operators.transforms import deduplicate
-from rowloom.session import materialize
+from rowloom.session import materialize, stages
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 SINK_FORMATS = ("csv", "json", "parquet", "xml")
@@ -29,8 +32,8 @@ def write_file(
 ) -> DataFrame:
     """Write a directory of files, one per task, and pass the data on.
 
-    CSV gets a header line and doubles quotes inside fields; text formats keep
-    microseconds.  Reading a CSV turns empty text into NULL, unless both sides
+    CSV gets a header line, doubles quotes inside fields and keeps white space at
+    their ends; text formats keep microseconds.  Reading a CSV turns empty text into NULL, unless both sides
     name another marker, as in ``options={"nullValue": "\\N"}``.
     ``compress`` is a codec such as ``gzip`` or ``snappy``.  ``mode`` is Spark's
     (error, append, overwrite, ignore); overwriting together with
@@ -51,6 +54,8 @@ def write_file(
     writer = rows.write.format(format).mode(mode)
     if format == "csv":
         writer = writer.option("header", True).option("escape", '"')
+        writer = writer.option("ignoreLeadingWhiteSpace", False)
+        writer = writer.option("ignoreTrailingWhiteSpace", False)
     if format == "json":
         writer = writer.option("ignoreNullFields", False)
     if format == "xml":
@@ -75,7 +80,8 @@ def upsert(
 ) -> DataFrame:
     """The rows of ``target`` after ``source`` was merged in by key.
 
-    A source row replaces the target rows with its key, or is added.  Several
+    A source row replaces the target rows with its key, or is added.  Both sides
+    have the same columns, else it is a ``ValueError``.  Several
     source rows with one key are reduced to the first by ``order_by`` (any one
     without it).  A NULL key matches nothing: such rows are all kept on both
     sides.  The target side is an anti join, which Spark may split when one key
@@ -85,11 +91,15 @@ def upsert(
     require(names, "upsert: needs keys")
     require_columns(target, names, "upsert (target)")
     require_columns(source, names, "upsert (source)")
+    if set(source.columns) != set(target.columns):
+        odd = sorted(set(source.columns) ^ set(target.columns))
+        raise ValueError(f"upsert: columns on one side only: {odd}")
     keyed, unkeyed = source.filter(~any_null(names)), source.filter(any_null(names))
-    changes = deduplicate(keyed, names, order_by)
-    kept = target.join(key_set(keyed, names), names, "left_anti")
+    # Written once: the same rows decide what goes and what comes.
+    changes = materialize(deduplicate(keyed, names, order_by).unionByName(unkeyed), "upsert")
+    kept = target.join(key_set(changes, names), names, "left_anti")
     columns = [column(name) for name in target.columns]
-    return kept.select(*columns).unionByName(changes.unionByName(unkeyed).select(*columns))
+    return kept.select(*columns).unionByName(changes.select(*columns))
 
 
 def upsert_table(
@@ -101,13 +111,14 @@ def upsert_table(
 ) -> None:
     """Merge ``source`` into the partitioned Parquet table at ``path``.
 
-    Only partitions that occur in ``source`` are read and rewritten, so the
-    cost follows the change, not the table.  The source is written down once
-    and its partition values are listed; that list is no longer than the one
-    the driver keeps of the table's partitions anyway.  Rows with one key must lie in one partition, therefore
-    the partition columns are part of the key.  The
-    rewrite is staged and moved into place when the job commits; a lost
-    executor leaves the table as it was.
+    Only partitions that occur in ``source`` are rewritten, and only the range
+    between its smallest and largest partition value is read.  Source and table
+    have the same columns (``ValueError`` otherwise); the table's types count.
+    A partition value of empty text is NULL, as Spark stores both in one
+    folder.  Rows with one key must lie in one partition, therefore the
+    partition columns are part of the key.  The rewrite is staged and moved
+    into place when the job commits; a lost executor leaves the table as it
+    was.
     """
     names, partitions = name_list(keys), name_list(partition_by)
     require(partitions, "upsert_table: needs partition columns")
@@ -115,19 +126,41 @@ def upsert_table(
     if outside:
         raise ValueError(f"upsert_table: partition columns {outside} must be part of the key")
     spark = source.sparkSession
-    source = materialize(source, "changes")
-    target = spark.read.schema(source.schema).parquet(path)
-    touched = materialize(
-        source.select(*[column(name) for name in partitions]).distinct(), "partitions"
+    stored = spark.read.parquet(path)
+    if set(stored.columns) != set(source.columns):
+        odd = sorted(set(stored.columns) ^ set(source.columns))
+        raise ValueError(f"upsert_table: columns on one side only: {odd}")
+    # Folder names do not tell the types of partition columns, the source does.
+    layout = T.StructType(
+        [source.schema[f.name] if f.name in partitions else f for f in stored.schema]
     )
-    folders = touched.collect()
-    affected = target
-    for index, name in enumerate(partitions):
-        values = {row[index] for row in folders}
-        inside = column(name).isin([value for value in values if value is not None])
-        affected = affected.filter(inside | column(name).isNull() if None in values else inside)
-    if len(partitions) > 1:
-        # The filters prune the scan per column, this drops combinations not touched.
-        affected = affected.join(touched, partitions, "left_semi")
-    merged = upsert(affected, source, names, order_by)
-    write_file(merged, path, "parquet", mode="overwrite", partition_by=partitions)
+    with stages():
+        changes = source.select(*[_as_stored(f, f.name in partitions) for f in layout])
+        changes = materialize(changes, "changes")
+        target = spark.read.schema(layout).parquet(path)
+        touched = changes.select(*[column(name) for name in partitions]).distinct()
+        touched = materialize(touched, "partitions")
+        edges = touched.agg(*[f(column(n)) for n in partitions for f in (F.min, F.max, _nulls)])
+        limits = edges.first()
+        for place, name in enumerate(partitions):
+            low, high, nulls = limits[3 * place : 3 * place + 3]
+            inside = column(name).between(low, high) if low is not None else F.lit(False)
+            target = target.filter(inside | column(name).isNull() if nulls else inside)
+        inside = {name: free_name(f"touched_{i}", target) for i, name in enumerate(partitions)}
+        same = [column(name).eqNullSafe(column(other)) for name, other in inside.items()]
+        affected = target.join(
+            touched.withColumnsRenamed(inside), reduce(lambda a, b: a & b, same), "left_semi"
+        )
+        merged = upsert(affected, changes, names, order_by)
+        write_file(merged, path, "parquet", mode="overwrite", partition_by=partitions)
+
+
+def _nulls(value: Column) -> Column:
+    return F.coalesce(F.bool_or(value.isNull()), F.lit(False))
+
+
+def _as_stored(field: T.StructField, is_partition: bool) -> Column:
+    value = column(field.name).cast(field.dataType)
+    if is_partition and isinstance(field.dataType, T.StringType):
+        value = F.nullif(value, F.lit(""))
+    return value.alias(field.name)

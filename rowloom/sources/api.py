@@ -64,7 +64,7 @@ def api_source(
     authentication, paging and tests are the caller's; ``http_fetch()`` is one.
     The payload is a JSON list of objects, or one object; ``schema`` describes
     an object.  A payload that is not such JSON fails the job rather than
-    vanish.  ``parallelism`` spreads the requests over that many tasks.  A lost
+    vanish, and so does an empty answer (an empty list is an answer).  ``parallelism`` spreads the requests over that many tasks.  A lost
     task repeats its requests.
     """
     require_columns(requests, ["url"], "api_source")
@@ -91,6 +91,9 @@ def api_source(
                 )
 
     payloads = calls.mapInArrow(send, "payload string")
+    empty = F.trim(F.coalesce("payload", F.lit(""))) == ""
+    failed = F.raise_error(F.lit("api_source: empty answer")).cast("string")
+    payloads = payloads.select(F.when(empty, failed).otherwise(F.col("payload")).alias("payload"))
     return parse_payload(payloads, "payload", record)
 
 
@@ -99,13 +102,16 @@ def parse_payload(
     name: str,
     schema: str | T.StructType,
     keep: str | Sequence[str] | None = None,
+    *,
+    outer: bool = False,
 ) -> DataFrame:
     """Turn a column of JSON lists (or objects) into one row per object.
 
     The columns in ``keep`` are repeated beside each object.  Malformed JSON
-    fails the job.
+    fails the job.  A NULL payload and an empty list hold no object and give no
+    row; with ``outer=True`` they give one, with NULL in the fields of ``schema``.
     """
     rows = F.from_json(
         column(name), T.ArrayType(as_struct_type(schema)), {"mode": "FAILFAST"}
     )
-    return df.select(*[column(other) for other in name_list(keep)], F.inline(rows))
+    return df.select(*[column(other) for other in name_list(keep)], F.inline_outer(rows) if outer else F.inline(rows))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import islice
 
@@ -24,9 +25,9 @@ def custom_source(
     """Rows produced by a Python function, one call per partition spec.
 
     ``partitions`` says how to cut the source: a list of specs (file names,
-    date ranges, shards), each read by a task of its own, or a DataFrame whose
-    rows, as dicts, are the specs.  Those are spread over ``parallelism`` tasks
-    (``spark.sql.shuffle.partitions`` if not given): a fixed number, because
+    date ranges, shards), or a DataFrame whose rows, as dicts, are the specs.
+    They are spread over ``parallelism`` tasks (if not given, a task per spec
+    of a list, ``spark.sql.shuffle.partitions`` for a DataFrame): a fixed number, because
     adaptive execution would see tiny specs and read them all in one task.
     ``read(spec)`` yields row dicts; they leave in bounded batches, so a spec
     may be larger than memory.  Unlike inference from the first row, the
@@ -40,14 +41,18 @@ def custom_source(
         while chunk := list(islice(rows, SLICE_ROWS)):
             yield from from_dicts(chunk, arrow_schema)
 
-    if isinstance(partitions, DataFrame):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for specs in to_dicts(batch.schema.names, batch.columns):
+                for spec in specs:
+                    yield from rows_of(spec)
 
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for specs in to_dicts(batch.schema.names, batch.columns):
-                    for spec in specs:
-                        yield from rows_of(spec)
+    def run_pickled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for spec in batch.column(0).to_pylist():
+                yield from rows_of(pickle.loads(spec))
 
+    if isinstance(partitions, DataFrame):
         tasks = parallelism or int(spark.conf.get("spark.sql.shuffle.partitions"))
         return partitions.repartition(tasks).mapInArrow(run, output)
 
@@ -55,10 +60,8 @@ def custom_source(
     if not specs:
         return spark.createDataFrame([], output)
 
-    def run_numbered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number in batch.column(0).to_pylist():
-                yield from rows_of(specs[number])
-
-    numbers = spark.range(0, len(specs), 1, len(specs))
-    return numbers.mapInArrow(run_numbered, output)
+    # Each task gets its own specs only, as data.
+    tasks = min(parallelism or len(specs), len(specs))
+    rows = [(number % tasks, pickle.dumps(spec)) for number, spec in enumerate(specs)]
+    dealt = spark.createDataFrame(rows, "task int, spec binary").repartitionByRange(tasks, "task")
+    return dealt.select("spec").mapInArrow(run_pickled, output)

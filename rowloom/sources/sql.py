@@ -12,15 +12,21 @@ from rowloom.columns import require
 
 _PLACEHOLDER = re.compile(r"\{\{\s*([\w.]+)\s*\}\}")
 
-# Comments, text literals (with the type word before them) and bare placeholders.
+# Comments, quoted names, text literals in either quotes (with the type word before
+# them) and bare placeholders.
 _SQL_TOKEN = re.compile(
     r"--[^\n]*|/\*.*?\*/"
-    r"|(?:\b(?P<type>date|timestamp|timestamp_ntz)\s+)?'(?P<text>(?:[^']|'')*)'"
+    r"|`(?:[^`]|``)*`"
+    r"|(?:\b(?P<type>date|timestamp|timestamp_ntz)\s+)?(?P<raw>\br)?"
+    r"(?:'(?P<text>(?:[^'\\]|\\.|'')*)'|\"(?P<double>(?:[^\"\\]|\\.|\"\")*)\")"
     r"|\{\{\s*(?P<bare>[\w.]+)\s*\}\}",
     re.DOTALL | re.IGNORECASE,
 )
 
 
+_SQL_COMMENT = re.compile(r"--[^\n]*|/\*.*?\*/", re.DOTALL)
+
+
 def run_variables(
     ds: date | str | None = None,
     next_ds: date | str | None = None,
@@ -74,7 +80,9 @@ def run_query(
     ``{{ name }}`` stands for a run variable (see ``run_variables``).  It
     becomes a typed parameter, never part of the SQL text, so partition pruning
     sees a literal and a value cannot change the statement.  Quotes around it
-    are optional; inside a longer text literal its text is spliced in.
+    are optional; inside a longer text literal, in single or double quotes, its
+    text is spliced in.  In a quoted name or where quotes are not closed it is a
+    ``ValueError``.
     ``args`` are further named parameters (``:name``).
     """
     require(query.strip(), "run_query: needs a query")
@@ -88,9 +96,14 @@ def run_query(
     def rewrite(found: re.Match) -> str:
         if found["bare"]:
             return marker(found["bare"])
-        text = found["text"]
+        quote = "'" if found["double"] is None else '"'
+        text = found["text"] if found["double"] is None else found["double"]
         if text is None or not _PLACEHOLDER.search(text):
+            if text is None and _PLACEHOLDER.search(found[0]) and found[0].startswith("`"):
+                raise ValueError(f"run variables cannot name columns: {found[0]}")
             return found[0]
+        if found["raw"]:
+            raise ValueError(f"run variables cannot stand in a raw text literal: {found[0]}")
         whole = _PLACEHOLDER.fullmatch(text.strip())
         if whole:
             value = marker(whole[1])
@@ -98,13 +111,16 @@ def run_query(
             # Odd pieces are variable names, even ones the text between them.
             pieces = _PLACEHOLDER.split(text)
             value = " || ".join(
-                f"CAST({marker(piece)} AS STRING)" if index % 2 else f"'{piece}'"
+                f"CAST({marker(piece)} AS STRING)" if index % 2 else f"{quote}{piece}{quote}"
                 for index, piece in enumerate(pieces)
             )
             value = f"({value})"
         return f"CAST({value} AS {found['type']})" if found["type"] else value
 
     statement = _SQL_TOKEN.sub(rewrite, query)
+    left = _SQL_COMMENT.sub("", statement)
+    if any(f":{key}" not in statement for key in bound if key not in (args or {})) or _PLACEHOLDER.search(left):
+        raise ValueError("run_query: a run variable stands where it cannot be read")
     if frames:
         # Spark formats the text; only the names of frames may be braces to it.
         names = "|".join(re.escape(name) for name in frames)

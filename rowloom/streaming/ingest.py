@@ -30,6 +30,10 @@ def ingest_new_files(
     files does nothing.  A backlog is cut into batches of ``max_files``, so an
     interrupted run resumes near where it was.
 
+    CSV files have a header line that must name the columns of ``schema`` in its
+    order, and a record that does not fit fails the run; ``options`` may say
+    otherwise.
+
     ``transform`` may be made of row-wise operators (rename, drop, add, filter,
     replace, Python row functions).  ``sink`` is a folder, written as Parquet
     exactly once, or a function ``(batch_df, batch_id)``, in which every
@@ -40,7 +44,9 @@ def ingest_new_files(
     require(checkpoint, "ingest_new_files: needs a checkpoint folder")
     reader = spark.readStream.format(format).schema(schema)
     if format == "csv":
-        reader = reader.option("header", True).option("escape", '"')
+        reader = reader.option("header", True).option("escape", '"').option("enforceSchema", False)
+    if format != "parquet":
+        reader = reader.option("mode", "FAILFAST")
     stream = (
         reader.option("maxFilesPerTrigger", max_files).options(**(options or {})).load(path)
     )

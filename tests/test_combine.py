@@ -126,18 +126,6 @@ def test_rejected(spark):
         join(wide, wide, "k")
 
 
-def test_outer_join_reuses_the_left_shuffle(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        a = spark.range(0, 1000, 1, 4).selectExpr("id % 7 AS k", "id AS v")
-        b = spark.range(0, 1000, 1, 4).selectExpr("id % 9 AS k", "id AS w")
-        result = join(a, b, "k", "left")
-        result.collect()
-        assert "ReusedExchange" in result._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 class TestFanIn:
     def test_differing_columns(self, spark, rows):
         a = spark.createDataFrame([(1, 2)], "x int, y int")

@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowloom import (
-    BatchResult,
     TaskOutcome,
     filter_py,
     map_rows,
+    reported_batches,
     task,
     task_batches,
     task_groups,
@@ -130,11 +130,14 @@ class TestBatches:
         result = task_batches(spark.range(1), lambda frame: frame, "id bigint, x int", frames=True)
         assert rows(result) == [(0, None)]
 
-    def test_batch_result(self, spark):
-        result = task_batches(
-            spark.range(4), lambda rows: BatchResult(rows[:1], warnings=["cut"]), "id bigint"
-        )
-        assert result.count() >= 1
+    def test_nan_stays_nan(self, spark):
+        df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "f double").coalesce(1)
+        for function in (lambda frame: frame, lambda frame: frame.copy(), lambda frame: None):
+            got = [r.f for r in task_batches(df, function, frames=True).collect()]
+            assert got[0] == 1.0 and got[1] != got[1] and got[2] is None
+        clean = df.where("f IS NOT NULL")
+        doubled = [r.f for r in task_batches(clean, lambda frame: frame * 2, frames=True).collect()]
+        assert doubled[0] == 2.0 and doubled[1] != doubled[1]
 
     def test_wrong_result(self, spark):
         with pytest.raises(Exception, match="TypeError"):
@@ -187,6 +190,30 @@ class TestGroups:
             spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
         assert result == sorted(((k, counts[k], totals[k]) for k in counts), key=repr)
 
+    def test_merges_stay_bounded(self, spark):
+        """The largest frame given to ``merge`` does not grow with the rows of a key."""
+
+        def merge(parts):
+            whole = self.merge(parts)
+            whole["widest"] = max(len(parts), parts["widest"].max())
+            return whole
+
+        def condense(piece):
+            return self.condense(piece).assign(widest=0)
+
+        def widest(count):
+            df = spark.range(0, count, 1, 2).selectExpr("'hot' AS k", "id AS v")
+            schema = "k string, n bigint, total bigint, widest bigint"
+            row = task_groups(df, "k", condense, merge, schema).first()
+            assert (row.n, row.total) == (count, count * (count - 1) // 2)
+            return row.widest
+
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+        try:
+            assert 1 < widest(5_000) == widest(20_000) <= 16
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
     def test_keys_belong_to_the_schema(self, spark):
         df = spark.createDataFrame([("a", 1)], "k string, v bigint")
         with pytest.raises(ValueError, match="keys"):
@@ -195,25 +222,34 @@ class TestGroups:
             task_groups(df, [], self.condense, self.merge, "k string")
 
 
-class TestBatchResult:
-    def test_defaults(self):
-        result = BatchResult()
-        assert result.to_rows() == [] and result.row_count == 0
-        assert not result.has_warnings and not result.has_errors
-
-    def test_diagnostics(self):
-        result = BatchResult([{"a": 1}], ["w"], ["e"], {"skipped": 2})
-        assert result.has_warnings and result.has_errors and result.row_count == 1
-        assert result.metadata == {"skipped": 2}
-
-    def test_frame(self):
-        result = BatchResult(pd.DataFrame({"x": [1.0, None]}))
-        assert result.row_count == 0
-        assert result.to_rows() == [{"x": 1.0}, {"x": None}]
-
-    def test_other_data(self):
-        with pytest.raises(TypeError, match="str"):
-            BatchResult("text").to_rows()
+class TestReports:
+    @staticmethod
+    def audit(rows, report):
+        for row in rows:
+            if row["id"] % 2:
+                report.warn("odd")
+            report.add("total", row["id"])
+        return [row for row in rows if row["id"] > 7]
+
+    def test_reports_reach_the_driver(self, spark, rows):
+        df = spark.range(0, 10, 1, 3)
+        outcome = reported_batches(
+            df, self.audit, warnings=["odd", "never"], errors=["broken"], sums=["total"]
+        )
+        assert rows(outcome.df) == [(8,), (9,)]
+        assert outcome.warnings == {"odd": 5} and outcome.has_warnings
+        assert outcome.errors == {} and not outcome.has_errors
+        assert outcome.metadata == {"total": 45.0} and outcome.row_count == 2
+
+    def test_nothing_returned_and_clashing_names(self, spark):
+        df = spark.range(3).selectExpr("id", "1 AS is_row", "2 AS reports")
+        outcome = reported_batches(df, lambda rows, r: [r.error("gone")] and [], errors=["gone"])
+        assert outcome.df.columns == ["id", "is_row", "reports"] and outcome.df.collect() == []
+        assert outcome.errors and outcome.row_count == 0
+
+    def test_undeclared_texts_fail(self, spark):
+        with pytest.raises(Exception, match="KeyError"):
+            reported_batches(spark.range(1), lambda rows, r: r.warn("other")).df.collect()
 
 
 class TestOutcome:

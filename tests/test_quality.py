@@ -279,7 +279,7 @@ class TestGate:
     def test_on_failure_may_be_overridden(self, spark):
         df = spark.range(3)
         soft = {"rule": "min", "column": "id", "params": {"min": 2}}
-        assert quality_gate(df, [{**soft, "on_failure": "skip"}]) is df
+        assert quality_gate(df, [{**soft, "on_failure": "skip"}], reuse=None) is df
         with pytest.raises(QualityError):
             quality_gate(df, [{**soft, "on_failure": "block"}])
 

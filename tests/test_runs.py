@@ -195,13 +195,14 @@ class TestJobs:
             ("a@x.org", "O'neil Anne-marie", "5551234"),
         ]
 
-    def test_too_few_leads_stop_the_batch(self, spark, tmp_path):
+    def test_too_few_leads_go_to_quarantine(self, spark, tmp_path, caplog):
         incoming = tmp_path / "in"
         incoming.mkdir()
         (incoming / "a.csv").write_text("email,name,phone\na@b.c,a,1\n")
         paths = [str(tmp_path / name) for name in ("table", "mark")]
-        with pytest.raises(Exception, match="got 1 leads"):
-            jobs.ingest_leads(spark, str(incoming), *paths, lambda rows: None)
+        assert jobs.ingest_leads(spark, str(incoming), *paths, lambda rows: None).collect() == []
+        assert spark.read.parquet(paths[0] + "-quarantine").count() == 1
+        assert "got 1 leads" in caplog.text
 
     def test_leads_arrive_in_batches(self, spark, tmp_path):
         incoming, outbox = tmp_path / "in", tmp_path / "outbox"
