@@ -162,20 +162,23 @@ def learning_sample(
     rows = docs.where(F.col(id_col).isNotNull() & learn(F.col(id_col))).select(F.col(id_col).alias("doc_id"), raw_text(text_col).alias("text"))
     share = lambda of: int(min(1.0, max_texts / max(of, 1)) * LOTS)
     lot = lambda name: F.pmod(F.xxhash64(F.lit("lot"), name), F.lit(LOTS))
-    positive = marked.where((F.col("toxic") == 1) & (lot("l_") < share(toxic)))
-    chosen = rows.join(positive, F.col("doc_id") == F.col("l_"), "left_semi").withColumn("positive", F.lit(True))
-    chosen = chosen.unionByName(rows.where(lot("doc_id") < share(rows.count())).withColumn("positive", F.lit(False)))
+    # At most about max_texts ids, so every task can have them.
+    positive = F.broadcast(marked.where((F.col("toxic") == 1) & (lot("l_") < share(toxic))).select("l_"))
+    kinds = rows.join(positive, F.col("doc_id") == F.col("l_"), "left").select(
+        "text", F.col("l_").isNotNull().alias("positive"), (lot("doc_id") < share(rows.count())).alias("unlabelled")
+    )
+    chosen = kinds.where("positive or unlabelled")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordBuckets()
         for batch in batches:
             found = [x.astype(np.uint32).tobytes() for x in buckets_of(batch.column("text").to_pylist(), known)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column("positive")], names=["buckets", "positive"])
+            columns = [pa.array(found, pa.binary()), batch.column("positive"), batch.column("unlabelled")]
+            yield pa.RecordBatch.from_arrays(columns, names=["buckets", "positive", "unlabelled"])
 
-    kinds: dict[bool, list[np.ndarray]] = {True: [], False: []}
-    for row in sorted(chosen.select("text", "positive").mapInArrow(packed, "buckets binary, positive boolean").collect()):
-        kinds[row.positive].append(np.frombuffer(row.buckets, np.uint32).astype(np.int64))
-    return as_rows(kinds[True]), as_rows(kinds[False]), min(max(toxic / max(total, 1), 1e-3), 0.999)
+    found = sorted(chosen.mapInArrow(packed, "buckets binary, positive boolean, unlabelled boolean").collect())
+    rows_of = lambda kind: as_rows([np.frombuffer(r.buckets, np.uint32).astype(np.int64) for r in found if r[kind]])
+    return rows_of("positive"), rows_of("unlabelled"), min(max(toxic / max(total, 1), 1e-3), 0.999)
 
 
 def toxicity(text_col: str, model: Model) -> Column:
