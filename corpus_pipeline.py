@@ -1,7 +1,8 @@
 """The corpus pipeline: operators one after another, each reading what its predecessor wrote.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame.  All but the
-last return the columns of ``docs``.  NULL texts, empty tables and repeated
+last return the columns of ``docs``.  Stages with Python code ship the package
+to the workers.  NULL texts, empty tables and repeated
 rows are handled as the operators' docstrings say.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm import bpe, exact_dedup, jaccard, mixing, repetition
 from rowloom.llm.common import free_names
-from rowloom.session import materialize
+from rowloom.session import materialize, ship_package
 
 #: The tokenizer file of the last stage.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +22,7 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules reject go."""
+    ship_package(spark)
     return repetition.drop_repetitive(docs)
 
 
@@ -31,6 +33,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document with the smallest id stays."""
+    ship_package(spark)
     return jaccard.drop_similar(docs)
 
 
@@ -41,6 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts become token ids; the decoded text is kept as its digest."""
+    ship_package(spark)
     (name,) = free_names(docs, "tokens_")
     rows = docs.withColumn(name, bpe.tokens("text", VOCABULARY))
     return rows.select(
