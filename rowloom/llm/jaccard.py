@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from rowloom.llm.common import each_salt, raw_text, salt_of, salts_seen
+from rowloom.llm.common import each_salt, free_names, raw_text, salt_of, salts_seen
 from rowloom.session import materialize
 
 WORDS = 5
@@ -242,11 +242,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
     sets = materialize(sets.withColumn("node", F.xxhash64("digest")), "distinct-sets")
     bands = sets.select("node", "size", F.explode("bands").alias("key"), salt_of(F.col("node")).alias("salt"))
+    # Tasks combine their rows of a bucket before the shuffle; the members come back by key and salt.
     member = {"n": F.count(F.lit(1)), "f": F.bit_xor(F.xxhash64("node")), "g": F.bit_xor(F.xxhash64(F.lit(1), "node")), "total": F.sum("size")}
-    salted = bands.groupBy("key", "salt").agg(*(c.alias(n) for n, c in member.items()))
-    buckets = salted.groupBy("key").agg(
-        F.sum("n").alias("n"), F.bit_xor("f").alias("f"), F.bit_xor("g").alias("g"), F.sum("total").alias("total"), salts_seen().alias("salts")
-    )
+    buckets = bands.groupBy("key").agg(*(c.alias(n) for n, c in member.items()), salts_seen().alias("salts"))
     once = buckets.where("n > 1").groupBy("n", "f", "g", "total").agg(F.min("key").alias("key"), F.bit_or("salts").alias("salts"))
     once = once.select("key", F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"), each_salt("salts").alias("salt"))
     members = bands.join(once, ["key", "salt"]).withColumn("block", F.pmod(F.xxhash64(F.lit(2), "node"), F.col("blocks")).cast("int"))
@@ -280,5 +278,6 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """The document with the smallest id of each class, with all its columns; rows that repeat an id stay together."""
     found = similar_documents(docs, id_col, text_col, threshold)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept_")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("kept_")), "left_semi")
+    (name,) = free_names(docs, "kept_id")
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
