@@ -44,7 +44,9 @@ FOLD, FORMS = 12, 500
 #: Pages that must agree on a text outside paragraphs before it counts as template.
 TEMPLATE_PAGES = 5
 
-TAG = re.compile(rb"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+OPEN = re.compile(rb"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+# A quote counts after an equals sign only.
+QUOTE = re.compile(rb"""=\s*(["'])|>""")
 NAMED = re.compile(rb"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 # Names of elements and of their classes.
 RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe"}
@@ -60,27 +62,48 @@ NOISE_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "alert", "bann
 MAIN_NAMES = {"article", "content", "entry", "main", "post", "story", "body", "text"}
 
 
+def tag_end(page: bytes, at: int) -> int:
+    """Where the tag ends whose name ends at ``at``: after a ``>`` outside of quotes, or -1."""
+    plain = page.find(b">", at) + 1
+    while plain:
+        found = QUOTE.search(page, at)
+        if found and found[1] is None:
+            return found.end()
+        close = page.find(found[1], found.end()) if found else -1
+        if close < 0:
+            return plain
+        at = close + 1
+    return -1
+
+
 def stream(page: bytes) -> Iterator[tuple[str, str]]:
-    """Tags as (``<name.class#id`` or ``</name``, "") and texts as ("#", text) in the order of the page."""
+    """Tags as (``<name`` with the words of its class, id and role, or ``</name``, "") and texts as ("#", text) in the order of the page."""
     at, size = 0, len(page)
     while at < size:
-        found = TAG.search(page, at)
-        stop = found.start() if found else size
-        if stop > at:
-            yield "#", page[at:stop].decode("utf-8", "replace")
-        if not found:
+        found = OPEN.search(page, at)
+        end = -1
+        if found and found[1]:
+            end = page.find(b"-->", found.end()) + 3
+            end = size if end < 3 else end
+        elif found:
+            end = page.find(b">", found.end()) + 1 if found[2] else tag_end(page, found.end())
+        if not found or end <= 0:
+            yield "#", page[at:].decode("utf-8", "replace")
             return
-        at = found.end()
-        if found[2] is None:
+        if found.start() > at:
+            yield "#", page[at : found.start()].decode("utf-8", "replace")
+        at = end
+        if found[4] is None:
             continue
-        name = found[2].decode("ascii", "replace").lower()
-        if found[1]:
+        name = found[4].decode("ascii", "replace").lower()
+        if found[3]:
             yield "</" + name, ""
             continue
-        marks = sorted({w for m in NAMED.finditer(found[3]) for w in (m[2] or m[3] or m[4] or b"").decode("utf-8", "replace").lower().split()})
+        told = NAMED.finditer(page[found.end() : end])
+        marks = sorted({w for m in told for w in (m[2] or m[3] or m[4] or b"").decode("utf-8", "replace").lower().split()})
         yield "<" + ".".join([name, *marks]), ""
         if name in RAW:
-            close = re.compile(rb"</" + found[2] + rb"[\s/>]", re.I).search(page, at)
+            close = re.compile(rb"</" + found[4] + rb"[\s/>]", re.I).search(page, at)
             at = close.start() if close else size
 
 
@@ -98,34 +121,47 @@ def is_noise(tag: str, inside: list[str]) -> bool:
         return False
     if name == "article":
         return bool(words & {"comment", "comments", "reply"})
-    within = any(name_of(t) in ("article", "main") for t in inside)
-    return bool(words & NOISE_NAMES) or (name == "header" or "header" in words) and not within
+    if words & NOISE_NAMES:
+        return True
+    # A header inside an article is its own, other ones are the site's.
+    return (name == "header" or "header" in words) and not any(name_of(t) in ("article", "main") for t in inside)
 
 
 class Walk:
-    """The open elements along a stream; ends close the nearest element of their name."""
+    """The open elements along a stream; ends close the nearest element of their name.
 
-    def __init__(self):
+    ``noise`` and ``inside`` are the depths of the outermost element that is
+    none of the main text, and of the outermost main element, 0 outside.
+    """
+
+    def __init__(self, main: str = ""):
         self.open: list[str] = []
-        self.noise = 0  # how many lie down to the first that is none of the main text
+        self.noise = self.inside = 0
+        self.main, self.main_name = main, name_of(main) if name_of(main) in ("article", "main") else ""
 
     def enter(self, tag: str) -> None:
         name = name_of(tag)
         if tag.startswith("</"):
             for i in range(len(self.open) - 1, -1, -1):
                 if name_of(self.open[i]) == name:
-                    del self.open[i:]
-                    self.noise = 0 if self.noise > i else self.noise
+                    self.close(i)
                     return
             return
         if name in VOID:
             return
         if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and self.open and name_of(self.open[-1]) == name:
-            self.open.pop()
+            self.close(len(self.open) - 1)
         if not self.noise and is_noise(tag, self.open):
             self.noise = len(self.open) + 1
+        if not self.inside and (tag == self.main or name == self.main_name):
+            self.inside = len(self.open) + 1
         self.open.append(tag)
 
+    def close(self, depth: int) -> None:
+        del self.open[depth:]
+        self.noise = 0 if self.noise > depth else self.noise
+        self.inside = 0 if self.inside > depth else self.inside
+
 
 # A wrapper is a list of items [key, optional, text, chars]: text is the hash of a fixed text, None in
 # slots and groups; a key is a tag, "#" for a text, or the keys of a repeated group between brackets.
@@ -287,7 +323,7 @@ def rule(wrapper: Wrapper) -> dict:
 
 def main_text(page: bytes, main: str, template: set[str]) -> str:
     """The blocks of the main element in page order, one to a line."""
-    walk, blocks, open_block = Walk(), [], []
+    walk, blocks, open_block = Walk(main), [], []
 
     def end() -> None:
         plain = " ".join(html.unescape("".join(open_block)).split())
@@ -295,10 +331,9 @@ def main_text(page: bytes, main: str, template: set[str]) -> str:
             blocks.append(plain)
         open_block.clear()
 
-    same = name_of(main) if main else ""
     for key, text in stream(page):
         if key == "#":
-            if not walk.noise and (not main or any(t == main or same in ("article", "main") and name_of(t) == same for t in walk.open)):
+            if not walk.noise and (walk.inside or not main):
                 if not template or xxhash.xxh3_64_hexdigest(" ".join(text.split())) not in template:
                     open_block.append(text)
             continue
