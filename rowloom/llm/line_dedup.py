@@ -2,9 +2,9 @@
 
 The documents are exploded into normalised lines; a line is known by two
 64-bit hashes of its key, so two keys meet by chance with a probability near
-pairs / 2**128.  The documents of each hash are counted by salt first and over
-the salts then, which spreads a line that every document has.  The positions
-to drop return to the documents, which are cut between them and joined again
+pairs / 2**128.  Tasks combine what they have of a hash before it is shuffled,
+and the lines come back to the hashes by a salt, which spreads a line that
+every document has.  The positions to drop return to the documents, which are cut between them and joined again
 in the order of the lines; texts are shuffled once, lines never.
 
 Defined cases.  A NULL or empty text has one empty line.  A NULL id is a
@@ -38,11 +38,8 @@ def line_hashes(docs: DataFrame, min_length: int) -> DataFrame:
 
 def shared_lines(lines: DataFrame) -> DataFrame:
     """The lines of at least two documents: h1, h2, salt and keeper, the smallest id that has it."""
-    facts = [F.min("low").alias("low"), F.max("high").alias("high"), F.sum("ids").alias("ids"), F.sum("n").alias("n")]
-    salted = lines.groupBy("h1", "h2", "salt").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("doc_id").alias("ids"), F.count(F.lit(1)).alias("n")
-    )
-    whole = salted.groupBy("h1", "h2").agg(*facts, salts_seen().alias("salts"))
+    facts = [F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("doc_id").alias("ids"), F.count(F.lit(1)).alias("n")]
+    whole = lines.groupBy("h1", "h2").agg(*facts, salts_seen().alias("salts"))
     several = (F.col("low") < F.col("high")) | ((F.col("ids") > 0) & (F.col("ids") < F.col("n")))
     return whole.where(several).select("h1", "h2", F.col("low").alias("keeper"), each_salt("salts").alias("salt"))
 
