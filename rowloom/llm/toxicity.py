@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from rowloom.llm.common import crc_mod, raw_text
@@ -164,19 +165,22 @@ def learning_sample(
     lot = lambda name: F.pmod(F.xxhash64(F.lit("lot"), name), F.lit(LOTS))
     # At most about max_texts ids, so every task can have them.
     positive = F.broadcast(marked.where((F.col("toxic") == 1) & (lot("l_") < share(toxic))).select("l_"))
-    kinds = rows.join(positive, F.col("doc_id") == F.col("l_"), "left").select(
-        "text", F.col("l_").isNotNull().alias("positive"), (lot("doc_id") < share(rows.count())).alias("unlabelled")
+    marked_rows = rows.join(positive, F.col("doc_id") == F.col("l_"), "left").select(
+        "doc_id", "text", F.col("l_").isNotNull().alias("positive"), (lot("doc_id") < share(rows.count())).alias("unlabelled")
     )
-    chosen = kinds.where("positive or unlabelled")
+    chosen = marked_rows.where("positive or unlabelled")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordBuckets()
         for batch in batches:
             found = [x.astype(np.uint32).tobytes() for x in buckets_of(batch.column("text").to_pylist(), known)]
-            columns = [pa.array(found, pa.binary()), batch.column("positive"), batch.column("unlabelled")]
-            yield pa.RecordBatch.from_arrays(columns, names=["buckets", "positive", "unlabelled"])
+            columns = [batch.column("doc_id"), pa.array(found, pa.binary()), batch.column("positive"), batch.column("unlabelled")]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "buckets", "positive", "unlabelled"])
 
-    found = sorted(chosen.mapInArrow(packed, "buckets binary, positive boolean, unlabelled boolean").collect())
+    schema = T.StructType([chosen.schema["doc_id"]]).add("buckets", "binary").add("positive", "boolean").add("unlabelled", "boolean")
+    # One text for each id, however often it stands, keeps the sample bounded.
+    single = chosen.mapInArrow(packed, schema).groupBy("doc_id").agg(*(F.max(c).alias(c) for c in schema.names[1:]))
+    found = sorted(single.drop("doc_id").collect())
     rows_of = lambda kind: as_rows([np.frombuffer(r.buckets, np.uint32).astype(np.int64) for r in found if r[kind]])
     return rows_of("positive"), rows_of("unlabelled"), min(max(toxic / max(total, 1), 1e-3), 0.999)
 
