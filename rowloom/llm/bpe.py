@@ -45,7 +45,7 @@ END = "</w>"
 #: Characters read at once; a piece ends at the next blank.
 PIECE = 1 << 15
 #: Words remembered per worker, and as many from before; one is shorter than any window.
-MEMO = 200_000
+MEMO = 100_000
 WORD_MEMO_LENGTH = 48
 #: A merge is one number: its place in the list above these bits, its token in them.
 TOKEN_BITS = 24
