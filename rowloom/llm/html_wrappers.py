@@ -8,8 +8,11 @@ subsequence: texts that differ become slots, parts that only one side has
 become optional, and a group that repeats on either side is repeated in both.
 Tasks align their own pages first, and only wrappers are shuffled: they merge
 by host and salt and then by host, so that a host may hold any share of the
-pages.  The finished wrapper says where the main text of its host stands and
-which of the texts there belong to the template, and goes back to the pages.
+pages.  The finished wrapper says where the main text of its host stands, also in
+the variants that only some pages have, and which of the texts there belong to
+the template, and goes back to the pages.  A page takes its ``article``, else
+its ``main``, else the element that the wrapper names; one that has none of them
+with text in it is taken whole, without noise.
 
 Defined cases.  A NULL page is empty and has no text.  A NULL url, or one
 without a host, has the empty host.  Pages without markup are one block.  Tags
@@ -132,14 +135,15 @@ class Walk:
 
     ``noise`` and ``inside`` are the depths of the outermost element that is
     none of the main text, and of the outermost main element, 0 outside.
+    ``mains`` are the places of the tags that start main elements.
     """
 
-    def __init__(self, main: str = ""):
+    def __init__(self, mains: Iterable[int] = ()):
         self.open: list[str] = []
         self.noise = self.inside = 0
-        self.main, self.main_name = main, name_of(main) if name_of(main) in ("article", "main") else ""
+        self.mains = mains
 
-    def enter(self, tag: str) -> None:
+    def enter(self, tag: str, at: int = -1) -> None:
         name = name_of(tag)
         if tag.startswith("</"):
             for i in range(len(self.open) - 1, -1, -1):
@@ -153,7 +157,7 @@ class Walk:
             self.close(len(self.open) - 1)
         if not self.noise and is_noise(tag, self.open):
             self.noise = len(self.open) + 1
-        if not self.inside and (tag == self.main or name == self.main_name):
+        if not self.inside and at in self.mains:
             self.inside = len(self.open) + 1
         self.open.append(tag)
 
@@ -163,8 +167,8 @@ class Walk:
         self.inside = 0 if self.inside > depth else self.inside
 
 
-# A wrapper is a list of items [key, optional, text, chars]: text is the hash of a fixed text, None in
-# slots and groups; a key is a tag, "#" for a text, or the keys of a repeated group between brackets.
+# A wrapper is a list of items [key, optional, text, [chars, pages]]: text is the hash of a fixed text, None
+# in slots and groups; a key is a tag, "#" for a text, or the keys of a repeated group between brackets.
 
 
 def fold(items: list[list], bodies: set[str]) -> list[list]:
@@ -180,7 +184,7 @@ def fold(items: list[list], bodies: set[str]) -> list[list]:
             if k + repeats > 2 and not body[0].startswith("</") and (repeats > 1 or "|".join(body) in bodies):
                 name = "(" + "|".join(body) + ")+"
                 part = items[i : i + repeats * k]
-                folded.append([name, all(x[1] for x in part), None, sum(x[3] for x in part)])
+                folded.append([name, all(x[1] for x in part), None, [sum(x[3][0] for x in part), max(x[3][1] for x in part)]])
                 i += repeats * k
                 break
         else:
@@ -194,12 +198,16 @@ def page_items(page: bytes) -> list[list]:
     for key, text in stream(page):
         plain = " ".join(text.split())
         if key != "#":
-            items.append([key, False, None, 0])
+            items.append([key, False, None, [0, 1]])
         elif plain:
-            items.append(["#", False, xxhash.xxh3_64_hexdigest(plain), len(plain)])
+            items.append(["#", False, xxhash.xxh3_64_hexdigest(plain), [len(plain), 1]])
     return items
 
 
+def added(x: list[int], y: list[int]) -> list[int]:
+    return [x[0] + y[0], x[1] + y[1]]
+
+
 def align(left: list[list], right: list[list]) -> list[list]:
     """The wrapper that covers both: common items once, the others optional."""
     a, b = [x[0] for x in left], [x[0] for x in right]
@@ -216,7 +224,7 @@ def align(left: list[list], right: list[list]) -> list[list]:
             same = a[first + i] == b[first + j]
             best[i][j] = best[i + 1][j + 1] + 1 if same else max(best[i + 1][j], best[i][j + 1])
     joined, i, j = [], 0, 0
-    both = lambda x, y: [x[0], x[1] or y[1], x[2] if x[2] == y[2] else None, x[3] + y[3]]
+    both = lambda x, y: [x[0], x[1] or y[1], x[2] if x[2] == y[2] else None, added(x[3], y[3])]
     joined.extend(both(x, y) for x, y in zip(left[:first], right[:first], strict=True))
     while i < n or j < m:
         if i < n and j < m and a[first + i] == b[first + j]:
@@ -255,7 +263,7 @@ class Wrapper:
         if form in self.forms:  # aligned before: only texts can differ
             for place, x in zip(self.forms[form], folded, strict=True):
                 mine = self.items[place]
-                mine[3] += x[3]
+                mine[3] = added(mine[3], x[3])
                 if mine[2] != x[2]:
                     mine[2] = None
             return
@@ -291,39 +299,62 @@ def merged(wrappers: Iterable[tuple[str, int]]) -> Wrapper:
 
 
 def rule(wrapper: Wrapper) -> dict:
-    """What a wrapper says: the tag of the main element ("" for the whole page) and the texts of the template."""
-    walk, mass, seen = Walk(), {}, []
-    for key, _, text, chars in wrapper.items:
+    """What a wrapper says: the main elements of all its pages and of their variants, best first, and the texts of the template."""
+    walk, mass, having, seen, total = Walk(), {}, {}, [], 0
+    for key, _, text, (chars, pages) in wrapper.items:
         for part in key[1:-2].split("|") if key.startswith("(") else [key]:
             if part != "#":
                 walk.enter(part)
+                if not part.startswith("</"):
+                    having[part] = max(having.get(part, 0), pages)
                 continue
             if walk.noise:
                 continue
             share = chars if part == key else chars / max(key.count("#"), 1)
             link = any(name_of(t) == "a" for t in walk.open)
             seen.append((list(walk.open), text, chars))
+            total += 0 if link else share
             for depth, tag in enumerate(walk.open):
                 mass[(depth, tag)] = mass.get((depth, tag), 0) + (0 if link else share)
-    total = max((m for (depth, _), m in mass.items() if depth == 0), default=0)
-    main = ""
-    for wanted in ({"article"}, {"main"}):
-        named = {tag: m for (_, tag), m in mass.items() if name_of(tag) in wanted or wanted == {"main"} and "main" in tag.split(".")[1:]}
-        if named and not main:
-            main = max(named, key=lambda tag: (named[tag], tag))
-    if not main:
-        # The innermost element that holds most of the text, one with a telling name before others.
-        holds = [(bool(set(re.split(r"[^a-z]+", tag)) & MAIN_NAMES), depth, tag) for (depth, tag), m in mass.items() if m >= 0.6 * total and name_of(tag) not in PARAGRAPHS | INLINE | {"html", "body"}]
-        main = max(holds)[2] if holds else ""
+    # The innermost element that holds most of the text, one with a telling name before others;
+    # in variants it holds as much of a mean page, as often as it is there.
+    mains, variants = [], []
+    for (depth, tag), m in mass.items():
+        if name_of(tag) not in PARAGRAPHS | INLINE | {"html", "body"}:
+            rank = (bool(set(re.split(r"[^a-z]+", tag)) & MAIN_NAMES), depth, tag)
+            if m >= 0.6 * total:
+                mains.append(rank)
+            elif m >= 0.6 * total * having[tag] / max(wrapper.pages, 1):
+                variants.append(rank)
     template = []
     if wrapper.pages >= TEMPLATE_PAGES:
         template = sorted({text for path, text, _ in seen if text and not any(name_of(t) in PARAGRAPHS for t in path)})
-    return {"main": main, "template": template}
+    return {"main": [tag for *_, tag in sorted(mains, reverse=True)], "variants": [tag for *_, tag in sorted(variants, reverse=True)], "template": template}
+
+
+def is_main(tag: str) -> bool:
+    name, *marks = tag[1:].split(".")
+    return name == "main" or "main" in marks and name not in PARAGRAPHS | INLINE
 
 
-def main_text(page: bytes, main: str, template: set[str]) -> str:
-    """The blocks of the main element in page order, one to a line."""
-    walk, blocks, open_block = Walk(main), [], []
+def main_elements(events: list[tuple[str, str]], said: dict) -> list[tuple[set[int], bool]]:
+    """The starts of the page's main elements, the best kind first, and whether they must hold half of the page's text."""
+    ranks = {tag: 2 + i for i, tag in enumerate(dict.fromkeys([*said["main"], *said["variants"]]))}
+    weak, found, walk = 2 + len(said["main"]), {}, Walk()
+    for at, (key, _) in enumerate(events):
+        if key == "#":
+            continue
+        walk.enter(key)
+        if not key.startswith("</") and not walk.noise:
+            rank = 0 if name_of(key) == "article" else 1 if is_main(key) else ranks.get(key)
+            if rank is not None:
+                found.setdefault(rank, set()).add(at)
+    return [(found[rank], rank >= weak) for rank in sorted(found)]
+
+
+def blocks_of(events: list[tuple[str, str]], mains: set[int] | None, template: set[str]) -> str:
+    """The blocks of the elements that start at ``mains``, or of the whole page, without noise and template."""
+    walk, blocks, open_block = Walk(mains or ()), [], []
 
     def end() -> None:
         plain = " ".join(html.unescape("".join(open_block)).split())
@@ -331,19 +362,32 @@ def main_text(page: bytes, main: str, template: set[str]) -> str:
             blocks.append(plain)
         open_block.clear()
 
-    for key, text in stream(page):
+    for at, (key, text) in enumerate(events):
         if key == "#":
-            if not walk.noise and (walk.inside or not main):
+            if not walk.noise and (walk.inside or mains is None):
                 if not template or xxhash.xxh3_64_hexdigest(" ".join(text.split())) not in template:
                     open_block.append(text)
             continue
         if name_of(key) not in INLINE:
             end()
-        walk.enter(key)
+        walk.enter(key, at)
     end()
     return "\n".join(blocks)
 
 
+def main_text(page: bytes, said: dict) -> str:
+    """The blocks of the first main element that the page has with text in it, else of the whole page, one to a line."""
+    events, template = list(stream(page)), said["template"]
+    whole = None
+    for mains, weak in main_elements(events, said):
+        text = blocks_of(events, mains, template) or blocks_of(events, mains, set())
+        if text and weak:
+            whole = blocks_of(events, None, template) if whole is None else whole
+        if text and not (weak and 2 * len(text) < len(whole)):
+            return text
+    return whole or blocks_of(events, None, template) or blocks_of(events, None, set())
+
+
 def _wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Align the pages of a task with the wrappers of their hosts."""
     held: dict[str, Wrapper] = {}
@@ -393,14 +437,14 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     schema = T.StructType([joined.schema["page_id"], joined.schema["url"], T.StructField("text", T.StringType())])
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[str, set[str]]] = {}
+        known: dict[str, dict] = {}
         for batch in batches:
             found = []
             for told, page in zip(batch.column("rule").to_pylist(), batch.column("page").to_pylist(), strict=True):
                 if told not in known:
-                    said = json.loads(told) if told else {"main": "", "template": []}
-                    known = {**known, told: (said["main"], set(said["template"]))} if len(known) < HELD else {told: (said["main"], set(said["template"]))}
-                found.append(main_text(page, *known[told]))
+                    said = json.loads(told) if told else {"main": [], "variants": [], "template": []}
+                    known = {**known, told: said | {"template": set(said["template"])}} if len(known) < HELD else {told: said | {"template": set(said["template"])}}
+                found.append(main_text(page, known[told]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(found, pa.string())], names=["page_id", "url", "text"])
 
     return joined.mapInArrow(texts, schema)

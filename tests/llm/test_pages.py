@@ -53,6 +53,19 @@ def test_wrappers_generalise():
     assert whole.pages == 8 and whole.salts == 5 and [x[0] for x in whole.items] == [x[0] for x in wrapper.items]
 
 
+def test_pages_of_several_layouts(spark):
+    pages, wanted = [], {}
+    for k in range(9):
+        wanted[k] = f"Head {k}\n{'long words ' * 20}{k}"
+        inner = f"<h1>Head {k}</h1><p>{'long words ' * 20}{k}</p>"
+        body = [f"<article class=post>{inner}</article>", f"<div class=content>{inner}</div>", f"<div class='content wide'>{inner}</div>"][k % 3]
+        pages.append((k, "http://mixed.example/x", template(k, body)))
+    pages += [(20, None, "<article><p>one</p></article>"), (21, None, "<div><p>two</p></div>"), (22, "no host", "<p>three</p>"), (23, None, "<article></article><p>four</p>")]
+    wanted |= {20: "one", 21: "two", 22: "three", 23: "four"}
+    got = html_wrappers.extract_text(table(spark, pages)).collect()
+    assert {r.page_id: r.text for r in got} == wanted
+
+
 @pytest.mark.parametrize(
     ("url", "host", "path", "rule"),
     [
