@@ -24,8 +24,10 @@ and the one longest page.
 
 from __future__ import annotations
 
+import functools
 import html
 import json
+import operator
 import re
 from collections.abc import Iterable, Iterator
 
@@ -44,7 +46,7 @@ from rowloom.session import materialize
 HELD = 2_000
 #: Tags of the longest group that is looked for when folding, and forms of pages remembered per wrapper.
 FOLD, FORMS = 12, 500
-#: Pages that must agree on a text outside paragraphs before it counts as template.
+#: Pages that must have the same text outside paragraphs at the same place of a wrapper before it counts as template.
 TEMPLATE_PAGES = 5
 
 OPEN = re.compile(rb"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
@@ -167,8 +169,9 @@ class Walk:
         self.inside = 0 if self.inside > depth else self.inside
 
 
-# A wrapper is a list of items [key, optional, text, [chars, pages]]: text is the hash of a fixed text, None
-# in slots and groups; a key is a tag, "#" for a text, or the keys of a repeated group between brackets.
+# A wrapper is a list of items [key, optional, text, [chars, pages, salts]]: text is the hash of a fixed text,
+# None in slots and groups; pages had the item, and salts are those of their texts; a key is a tag, "#" for a
+# text, or the keys of a repeated group between brackets.
 
 
 def fold(items: list[list], bodies: set[str]) -> list[list]:
@@ -184,7 +187,8 @@ def fold(items: list[list], bodies: set[str]) -> list[list]:
             if k + repeats > 2 and not body[0].startswith("</") and (repeats > 1 or "|".join(body) in bodies):
                 name = "(" + "|".join(body) + ")+"
                 part = items[i : i + repeats * k]
-                folded.append([name, all(x[1] for x in part), None, [sum(x[3][0] for x in part), max(x[3][1] for x in part)]])
+                salts = functools.reduce(operator.or_, (x[3][2] for x in part))
+                folded.append([name, all(x[1] for x in part), None, [sum(x[3][0] for x in part), max(x[3][1] for x in part), salts]])
                 i += repeats * k
                 break
         else:
@@ -193,23 +197,23 @@ def fold(items: list[list], bodies: set[str]) -> list[list]:
     return folded
 
 
-def page_items(page: bytes) -> list[list]:
+def page_items(page: bytes, salts: int = 0) -> list[list]:
     items = []
     for key, text in stream(page):
         plain = " ".join(text.split())
         if key != "#":
-            items.append([key, False, None, [0, 1]])
+            items.append([key, False, None, [0, 1, salts]])
         elif plain:
-            items.append(["#", False, xxhash.xxh3_64_hexdigest(plain), [len(plain), 1]])
+            items.append(["#", False, xxhash.xxh3_64_hexdigest(plain), [len(plain), 1, salts]])
     return items
 
 
 def added(x: list[int], y: list[int]) -> list[int]:
-    return [x[0] + y[0], x[1] + y[1]]
+    return [x[0] + y[0], x[1] + y[1], x[2] | y[2]]
 
 
-def align(left: list[list], right: list[list]) -> list[list]:
-    """The wrapper that covers both: common items once, the others optional."""
+def align(left: list[list], right: list[list]) -> tuple[list[list], list[int]]:
+    """The wrapper that covers both, common items once, the others optional, and where the items of ``right`` stand in it."""
     a, b = [x[0] for x in left], [x[0] for x in right]
     first = 0
     while first < min(len(a), len(b)) and a[first] == b[first]:
@@ -223,22 +227,25 @@ def align(left: list[list], right: list[list]) -> list[list]:
         for j in range(m - 1, -1, -1):
             same = a[first + i] == b[first + j]
             best[i][j] = best[i + 1][j + 1] + 1 if same else max(best[i + 1][j], best[i][j + 1])
-    joined, i, j = [], 0, 0
+    joined, places, i, j = [], list(range(first)), 0, 0
     both = lambda x, y: [x[0], x[1] or y[1], x[2] if x[2] == y[2] else None, added(x[3], y[3])]
     joined.extend(both(x, y) for x, y in zip(left[:first], right[:first], strict=True))
     while i < n or j < m:
         if i < n and j < m and a[first + i] == b[first + j]:
+            places.append(len(joined))
             joined.append(both(left[first + i], right[first + j]))
             i, j = i + 1, j + 1
         elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
             joined.append([left[first + i][0], True, *left[first + i][2:]])
             i += 1
         else:
+            places.append(len(joined))
             joined.append([right[first + j][0], True, *right[first + j][2:]])
             j += 1
     tail = len(a) - last
+    places.extend(range(len(joined), len(joined) + last))
     joined.extend(both(x, y) for x, y in zip(left[tail:], right[len(b) - last :], strict=True))
-    return joined
+    return joined, places
 
 
 def bodies_of(items: Iterable[list]) -> set[str]:
@@ -263,27 +270,18 @@ class Wrapper:
         if form in self.forms:  # aligned before: only texts can differ
             for place, x in zip(self.forms[form], folded, strict=True):
                 mine = self.items[place]
-                mine[3] = added(mine[3], x[3])
+                mine[1], mine[3] = mine[1] or x[1], added(mine[3], x[3])
                 if mine[2] != x[2]:
                     mine[2] = None
             return
         more = bodies_of(folded) - bodies_of(self.items)
         if more:
             self.items, self.forms = fold(self.items, more), {}
-        before = [x[0] for x in self.items]
-        self.items = align(self.items, folded)
-        keys = [x[0] for x in self.items]
-        if keys != before or len(self.forms) >= FORMS:
+        size = len(self.items)
+        self.items, places = align(self.items, folded)
+        if len(self.items) != size or len(self.forms) >= FORMS:
             self.forms = {}
-        if keys == before:
-            places, at = [], 0
-            for x in folded:
-                while at < len(keys) and keys[at] != x[0]:
-                    at += 1
-                places.append(at)
-                at += 1
-            if at <= len(keys):
-                self.forms[form] = places
+        self.forms[form] = places
 
     def dump(self) -> str:
         return json.dumps([self.items, self.pages])
@@ -298,10 +296,20 @@ def merged(wrappers: Iterable[tuple[str, int]]) -> Wrapper:
     return whole
 
 
+def agreed(pages: int, salts: int) -> bool:
+    """Whether enough pages had a text; copies of one page share their salt (so may, rarely, two of five other pages)."""
+    return pages >= TEMPLATE_PAGES and (not salts or salts.bit_count() >= TEMPLATE_PAGES - 1)
+
+
+def placed(inside: list[str], text: str) -> str:
+    """A text of the template: its hash and the element around it."""
+    return next((t for t in reversed(inside) if name_of(t) not in INLINE), "") + " " + text
+
+
 def rule(wrapper: Wrapper) -> dict:
     """What a wrapper says: the main elements of all its pages and of their variants, best first, and the texts of the template."""
-    walk, mass, having, seen, total = Walk(), {}, {}, [], 0
-    for key, _, text, (chars, pages) in wrapper.items:
+    walk, mass, having, template, total = Walk(), {}, {}, set(), 0
+    for key, _, text, (chars, pages, salts) in wrapper.items:
         for part in key[1:-2].split("|") if key.startswith("(") else [key]:
             if part != "#":
                 walk.enter(part)
@@ -312,7 +320,8 @@ def rule(wrapper: Wrapper) -> dict:
                 continue
             share = chars if part == key else chars / max(key.count("#"), 1)
             link = any(name_of(t) == "a" for t in walk.open)
-            seen.append((list(walk.open), text, chars))
+            if text and agreed(pages, salts) and not any(name_of(t) in PARAGRAPHS for t in walk.open):
+                template.add(placed(walk.open, text))
             total += 0 if link else share
             for depth, tag in enumerate(walk.open):
                 mass[(depth, tag)] = mass.get((depth, tag), 0) + (0 if link else share)
@@ -326,10 +335,7 @@ def rule(wrapper: Wrapper) -> dict:
                 mains.append(rank)
             elif m >= 0.6 * total * having[tag] / max(wrapper.pages, 1):
                 variants.append(rank)
-    template = []
-    if wrapper.pages >= TEMPLATE_PAGES:
-        template = sorted({text for path, text, _ in seen if text and not any(name_of(t) in PARAGRAPHS for t in path)})
-    return {"main": [tag for *_, tag in sorted(mains, reverse=True)], "variants": [tag for *_, tag in sorted(variants, reverse=True)], "template": template}
+    return {"main": [tag for *_, tag in sorted(mains, reverse=True)], "variants": [tag for *_, tag in sorted(variants, reverse=True)], "template": sorted(template)}
 
 
 def is_main(tag: str) -> bool:
@@ -365,7 +371,7 @@ def blocks_of(events: list[tuple[str, str]], mains: set[int] | None, template: s
     for at, (key, text) in enumerate(events):
         if key == "#":
             if not walk.noise and (walk.inside or mains is None):
-                if not template or xxhash.xxh3_64_hexdigest(" ".join(text.split())) not in template:
+                if not template or placed(walk.open, xxhash.xxh3_64_hexdigest(" ".join(text.split()))) not in template:
                     open_block.append(text)
             continue
         if name_of(key) not in INLINE:
@@ -400,7 +406,7 @@ def _wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for host, salt, page in zip(*(batch.column(c).to_pylist() for c in ("host", "salt", "page")), strict=True):
-            held.setdefault(host, Wrapper()).add(page_items(page), 1, 1 << salt)
+            held.setdefault(host, Wrapper()).add(page_items(page, 1 << salt), 1, 1 << salt)
             if len(held) >= HELD:
                 yield sent()
     if held:

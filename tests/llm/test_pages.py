@@ -66,6 +66,19 @@ def test_pages_of_several_layouts(spark):
     assert {r.page_id: r.text for r in got} == wanted
 
 
+def test_text_of_one_page_is_no_template(spark):
+    pages, wanted = [], {}
+    for k in range(12):
+        lead = "<div class=lead>only here</div>bare" if k == 3 else ""
+        body = f"<article><h1>Head {k}</h1><p>text {k}</p>{lead}<div class=box>Fixed words</div><p>end {k}</p></article>"
+        pages.append((k, "http://t.example/x", template(k, body)))
+        wanted[k] = "\n".join([f"Head {k}", f"text {k}", *(["only here", "bare"] if lead else []), f"end {k}"])
+    pages += [(k, "http://copies.example/x", "<article><div>same page</div></article>") for k in range(20, 28)]
+    wanted |= dict.fromkeys(range(20, 28), "same page")
+    got = html_wrappers.extract_text(table(spark, pages)).collect()
+    assert {r.page_id: r.text for r in got} == wanted
+
+
 @pytest.mark.parametrize(
     ("url", "host", "path", "rule"),
     [
