@@ -64,6 +64,10 @@ NOISE_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "alert", "bann
                "cookie", "cookies", "disqus", "footer", "masthead", "menu", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "popup",
                "promo", "promoted", "recommended", "related", "replies", "reply", "respond", "share", "sharing", "sidebar", "social", "sponsor",
                "sponsored", "subscribe", "toolbar", "widget", "complementary", "contentinfo", "search", "overlay", "modal"}
+# Words that may stand beside those names in a longer name of the same meaning.
+FILLERS = {"area", "article", "articles", "bar", "block", "body", "bottom", "box", "button", "buttons", "container", "entry", "form", "global", "icons",
+           "inner", "item", "items", "left", "link", "links", "list", "main", "outer", "page", "post", "posts", "primary", "right", "secondary",
+           "section", "site", "top", "wrap", "wrapper"}
 MAIN_NAMES = {"article", "content", "entry", "main", "post", "story", "body", "text"}
 
 
@@ -116,20 +120,25 @@ def name_of(tag: str) -> str:
     return tag.lstrip("</").partition(".")[0]
 
 
-def is_noise(tag: str, inside: list[str]) -> bool:
-    """Whether an element is none of the main text, by its name, class, id or role."""
+def named_so(marks: str, names: set[str]) -> bool:
+    """Whether all words of one class, id or role are among ``names`` or beside one of them."""
+    found = [{w for w in re.split(r"[^a-z]+", mark) if w} for mark in marks.split(".")]
+    return any(words & names and words <= names | FILLERS for words in found)
+
+
+@functools.lru_cache(100_000)
+def noise_kind(tag: str) -> str:
+    """How an element can be none of the main text: by "element", as a "header", by "name", that is class, id or role, or not ("")."""
     name, _, marks = tag[1:].partition(".")
     if name in NOISE:
-        return True
-    words = {w for w in re.split(r"[^a-z0-9]+", marks) if w}
+        return "element"
     if name in ("html", "body", "main"):
-        return False
+        return ""
     if name == "article":
-        return bool(words & {"comment", "comments", "reply"})
-    if words & NOISE_NAMES:
-        return True
-    # A header inside an article is its own, other ones are the site's.
-    return (name == "header" or "header" in words) and not any(name_of(t) in ("article", "main") for t in inside)
+        return "name" if named_so(marks, {"comment", "comments", "reply", "replies"}) else ""
+    if named_so(marks, NOISE_NAMES):
+        return "name"
+    return "header" if name == "header" or named_so(marks, {"header"}) else ""
 
 
 class Walk:
@@ -137,13 +146,16 @@ class Walk:
 
     ``noise`` and ``inside`` are the depths of the outermost element that is
     none of the main text, and of the outermost main element, 0 outside.
-    ``mains`` are the places of the tags that start main elements.
+    ``mains`` are the places of the tags that start main elements, ``free``
+    those of the main elements and what is around them, which are no noise.
+    Without ``names`` classes, ids and roles say nothing.
     """
 
-    def __init__(self, mains: Iterable[int] = ()):
+    def __init__(self, mains: Iterable[int] = (), free: Iterable[int] = (), names: bool = True):
         self.open: list[str] = []
+        self.starts: list[int] = []
         self.noise = self.inside = 0
-        self.mains = mains
+        self.mains, self.free, self.names = mains, free, names
 
     def enter(self, tag: str, at: int = -1) -> None:
         name = name_of(tag)
@@ -157,14 +169,25 @@ class Walk:
             return
         if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and self.open and name_of(self.open[-1]) == name:
             self.close(len(self.open) - 1)
-        if not self.noise and is_noise(tag, self.open):
+        if not self.noise and at not in self.free and self.drops(tag):
             self.noise = len(self.open) + 1
         if not self.inside and at in self.mains:
             self.inside = len(self.open) + 1
         self.open.append(tag)
+        self.starts.append(at)
+
+    def drops(self, tag: str) -> bool:
+        kind = noise_kind(tag)
+        if kind == "header":
+            # A header inside a main element is its own, other ones are the site's.
+            return not self.inside and not any(name_of(t) in ("article", "main") for t in self.open)
+        if kind == "name":
+            return self.names and not (self.inside and name_of(tag) in PARAGRAPHS)
+        return bool(kind)
 
     def close(self, depth: int) -> None:
         del self.open[depth:]
+        del self.starts[depth:]
         self.noise = 0 if self.noise > depth else self.noise
         self.inside = 0 if self.inside > depth else self.inside
 
@@ -343,24 +366,34 @@ def is_main(tag: str) -> bool:
     return name == "main" or "main" in marks and name not in PARAGRAPHS | INLINE
 
 
-def main_elements(events: list[tuple[str, str]], said: dict) -> list[tuple[set[int], bool]]:
-    """The starts of the page's main elements, the best kind first, and whether they must hold half of the page's text."""
+def main_elements(events: list[tuple[str, str]], said: dict) -> tuple[list, list]:
+    """The page's main elements, the best kind first: (starts, starts with all elements around, whether they must hold half of the text).
+
+    The second list has those inside elements that have the name of noise.
+    """
     ranks = {tag: 2 + i for i, tag in enumerate(dict.fromkeys([*said["main"], *said["variants"]]))}
     weak, found, walk = 2 + len(said["main"]), {}, Walk()
     for at, (key, _) in enumerate(events):
         if key == "#":
             continue
-        walk.enter(key)
-        if not key.startswith("</") and not walk.noise:
-            rank = 0 if name_of(key) == "article" else 1 if is_main(key) else ranks.get(key)
-            if rank is not None:
-                found.setdefault(rank, set()).add(at)
-    return [(found[rank], rank >= weak) for rank in sorted(found)]
+        walk.enter(key, at)
+        if key.startswith("</"):
+            continue
+        rank = 0 if name_of(key) == "article" else 1 if is_main(key) else ranks.get(key)
+        if rank is None or noise_kind(key) or not walk.starts or walk.starts[-1] != at:
+            continue
+        around = [(name_of(t), noise_kind(t)) for t in walk.open] if walk.noise else []
+        if all(kind != "element" or name == "form" for name, kind in around):
+            starts, free = found.setdefault((any(kind not in ("", "element") for _, kind in around), rank), (set(), set()))
+            starts.add(at)
+            free.update(walk.starts)
+    kinds = [[(*found[key], key[1] >= weak) for key in sorted(found) if key[0] == hidden] for hidden in (False, True)]
+    return kinds[0], kinds[1]
 
 
-def blocks_of(events: list[tuple[str, str]], mains: set[int] | None, template: set[str]) -> str:
+def blocks_of(events: list[tuple[str, str]], mains: set[int] | None, free: Iterable[int], template: Iterable[str], names: bool) -> str:
     """The blocks of the elements that start at ``mains``, or of the whole page, without noise and template."""
-    walk, blocks, open_block = Walk(mains or ()), [], []
+    walk, blocks, open_block = Walk(mains or (), free, names), [], []
 
     def end() -> None:
         plain = " ".join(html.unescape("".join(open_block)).split())
@@ -382,16 +415,29 @@ def blocks_of(events: list[tuple[str, str]], mains: set[int] | None, template: s
 
 
 def main_text(page: bytes, said: dict) -> str:
-    """The blocks of the first main element that the page has with text in it, else of the whole page, one to a line."""
+    """The blocks of the first main element that the page has with text in it, else of the whole page, one to a line.
+
+    What the template or the names would empty is taken without them.  A main
+    element inside noise by name counts where it holds more than the rest.
+    """
     events, template = list(stream(page)), said["template"]
+    tried = ((template, True), ((), True), ((), False))
+    text_of = lambda mains, free=(): next((t for x in tried if (t := blocks_of(events, mains, free, *x))), "")
+    clear, hidden = main_elements(events, said)
     whole = None
-    for mains, weak in main_elements(events, said):
-        text = blocks_of(events, mains, template) or blocks_of(events, mains, set())
-        if text and weak:
-            whole = blocks_of(events, None, template) if whole is None else whole
+    for mains, free, weak in clear:
+        text = text_of(mains, free)
+        if weak and text and whole is None:
+            whole = blocks_of(events, None, (), template, True)
         if text and not (weak and 2 * len(text) < len(whole)):
             return text
-    return whole or blocks_of(events, None, template) or blocks_of(events, None, set())
+    if whole is None:
+        whole = blocks_of(events, None, (), template, True)
+    for mains, free, _ in hidden:
+        text = text_of(mains, free)
+        if len(text) > len(whole):
+            return text
+    return whole or text_of(None)
 
 
 def _wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

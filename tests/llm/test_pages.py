@@ -79,6 +79,25 @@ def test_text_of_one_page_is_no_template(spark):
     assert {r.page_id: r.text for r in got} == wanted
 
 
+NAMED = {
+    "<div id=page class='layout has-sidebar'><article><p>kept</p></article></div>": "kept",
+    "<div class=widget><article><p>kept, in a widget</p></article></div><p>out</p>": "kept, in a widget",
+    "<form class=search><article><p>kept</p></article></form>": "kept",
+    "<article><h2 id='related-work'>kept</h2><h2 id='search-algorithms'>too</h2></article>": "kept\ntoo",
+    "<article><section id='social-history'><p>kept</p></section><p id='footer-1'>too</p></article>": "kept\ntoo",
+    "<article><div class=related><p>kept, there is nothing else</p></div></article>": "kept, there is nothing else",
+    "<main><div class=entry-header><h1>kept</h1></div><div class='site-footer'>out</div></main>": "kept",
+    "<article><p>kept</p><div class='ad box'>out</div><div id=comments-2><article>reader</article></div></article>": "kept",
+    "<div><p>kept</p></div><section class=related-posts><article>other</article></section>": "kept",
+    "<section id=comments><article class=comment-body>out</article></section><div><p>kept</p></div>": "kept",
+}
+
+
+def test_names_only_break_ties(spark):
+    got = html_wrappers.extract_text(table(spark, [(i, f"http://h{i}.example/", page) for i, page in enumerate(NAMED)])).collect()
+    assert [r.text for r in sorted(got, key=lambda r: r.page_id)] == list(NAMED.values())
+
+
 @pytest.mark.parametrize(
     ("url", "host", "path", "rule"),
     [
