@@ -6,6 +6,8 @@ tags, fixed texts, text slots, repeated groups and optional parts.  The pages
 of a host are aligned with its wrapper one after another by the longest common
 subsequence: texts that differ become slots, parts that only one side has
 become optional, and a group that repeats on either side is repeated in both.
+Where a wrapper outgrows its longest page twice, the optional parts that the
+fewest pages have become gaps that stand for anything.
 Tasks align their own pages first, and only wrappers are shuffled: they merge
 by host and salt and then by host, so that a host may hold any share of the
 pages.  The finished wrapper says where the main text of its host stands, also in
@@ -18,14 +20,15 @@ Defined cases.  A NULL page is empty and has no text.  A NULL url, or one
 without a host, has the empty host.  Pages without markup are one block.  Tags
 that are never closed, stray ends and cut-off pages are read as far as they
 go.  Repeated rows are extracted alike; empty tables give empty results.
-Pages are read whole; memory grows with the wrappers of a task (see ``HELD``)
-and the one longest page.
+Pages are read whole; memory grows with the wrappers of a task (see ``HELD`` and
+``HELD_ITEMS``) and the one longest page.
 """
 
 from __future__ import annotations
 
 import functools
 import html
+import itertools
 import json
 import operator
 import re
@@ -44,8 +47,13 @@ from rowloom.session import materialize
 
 #: Hosts whose wrappers a task holds before it sends them on.
 HELD = 2_000
-#: Tags of the longest group that is looked for when folding, and forms of pages remembered per wrapper.
+#: Items of those wrappers and of their remembered forms, beyond which a task sends them on.
+HELD_ITEMS = 400_000
+#: Tags of the longest group that is looked for at every place when folding, and forms of pages remembered per wrapper.
 FOLD, FORMS = 12, 500
+#: Bits of the table by which two lists are aligned, and items that a wrapper may have beyond twice its longest page.
+TABLE, SPARE = 1 << 27, 200
+BASE, PRIME = 0x1B873593CC9E2D51 % (2**61 - 1), 2**61 - 1
 #: Pages that must have the same text outside paragraphs at the same place of a wrapper before it counts as template.
 TEMPLATE_PAGES = 5
 
@@ -197,17 +205,58 @@ class Walk:
 # text, or the keys of a repeated group between brackets.
 
 
+def long_groups(keys: list[str]) -> dict[int, list[int]]:
+    """The lengths over FOLD of groups that follow themselves at once, by the place of their first tag.
+
+    A group starts again at one of the next elements with its first tag and the
+    same parent; rolling hashes compare the keys between those places.
+    """
+    if len(keys) <= 2 * FOLD:
+        return {}
+    sums, numbers = [0], {}
+    for key in keys:
+        sums.append((sums[-1] * BASE + numbers.setdefault(key, len(numbers) + 1)) % PRIME)
+    follows, inside = {}, [("", {})]
+    for i, key in enumerate(keys):
+        if key.startswith("</"):
+            d = next((d for d in range(len(inside) - 1, 0, -1) if inside[d][0] == name_of(key)), 0)
+            del inside[d or len(inside) :]
+        elif key.startswith("<"):
+            last = inside[-1][1]
+            follows[last.get(key, -1)] = i
+            last[key] = i
+            if name_of(key) not in VOID:
+                inside.append((name_of(key), {}))
+    found: dict[int, list[int]] = {}
+    for i in follows:
+        at = i
+        for _ in range(FOLD):
+            at = follows.get(at, -1)
+            k = at - i
+            if at < 0 or at + k > len(keys):
+                break
+            power = pow(BASE, k, PRIME)
+            if k > FOLD and (sums[at] - sums[i] * power - sums[at + k] + sums[at] * power) % PRIME == 0:
+                found[i] = [k]
+                break
+    return found
+
+
 def fold(items: list[list], bodies: set[str]) -> list[list]:
     """Replace repeated neighbours, and single ones that are known to repeat, by groups."""
     keys = [item[0] for item in items]
+    long, known = long_groups(keys), {}
+    for body in bodies:
+        if body.count("|") >= FOLD:
+            known.setdefault(body.partition("|")[0], set()).add(body.count("|") + 1)
     folded, i = [], 0
     while i < len(items):
-        for k in range(1, min(FOLD, len(items) - i) + 1):
+        for k in (*range(1, min(FOLD, len(items) - i) + 1), *sorted({*known.get(keys[i], ()), *long.get(i, ())})):
             body = keys[i : i + k]
             repeats = 1
             while keys[i + repeats * k : i + (repeats + 1) * k] == body:
                 repeats += 1
-            if k + repeats > 2 and not body[0].startswith("</") and (repeats > 1 or "|".join(body) in bodies):
+            if k + repeats > 2 and len(body) == k and not body[0].startswith("</") and (repeats > 1 or "|".join(body) in bodies):
                 name = "(" + "|".join(body) + ")+"
                 part = items[i : i + repeats * k]
                 salts = functools.reduce(operator.or_, (x[3][2] for x in part))
@@ -231,6 +280,56 @@ def page_items(page: bytes, salts: int = 0) -> list[list]:
     return items
 
 
+def _rows(a: list[str], b: list[str]) -> Iterator[int]:
+    """The table of longest common subsequences of ``a`` with growing ends of ``b``: bit i is 0 where a[-1 - i] makes one longer."""
+    full, at = (1 << len(a)) - 1, {}
+    for i, key in enumerate(reversed(a)):
+        at[key] = at.get(key, 0) | 1 << i
+    row = full
+    for key in reversed(b):
+        same = row & at.get(key, 0)
+        row = ((row + same) | (row - same)) & full
+        yield row
+
+
+def _gains(a: list[str], b: list[str]) -> list[int]:
+    """The lengths of the longest common subsequences of ``b`` with the last 0, 1, ... keys of ``a``."""
+    row = (1 << len(a)) - 1
+    for row in _rows(a, b):  # noqa: B007
+        pass
+    return [0, *itertools.accumulate(1 - int(bit) for bit in reversed(f"{row:0{len(a)}b}"))] if a else [0]
+
+
+def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """The places of a longest common subsequence.
+
+    The table is a row of bits for each key of ``b``; one over TABLE bits is
+    halved (Hirschberg), so that memory grows with the lists and not their product.
+    """
+    found, todo = [], [(0, len(a), 0, len(b))]
+    while todo:
+        i, n, j, m = todo.pop()
+        if i == n or j == m:
+            continue
+        if (n - i) * (m - j) > TABLE and m - j > 1:
+            half = (j + m) // 2
+            ends = _gains(a[i:n], b[half:m])
+            starts = _gains(a[i:n][::-1], b[j:half][::-1])
+            cut = i + max(range(n - i + 1), key=lambda k: starts[k] + ends[n - i - k])
+            todo += [(cut, n, half, m), (i, cut, j, half)]
+            continue
+        rows = list(_rows(a[i:n], b[j:m]))
+        while i < n and j < m:
+            if a[i] == b[j]:
+                found.append((i, j))
+                i, j = i + 1, j + 1
+            elif rows[m - 1 - j] >> (n - 1 - i) & 1:
+                i += 1
+            else:
+                j += 1
+    return found
+
+
 def added(x: list[int], y: list[int]) -> list[int]:
     return [x[0] + y[0], x[1] + y[1], x[2] | y[2]]
 
@@ -245,32 +344,50 @@ def align(left: list[list], right: list[list]) -> tuple[list[list], list[int]]:
     while last < min(len(a), len(b)) - first and a[-1 - last] == b[-1 - last]:
         last += 1
     n, m = len(a) - first - last, len(b) - first - last
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            same = a[first + i] == b[first + j]
-            best[i][j] = best[i + 1][j + 1] + 1 if same else max(best[i + 1][j], best[i][j + 1])
     joined, places, i, j = [], list(range(first)), 0, 0
     both = lambda x, y: [x[0], x[1] or y[1], x[2] if x[2] == y[2] else None, added(x[3], y[3])]
     joined.extend(both(x, y) for x, y in zip(left[:first], right[:first], strict=True))
-    while i < n or j < m:
-        if i < n and j < m and a[first + i] == b[first + j]:
-            places.append(len(joined))
-            joined.append(both(left[first + i], right[first + j]))
-            i, j = i + 1, j + 1
-        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            joined.append([left[first + i][0], True, *left[first + i][2:]])
-            i += 1
-        else:
-            places.append(len(joined))
-            joined.append([right[first + j][0], True, *right[first + j][2:]])
-            j += 1
+    for x, y in [*common(a[first : first + n], b[first : first + m]), (n, m)]:
+        joined.extend([left[first + k][0], True, *left[first + k][2:]] for k in range(i, x))
+        places.extend(range(len(joined), len(joined) + y - j + (x < n)))
+        joined.extend([right[first + k][0], True, *right[first + k][2:]] for k in range(j, y))
+        if x < n:
+            joined.append(both(left[first + x], right[first + y]))
+        i, j = x + 1, y + 1
     tail = len(a) - last
     places.extend(range(len(joined), len(joined) + last))
     joined.extend(both(x, y) for x, y in zip(left[tail:], right[len(b) - last :], strict=True))
     return joined, places
 
 
+def generalised(items: list[list], size: int) -> list[list]:
+    """Items of which the optional parts that the fewest pages have are one gap "*" each, about ``size`` of them."""
+    partner, open_at = {}, []
+    for i, (key, *_) in enumerate(items):
+        if key.startswith("</"):
+            d = next((d for d in range(len(open_at) - 1, -1, -1) if name_of(items[open_at[d]][0]) == name_of(key)), -1)
+            if d >= 0:
+                partner[i], partner[open_at[d]] = open_at[d], i
+                del open_at[d:]
+        elif key.startswith("<") and name_of(key) not in VOID:
+            open_at.append(i)
+    counts = sorted(x[3][1] for x in items if x[1] and x[0] != "*")
+    left, whole = len(counts), items
+    while left and len(whole) > size:
+        left //= 2
+        most = counts[len(counts) - 1 - left]
+        rare = [x[0] == "*" or x[1] and x[3][1] <= most for x in items]
+        whole = []
+        for i, x in enumerate(items):
+            if not (rare[i] and rare[partner.get(i, i)]):
+                whole.append(x)
+            elif whole and whole[-1][0] == "*":
+                whole[-1] = ["*", True, None, added(whole[-1][3], x[3])]
+            else:
+                whole.append(["*", True, None, x[3]])
+    return whole
+
+
 def bodies_of(items: Iterable[list]) -> set[str]:
     return {key[1:-2] for key, *_ in items if key.startswith("(")}
 
@@ -280,16 +397,22 @@ class Wrapper:
 
     def __init__(self, items: list[list] | None = None, pages: int = 0, salts: int = 0):
         self.items, self.pages, self.salts = items or [], pages, salts
+        self.longest = self.places = 0
         self.forms: dict[str, list[int]] = {}
 
-    def add(self, items: list[list], pages: int = 1, salts: int = 0) -> None:
+    def size(self) -> int:
+        return len(self.items) + self.places
+
+    def add(self, items: list[list], pages: int = 1, salts: int = 0, longest: int = 0) -> None:
         self.salts |= salts
         if not self.pages:
             self.items, self.pages = fold(items, set()), pages
+            self.longest = longest or len(self.items)
             return
         self.pages += pages
         folded = fold(items, bodies_of(self.items))
-        form = "\n".join(x[0] for x in folded)
+        self.longest = max(self.longest, longest or len(folded))
+        form = xxhash.xxh3_128_hexdigest("\n".join(x[0] for x in folded))
         if form in self.forms:  # aligned before: only texts can differ
             for place, x in zip(self.forms[form], folded, strict=True):
                 mine = self.items[place]
@@ -299,23 +422,28 @@ class Wrapper:
             return
         more = bodies_of(folded) - bodies_of(self.items)
         if more:
-            self.items, self.forms = fold(self.items, more), {}
+            self.items, self.forms, self.places = fold(self.items, more), {}, 0
         size = len(self.items)
         self.items, places = align(self.items, folded)
-        if len(self.items) != size or len(self.forms) >= FORMS:
-            self.forms = {}
+        if len(self.items) != size or len(self.forms) >= FORMS or self.places > HELD_ITEMS // 4:
+            self.forms, self.places = {}, 0
+        if len(self.items) > 2 * self.longest + SPARE:
+            self.items = generalised(self.items, 3 * self.longest // 2 + SPARE)
+            self.forms, self.places = {}, 0
+            return
         self.forms[form] = places
+        self.places += len(places)
 
     def dump(self) -> str:
-        return json.dumps([self.items, self.pages])
+        return json.dumps([self.items, self.pages, self.longest])
 
 
 def merged(wrappers: Iterable[tuple[str, int]]) -> Wrapper:
     """One wrapper for those of several tasks, in the order of their texts."""
     whole = Wrapper()
     for text, salts in sorted(wrappers):
-        items, pages = json.loads(text)
-        whole.add(items, pages, salts)
+        items, pages, longest = json.loads(text)
+        whole.add(items, pages, salts, longest)
     return whole
 
 
@@ -334,6 +462,8 @@ def rule(wrapper: Wrapper) -> dict:
     walk, mass, having, template, total = Walk(), {}, {}, set(), 0
     for key, _, text, (chars, pages, salts) in wrapper.items:
         for part in key[1:-2].split("|") if key.startswith("(") else [key]:
+            if part == "*":
+                continue
             if part != "#":
                 walk.enter(part)
                 if not part.startswith("</"):
@@ -443,6 +573,7 @@ def main_text(page: bytes, said: dict) -> str:
 def _wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Align the pages of a task with the wrappers of their hosts."""
     held: dict[str, Wrapper] = {}
+    items = 0
 
     def sent() -> pa.RecordBatch:
         rows = sorted(held.items())
@@ -452,9 +583,13 @@ def _wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for host, salt, page in zip(*(batch.column(c).to_pylist() for c in ("host", "salt", "page")), strict=True):
-            held.setdefault(host, Wrapper()).add(page_items(page, 1 << salt), 1, 1 << salt)
-            if len(held) >= HELD:
+            wrapper = held.setdefault(host, Wrapper())
+            items -= wrapper.size()
+            wrapper.add(page_items(page, 1 << salt), 1, 1 << salt)
+            items += wrapper.size()
+            if len(held) >= HELD or items >= HELD_ITEMS:
                 yield sent()
+                items = 0
     if held:
         yield sent()
 

@@ -1,5 +1,8 @@
 """HTML extraction and the URL filter."""
 
+import random
+import tracemalloc
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +101,63 @@ def test_names_only_break_ties(spark):
     assert [r.text for r in sorted(got, key=lambda r: r.page_id)] == list(NAMED.values())
 
 
+def plain_common(a, b):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+    return best[0][0]
+
+
+@pytest.mark.parametrize("bits", [1 << 27, 40])
+def test_alignment_is_longest(monkeypatch, bits):
+    monkeypatch.setattr(html_wrappers, "TABLE", bits)
+    draw = random.Random(5)
+    for _ in range(200):
+        a, b = ([draw.choice("<a <b <c # </a".split()) for _ in range(draw.randrange(25))] for _ in range(2))
+        found = html_wrappers.common(a, b)
+        assert all(a[i] == b[j] for i, j in found) and len(found) == plain_common(a, b)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(found, found[1:], strict=False))
+        joined, places = html_wrappers.align(*([[k, False, None, [0, 1, 0]] for k in keys] for keys in (a, b)))
+        assert [joined[k][0] for k in places] == b and len(joined) == len(a) + len(b) - len(found)
+
+
+def irregular(seed, size):
+    draw = random.Random(seed)
+    return [[draw.choice(["<p", "<a", "</a", "#", "</p", "<b", "</b"]), False, None, [0, 1, 0]] for _ in range(size)]
+
+
+def test_alignment_of_long_pages_is_small():
+    left, right = irregular(1, 20_000), irregular(2, 20_000)
+    tracemalloc.start()
+    joined, _ = html_wrappers.align(left, right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 20_000 < len(joined) < 40_000 and peak < 100_000_000
+
+
+def test_wrappers_stay_near_one_page():
+    wrapper, draw = html_wrappers.Wrapper(), random.Random(3)
+    for k in range(300):
+        parts = "".join(f"<div class=c{draw.randrange(10_000)}><i>x</i>{draw.random()}</div>" for _ in range(40))
+        wrapper.add(html_wrappers.page_items(f"<html><body><nav>menu</nav>{parts}<article><p>text {k}</p></article></body></html>".encode()))
+    assert len(wrapper.items) <= 2 * wrapper.longest + html_wrappers.SPARE
+    keys = [x[0] for x in wrapper.items]
+    assert {"<nav", "<article", "</article", "*"} <= set(keys)
+    whole = html_wrappers.merged([(wrapper.dump(), 1), (wrapper.dump(), 2)])
+    assert len(whole.items) <= 2 * whole.longest + html_wrappers.SPARE
+
+
+def test_long_groups_fold():
+    group = "<section>" + "".join(f"<p class=c{j}>x</p>" for j in range(30)) + "</section>"
+    folded = [html_wrappers.fold(html_wrappers.page_items((f"<h1>a</h1>{group * n}<h2>b</h2>").encode()), set()) for n in (2, 5)]
+    assert [x[0] for x in folded[0]] == [x[0] for x in folded[1]] and len(folded[0]) == 7
+    wrapper = html_wrappers.Wrapper()
+    for n in (2, 1, 3):
+        wrapper.add(html_wrappers.page_items((f"<h1>a</h1>{group * n}<h2>b</h2>").encode()))
+    assert len(wrapper.items) == 7 and not any(x[1] for x in wrapper.items)
+
+
 @pytest.mark.parametrize(
     ("url", "host", "path", "rule"),
     [
