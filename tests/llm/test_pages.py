@@ -191,6 +191,24 @@ def test_model(spark):
     assert url_filter.judge_urls(table(spark, []), RULES).collect() == []
 
 
+UNSEEN = {
+    "block": ["buy-cheap-pills.example.net", "pharmacy-discount.example.org", "www.casino-games.example.com", "poker-bonus.example.net", "free-casino.example.org",
+              "quick-loans.example.net", "seo-links.example.com", "www.adult-cams.example.org", "spam-mail.example.net", "track-click.example.com"],
+    "allow": ["www.kitchen.example.net", "astronomy.example.org", "blog.cycling.example.com", "river-walks.example.net", "grammar.example.org",
+              "www.parliament.example.com", "orchestra.example.net", "thatons.example.org", "m.carpentry.example.com", "neighbours.example.net"],
+}
+
+
+def test_model_on_hosts_it_has_not_seen(spark):
+    learned = {url.split("/")[2].replace(".example", "") for url, _ in url_filter.LABELLED}
+    for name in ("cheap-pills", "casino-win", "free-bets", "spam-farm", "adult-x", "ads-track", "thorn", "tiont", "thand", "thest", "thent"):
+        assert not any(name in host.split(".") for host in learned)
+    assert not any(host.replace(".example", "").rsplit(".", 1)[0] in learned for hosts in UNSEEN.values() for host in hosts)
+    urls = [(f"http://{host}/en/{i}", verdict) for verdict, hosts in UNSEEN.items() for i, host in enumerate(hosts)]
+    got = url_filter.judge_urls(table(spark, [(i, url, "") for i, (url, _) in enumerate(urls)]), []).orderBy("page_id").collect()
+    assert sum(r.verdict == wanted for r, (_, wanted) in zip(got, urls, strict=True)) >= 16  # 17 when this was written
+
+
 def test_score_by_hand(spark):
     weights, intercept = url_filter.fit(spark)
     row = spark.createDataFrame([("a.example", "/b")], "host string, path string")
