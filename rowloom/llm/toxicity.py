@@ -11,7 +11,9 @@ part alone instead of down.
 A text is a vector over hashed words and beginnings of words, present or not; learning takes
 place in numpy on at most ``max_texts`` positives and as many unlabelled
 texts, chosen by a hash of their ids, each with at most ``FEATURES`` different
-buckets.  Scoring runs over all texts in Spark's tasks with FEATURES weights.
+buckets.  Which buckets may have a weight is not left to that sample: Spark's
+tasks count them in all texts that may be learned from, repeated rows each time.
+Scoring runs over all texts in Spark's tasks with FEATURES weights.
 
 Defined cases.  A NULL text is empty and gets the score of the intercept.
 Labels of unknown ids are ignored; an id that is labelled more than once is
@@ -40,7 +42,7 @@ FEATURES = 1 << 18
 #: Beginnings of words, in bytes, that are features beside the word.
 BEGINNINGS = (4, 5, 6)
 #: Parts by which samples are thinned.
-LOTS = 1_000_000
+LOTS = 1 << 40
 #: Words remembered per worker.
 MEMO = 200_000
 #: Bytes that are no part of a word at its ends.
@@ -84,18 +86,24 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def telling(positive: tuple[np.ndarray, np.ndarray], unlabelled: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
-    """Which buckets more positives have than unlabelled texts, by at least so many standard errors."""
-    n, m = len(positive[1]), len(unlabelled[1])
-    p, u = np.bincount(positive[0], minlength=FEATURES), np.bincount(unlabelled[0], minlength=FEATURES)
-    pooled = (p + u + 1) / (n + m + 2)
-    return (p / n - u / m >= least * np.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m))) & (p > 1)
+def telling(positive: tuple[np.ndarray, np.ndarray], counts: np.ndarray, texts: int, least: float) -> np.ndarray:
+    """Which buckets more positives have than texts in general, by at least so many standard errors.
+
+    ``counts`` are the texts that have each bucket, of so many ``texts``.  The root
+    of the likelihood ratio stands for standard errors: it holds for rare words too.
+    """
+    n, m = len(positive[1]), texts
+    p, u = np.bincount(positive[0], minlength=FEATURES), counts
+    both = np.maximum(p + u, 1)
+    ratio = lambda x, of: x * np.log(np.maximum(x, 1e-300) / (both * (of / (n + m))))
+    return (p / n > u / m) & (2 * (ratio(p, n) + ratio(u, m)) >= least**2) & (p > 1)
 
 
 def fit_nnpu(
     positive: tuple[np.ndarray, np.ndarray],
     unlabelled: tuple[np.ndarray, np.ndarray],
     prior: float,
+    frequencies: tuple[np.ndarray, int] | None = None,
     epochs: int = 60,
     batch: int = 1024,
     rate: float = 0.05,
@@ -107,12 +115,15 @@ def fit_nnpu(
 
     Only buckets that tell the kinds apart (see ``telling``) get a weight;
     the rest, nearly all of them rare words, would only fit the sample.
+    ``frequencies`` are the texts with each bucket and the number of texts, by
+    default those of ``unlabelled``.
     """
     model = Model(np.zeros(FEATURES), float(np.log(prior / (1 - prior))))
     if not len(positive[1]) or not len(unlabelled[1]):
         return model
     rng = np.random.default_rng(seed)
-    useful = telling(positive, unlabelled, least)
+    counts, texts = frequencies or (np.bincount(unlabelled[0], minlength=FEATURES), len(unlabelled[1]))
+    useful = telling(positive, counts, texts, least)
     first, second, step = np.zeros(FEATURES + 1), np.zeros(FEATURES + 1), 0
     starts = [np.cumsum(sizes) - sizes for _, sizes in (positive, unlabelled)]
 
@@ -149,10 +160,34 @@ def fit_nnpu(
     return model
 
 
+def share(most: int, of: int) -> int:
+    """The lots, at least one, that hold about ``most`` of so many rows."""
+    return min(LOTS, -(-most * LOTS // max(of, 1)))
+
+
+def bucket_counts(docs: DataFrame, learn: Callable[[Column], Column], id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, int]:
+    """How many of all texts that may be learned from have each bucket, and how many texts there are."""
+    rows = docs.where(F.col(id_col).isNotNull() & learn(F.col(id_col))).select(raw_text(text_col).alias("text"))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = WordBuckets(), np.zeros(FEATURES + 1, np.int64)
+        for batch in batches:
+            for buckets in buckets_of(batch.column("text").to_pylist(), known):
+                counts[buckets] += 1
+            counts[FEATURES] += batch.num_rows
+        which = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), pa.array(counts[which])], names=["bucket", "n"])
+
+    found = rows.mapInArrow(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(FEATURES + 1, np.int64)
+    counts[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+    return counts[:FEATURES], int(counts[FEATURES])
+
+
 def learning_sample(
-    docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column], max_texts: int, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column], max_texts: int, texts: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[tuple, tuple, float]:
-    """Positives, unlabelled texts and the class prior.
+    """Positives, unlabelled texts (of so many ``texts``) and the class prior.
 
     Both kinds are thinned evenly to about ``max_texts`` by a hash of their
     ids; only their buckets come to the driver.  The prior is the share of
@@ -161,12 +196,11 @@ def learning_sample(
     marked = labels.groupBy(F.col("doc_id").alias("l_")).agg(F.max("toxic").alias("toxic")).where(F.col("l_").isNotNull() & learn(F.col("l_")))
     toxic, total = marked.agg(F.count_if(F.col("toxic") == 1), F.count("toxic")).first()
     rows = docs.where(F.col(id_col).isNotNull() & learn(F.col(id_col))).select(F.col(id_col).alias("doc_id"), raw_text(text_col).alias("text"))
-    share = lambda of: int(min(1.0, max_texts / max(of, 1)) * LOTS)
     lot = lambda name: F.pmod(F.xxhash64(F.lit("lot"), name), F.lit(LOTS))
     # At most about max_texts ids, so every task can have them.
-    positive = F.broadcast(marked.where((F.col("toxic") == 1) & (lot("l_") < share(toxic))).select("l_"))
+    positive = F.broadcast(marked.where((F.col("toxic") == 1) & (lot("l_") < share(max_texts, toxic))).select("l_"))
     marked_rows = rows.join(positive, F.col("doc_id") == F.col("l_"), "left").select(
-        "doc_id", "text", F.col("l_").isNotNull().alias("positive"), (lot("doc_id") < share(rows.count())).alias("unlabelled")
+        "doc_id", "text", F.col("l_").isNotNull().alias("positive"), (lot("doc_id") < share(max_texts, texts)).alias("unlabelled")
     )
     chosen = marked_rows.where("positive or unlabelled")
 
@@ -212,7 +246,8 @@ def score_toxicity(
     Labels are read for ids that ``learn`` picks only; by default those whose
     crc32 of the id as text is no multiple of 5.
     """
-    positive, unlabelled, prior = learning_sample(docs, labels, learn, max_texts, id_col, text_col)
-    model = fit_nnpu(positive, unlabelled, prior)
+    counts, texts = bucket_counts(docs, learn, id_col, text_col)
+    positive, unlabelled, prior = learning_sample(docs, labels, learn, max_texts, texts, id_col, text_col)
+    model = fit_nnpu(positive, unlabelled, prior, (counts, texts))
     rows = docs.select(F.col(id_col).alias("doc_id"), (~learn(F.col(id_col))).alias("held_out"), toxicity(text_col, model).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

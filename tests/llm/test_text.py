@@ -198,6 +198,24 @@ def test_toxicity_ignores_held_out_labels(spark):
     assert one == two
 
 
+def test_toxicity_counts_all_permitted_texts(spark):
+    docs, _ = toxic_table(spark)
+    learn = lambda ident: ident % 3 != 0
+    counts, texts = toxicity.bucket_counts(docs, learn)
+    rows = [(r.text or "").encode() for r in docs.collect() if r.doc_id is not None and r.doc_id % 3]
+    every = toxicity.as_rows(toxicity.buckets_of(rows, toxicity.WordBuckets()))[0]
+    assert texts == len(rows) and counts.tolist() == np.bincount(every, minlength=toxicity.FEATURES).tolist()
+
+
+def test_rare_words_and_huge_tables():
+    buckets = np.array([5] * 6 + [9] * 6)  # six of 6,000 positives have either
+    counts = np.zeros(toxicity.FEATURES, np.int64)
+    counts[5], counts[9] = 10, 10_000  # of ten million texts
+    useful = toxicity.telling((buckets, np.ones(6_000, np.int64)), counts, 10**7, 4.0)
+    assert useful[5] and not useful[9] and useful.sum() == 1
+    assert 0 < toxicity.share(6_000, 10**11) * 10**11 / toxicity.LOTS < 7_000
+
+
 def test_toxicity_without_labels(spark):
     docs = awkward(spark, AWKWARD)
     none = spark.createDataFrame([], "doc_id long, toxic int")
