@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowloom.llm import bpe, exact_dedup, html_wrappers, jaccard, line_dedup, lm, mixing, repetition, toxicity, url_filter
+from rowloom.llm import bpe, exact_dedup, fill_middle, html_wrappers, jaccard, line_dedup, lm, mixing, repetition, toxicity, url_filter
 
 RULES = [
     ("allow", "com/"),
@@ -75,6 +75,13 @@ def op10_url_filter(spark, folder):
     return url_filter.judge_urls(pages(spark, folder), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_fim(spark, folder):
+    made = fill_middle.fill_in_middle(documents(spark, folder), unit="line", rate=100, spm_rate=50, seed=7)
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    digests = [F.sha2(c.cast("binary"), 256).alias(n) for c, n in ((F.col("output"), "output_sha256"), (back, "restored_sha256"))]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES = {
     "op1_repetition": op1_repetition,
     "op2_line_dedup": op2_line_dedup,
@@ -86,6 +93,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
+    "op12_fim": op12_fim,
 }
 
 ORACLE = {
@@ -183,4 +191,29 @@ ORACLE = {
                (greatest(0, least(size, budget - before)) + greatest(0, least(size, budget - source_size - before)))::BIGINT AS taken
         FROM placed
     """,
+    "op12_fim": """
+        WITH drawn AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s FROM documents
+        ), counted AS (
+            SELECT *, length(text) - length(replace(text, chr(10), '')) + (text <> '' AND right(text, 1) <> chr(10))::INT AS n FROM drawn
+        ), cuts AS (
+            SELECT *, string_split(text, chr(10)) AS lines,
+                   CAST('0x' || substr(s, 1, 8) AS BIGINT) % (n + 1) AS one, CAST('0x' || substr(s, 9, 8) AS BIGINT) % (n + 1) AS two,
+                   CAST('0x' || substr(s, 17, 8) AS BIGINT) % 100 >= 100 OR text = '' OR regexp_matches(text, '<[PSM]>') AS plain,
+                   CAST('0x' || substr(s, 25, 8) AS BIGINT) % 100 < 50 AS spm
+            FROM counted
+        ), places AS (
+            SELECT *, least(length(text), length(array_to_string(lines[1:least(one, two)], chr(10))) + (least(one, two) > 0)::INT) AS a,
+                   least(length(text), length(array_to_string(lines[1:greatest(one, two)], chr(10))) + (greatest(one, two) > 0)::INT) AS b
+            FROM cuts
+        ), parts AS (
+            SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM places
+        )
+        SELECT doc_id, n::BIGINT AS n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+               CASE WHEN NOT plain THEN length(prefix) END AS prefix_chars, CASE WHEN NOT plain THEN length(middle) END AS middle_chars,
+               sha256(CASE WHEN plain THEN text WHEN spm THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                           ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts
+    """,
 }
