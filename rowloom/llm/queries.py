@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowloom.llm import bpe, exact_dedup, fill_middle, html_wrappers, jaccard, line_dedup, lm, mixing, repetition, toxicity, url_filter
+from rowloom.llm import bpe, exact_dedup, fill_middle, html_wrappers, jaccard, line_dedup, lm, mixing, repetition, secret_scan, toxicity, url_filter
 
 RULES = [
     ("allow", "com/"),
@@ -82,6 +82,18 @@ def op12_fim(spark, folder):
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op13_secrets(spark, folder):
+    found = secret_scan.find_secrets(documents(spark, folder), min_decades=10.0)
+
+    def of(kind):
+        return F.filter("secrets", lambda s: s["kind"] == kind)
+
+    base = secret_scan.joined(F.filter("secrets", lambda s: s["kind"] != "guess"))
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secret_scan.KINDS]
+    spans = secret_scan.joined(F.col("secrets")).alias("spans")
+    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), spans)
+
+
 QUERIES = {
     "op1_repetition": op1_repetition,
     "op2_line_dedup": op2_line_dedup,
@@ -94,6 +106,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
     "op12_fim": op12_fim,
+    "op13_secrets": op13_secrets,
 }
 
 ORACLE = {
