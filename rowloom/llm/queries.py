@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowloom.llm import bpe, exact_dedup, fill_middle, html_wrappers, jaccard, line_dedup, lm, mixing, repetition, secret_scan, toxicity, url_filter
+from rowloom.llm import bpe, exact_dedup, fill_middle, html_wrappers, jaccard, line_dedup, lm, mixing, repetition, secret_scan, spelling, toxicity, url_filter
 
 RULES = [
     ("allow", "com/"),
@@ -75,6 +75,10 @@ def op10_url_filter(spark, folder):
     return url_filter.judge_urls(pages(spark, folder), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_spelling(spark, folder):
+    return spelling.spelling_variants(documents(spark, folder), min_length=5, min_count=3, times=2, every=97)
+
+
 def op12_fim(spark, folder):
     made = fill_middle.fill_in_middle(documents(spark, folder), unit="line", rate=100, spm_rate=50, seed=7)
     back = fill_middle.restored(F.col("output"), F.col("form"))
@@ -105,6 +109,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
+    "op11_spelling": op11_spelling,
     "op12_fim": op12_fim,
     "op13_secrets": op13_secrets,
 }
