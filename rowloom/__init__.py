@@ -13,6 +13,7 @@ from rowloom.functions.rows import (
 from rowloom.operators.branching import branch
 from rowloom.operators.combine import fan_in, fan_out, join
 from rowloom.operators.history import missing_run_dates, snapshot
+from rowloom.operators.ordered import join_asof, join_interval, running_total
 from rowloom.operators.quality import quality_gate, quality_report, validate
 from rowloom.operators.rules import parse_quality_rule
 from rowloom.operators.transforms import (
@@ -64,6 +65,8 @@ __all__ = [
     "http_transport",
     "ingest_new_files",
     "join",
+    "join_asof",
+    "join_interval",
     "map_rows",
     "materialize",
     "migrate",
@@ -82,6 +85,7 @@ __all__ = [
     "request_rows",
     "run_query",
     "run_variables",
+    "running_total",
     "seed_table",
     "ship_package",
     "snapshot",

@@ -28,6 +28,7 @@ from rowloom.functions.rows import (
 from rowloom.operators.branching import branch
 from rowloom.operators.combine import fan_in, fan_out, join
 from rowloom.operators.history import missing_run_dates, snapshot
+from rowloom.operators.ordered import join_asof, join_interval, running_total
 from rowloom.operators.quality import quality_gate, quality_report, validate
 from rowloom.operators.transforms import (
     add_column,
@@ -1302,6 +1303,90 @@ def w8_custom_sink(t: Tables) -> DataFrame:
     return read_file(t.spark, path, "json", _schema(suppliers))
 
 
+# --- joins and totals along an order ------------------------------------------
+
+#: Orders moved into the days of the events, no two at the same instant.
+PLACED = """
+    SELECT o_orderkey, o_custkey, o_orderdate, TIMESTAMP '2024-01-01' + to_days(CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 30 AS INT))
+           + to_seconds(o_orderkey % 86400) + to_microseconds(o_orderkey) AS placed
+    FROM orders
+"""
+
+
+def _placed(t: Tables) -> DataFrame:
+    day = "make_dt_interval(CAST(datediff(o_orderdate, DATE'1995-01-01') % 30 AS INT), 0, 0, CAST(o_orderkey % 86400 + o_orderkey / 1000000 AS DECIMAL(18, 6)))"
+    return t.orders.selectExpr("o_orderkey", "o_custkey", f"TIMESTAMP_NTZ'2024-01-01 00:00:00' + {day} AS placed")
+
+
+@query(
+    "j7_asof",
+    f"""
+    SELECT event_id, user_id, ts, CASE WHEN near THEN o_custkey END AS o_custkey, CASE WHEN near THEN o_orderkey END AS o_orderkey,
+           CASE WHEN near THEN placed END AS placed
+    FROM (SELECT e.*, o.*, placed >= ts - INTERVAL 2 DAYS AS near
+          FROM events e ASOF LEFT JOIN ({PLACED}) o ON e.user_id = o.o_custkey AND e.ts >= o.placed)
+    """,
+)
+def j7_asof(t: Tables) -> DataFrame:
+    events = t.events.select("event_id", "user_id", "ts")
+    return join_asof(events, _placed(t), "user_id=o_custkey", "ts", "placed", tolerance="INTERVAL 2 DAYS")
+
+
+@query(
+    "j7_asof_forward",
+    f"""
+    SELECT event_id, user_id, ts, o_custkey, o_orderkey, placed
+    FROM events e ASOF JOIN ({PLACED}) o ON e.user_id = o.o_custkey AND e.ts < o.placed
+    """,
+)
+def j7_asof_forward(t: Tables) -> DataFrame:
+    events = t.events.select("event_id", "user_id", "ts")
+    return join_asof(events, _placed(t), "user_id=o_custkey", "ts", "placed", how="inner", direction="forward", exact=False)
+
+
+@query(
+    "j8_within",
+    f"""
+    SELECT event_id, user_id, ts, o_orderkey, o_custkey, placed, placed + to_hours(CAST(1 + o_orderkey % 24 AS INT)) AS until
+    FROM events JOIN ({PLACED}) ON user_id = o_custkey AND ts >= placed AND ts < placed + to_hours(CAST(1 + o_orderkey % 24 AS INT))
+    """,
+)
+def j8_within(t: Tables) -> DataFrame:
+    windows = _placed(t).withColumn("until", F.expr("placed + make_dt_interval(0, CAST(1 + o_orderkey % 24 AS INT), 0, 0)"))
+    return join_interval(t.events.select("event_id", "user_id", "ts"), windows, "ts", ("placed", "until"), "user_id=o_custkey")
+
+
+@query(
+    "j8_overlap",
+    f"""
+    SELECT event_id, ts, o_orderkey, placed FROM events LEFT JOIN ({PLACED})
+    ON ts < placed + to_seconds(CAST(1 + 10 * (o_orderkey % 5) AS INT)) AND placed < ts + INTERVAL 20 SECONDS AND o_custkey % 5 = 0
+    """,
+)
+def j8_overlap(t: Tables) -> DataFrame:
+    """Without a key: events that take 20 seconds, and orders of some customers that take up to 41."""
+    windows = _placed(t).where("o_custkey % 5 = 0")
+    windows = windows.withColumn("until", F.expr("placed + make_dt_interval(0, 0, 0, 1 + 10 * (o_orderkey % 5))"))
+    events = t.events.select("event_id", "ts", F.expr("ts + INTERVAL '20' SECOND").alias("done"))
+    met = join_interval(events, windows, ("ts", "done"), ("placed", "until"), how="left")
+    return met.select("event_id", "ts", "o_orderkey", "placed")
+
+
+@query(
+    "t12_running_total",
+    """
+    SELECT event_id, user_id, ts, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 2) AS spent,
+           sum(event_id) OVER (ORDER BY ts RANGE UNBOUNDED PRECEDING)::BIGINT AS ids
+    FROM events
+    """,
+)
+def t12_running_total(t: Tables) -> DataFrame:
+    events = t.events.select("event_id", "user_id", "ts", "value")
+    spent = running_total(events, "value", ["ts", "event_id"], "user_id", name="spent")
+    both = running_total(spent, "event_id", "ts", name="ids")
+    return both.select("event_id", "user_id", "ts", F.round("spent", 2).alias("spent"), "ids")
+
+
 # --- runs, models, history, ingestion ---------------------------------------
 
 
