@@ -35,6 +35,7 @@ from rowloom.sinks.custom import custom_sink
 from rowloom.sinks.database import migrate, write_db
 from rowloom.sinks.files import upsert, upsert_table, write_file
 from rowloom.sources.api import api_source, http_fetch, request_rows
+from rowloom.sources.arrow_tables import read_arrow_table, register_arrow_tables
 from rowloom.sources.custom import custom_source
 from rowloom.sources.database import read_db
 from rowloom.sources.files import read_file, seed_table
@@ -74,8 +75,10 @@ __all__ = [
     "parse_quality_rule",
     "quality_gate",
     "quality_report",
+    "read_arrow_table",
     "read_db",
     "read_file",
+    "register_arrow_tables",
     "release",
     "rename",
     "render_requests",

@@ -48,6 +48,7 @@ from rowloom.session import new_path
 from rowloom.sinks.api import deliver, render_requests
 from rowloom.sinks.custom import custom_sink
 from rowloom.sinks.files import upsert, upsert_table, write_file
+from rowloom.sources.arrow_tables import read_arrow_table, register_arrow_tables
 from rowloom.sources.api import api_source, parse_payload
 from rowloom.sources.custom import custom_source
 from rowloom.sources.files import read_file, seed_table
@@ -222,6 +223,19 @@ def s8_custom(t: Tables) -> DataFrame:
     return custom_source(t.spark, files, read_arrow, schema, parallelism=4)
 
 
+@query(
+    "s8_arrow_table",
+    "SELECT l_orderkey, l_quantity, l_shipdate FROM lineitem WHERE l_orderkey >= 50 AND l_orderkey < 400 AND l_returnflag IN ('A', 'R')",
+)
+def s8_arrow_table(t: Tables) -> DataFrame:
+    """Files of ranges of orders, of which the conditions leave most unopened."""
+    folder = t.scratch("s8-table")
+    register_arrow_tables(t.spark)
+    t.lineitem.repartitionByRange(8, "l_orderkey").write.format("arrow_table").mode("append").save(folder)
+    where = [("l_orderkey", ">=", 50), ("l_orderkey", "<", 400), ("l_returnflag", "in", ["A", "R"])]
+    return read_arrow_table(t.spark, folder, ["l_orderkey", "l_quantity", "l_shipdate"], where)
+
+
 def _arrow_file(rows: list[dict]) -> bytes:
     table, out = pyarrow.Table.from_pylist(rows), pyarrow.BufferOutputStream()
     with pyarrow.ipc.new_file(out, table.schema) as writer:
@@ -1294,6 +1308,19 @@ def w7_deliver(t: Tables) -> DataFrame:
     return parse_payload(payloads, "value", _schema(events))
 
 
+@query(
+    "w8_arrow_table",
+    "SELECT * FROM events WHERE event_type <> 'view' UNION ALL SELECT * FROM events WHERE user_id < 20",
+)
+def w8_arrow_table(t: Tables) -> DataFrame:
+    """An overwritten table, then an append that readers see as a whole."""
+    folder = t.scratch("w8-table")
+    register_arrow_tables(t.spark)
+    for mode, rows in (("append", t.events), ("overwrite", t.events.where("event_type <> 'view'")), ("append", t.events.where("user_id < 20"))):
+        rows.write.format("arrow_table").mode(mode).save(folder)
+    return read_arrow_table(t.spark, folder)
+
+
 @query("w8_custom_sink", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def w8_custom_sink(t: Tables) -> DataFrame:
     path = t.scratch("w8")

@@ -1,0 +1,152 @@
+"""Arrow tables: files skipped by their bounds, and appends that are whole although tasks fail."""
+
+import glob
+import json
+import os
+import subprocess
+import sys
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+
+from rowloom import read_arrow_table, register_arrow_tables
+from rowloom.sources.arrow_tables import column_bounds, joined_bounds, may_hold, tidy_arrow_table
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+@pytest.fixture
+def save(spark, tmp_path):
+    register_arrow_tables(spark)
+    path = str(tmp_path / "table")
+
+    def write(df, mode="append"):
+        df.write.format("arrow_table").mode(mode).save(path)
+        return path
+
+    return write
+
+
+def data_files(path):
+    return {os.path.basename(p) for p in glob.glob(f"{path}/part-*")}
+
+
+def listed(path):
+    return {f["name"] for p in glob.glob(f"{path}/_manifest-*") for f in json.load(open(p))["files"]}
+
+
+def test_types_survive(spark, rows, save):
+    data = [
+        (1, "é", 1.5, Decimal("1.20"), date(2024, 1, 2), datetime(2024, 1, 2, 3, 4, 5, 6), True, [1, None], {"a": 1}, (1, "x"), b"\x00"),
+        (None,) * 11,
+        (2, "", float("inf"), Decimal("-3.00"), date(1960, 1, 1), datetime(1960, 1, 1), False, [], {}, (None, None), b""),
+    ]
+    kinds = "i long, s string, d double, n decimal(10,2), day date, at timestamp_ntz, b boolean, l array<int>, m map<string,int>, r struct<p:int,q:string>, x binary"
+    df = spark.createDataFrame(data, kinds)
+    got = read_arrow_table(spark, save(df))
+    assert got.schema == df.schema and rows(got) == rows(df)
+    assert rows(read_arrow_table(spark, save(df), ["s", "i"])) == sorted([(r[1], r[0]) for r in data] * 2, key=repr)
+
+
+def test_skipped_files_are_never_opened(spark, rows, save):
+    path = save(spark.range(0, 1000, 1, 1).selectExpr("id", "'a' || id AS s", "id * 2 AS v").repartitionByRange(10, "id"))
+    kept = {f["name"] for f in json.load(open(glob.glob(f"{path}/_manifest-*")[0]))["files"] if may_hold(f["bounds"], [("id", ">=", 950)])}
+    assert 1 <= len(kept) <= 2
+    for name in data_files(path) - kept:
+        os.truncate(f"{path}/{name}", 3)  # whoever opens it fails
+    got = read_arrow_table(spark, path, "v", [("id", ">=", 950)])
+    assert got.columns == ["v"] and rows(got) == sorted([(2 * i,) for i in range(950, 1000)], key=repr)
+    assert read_arrow_table(spark, path, "id", [("id", "in", [951, 999]), ("s", "=", "a999")]).collect()[0].id == 999
+    assert read_arrow_table(spark, path, "id", [("id", ">", 5000)]).count() == 0
+    with pytest.raises(Exception, match="(?i)arrow|invalid|file"):
+        read_arrow_table(spark, path).count()
+
+
+def test_one_frame_in_several_scans(spark, save):
+    path = save(spark.range(0, 100, 1, 1).repartitionByRange(4, "id"))
+    table = read_arrow_table(spark, path)
+    both = table.where("id < 5").union(table.where("id > 90"))
+    assert both.count() == 14 and table.where("id < 5").count() == 5 and table.count() == 100
+
+
+def test_appends_and_overwrites(spark, save):
+    path = save(spark.range(10))
+    save(spark.range(5))
+    assert read_arrow_table(spark, path).count() == 15
+    save(spark.range(3), "overwrite")
+    save(spark.range(2))
+    assert read_arrow_table(spark, path).count() == 5
+    assert data_files(path) == listed(path)
+    save(spark.range(0), "overwrite")
+    assert read_arrow_table(spark, path).count() == 0 and data_files(path) == set()
+
+
+def test_small_partitions(spark, save):
+    path = save(spark.range(0, 1000, 1, 8))
+    assert read_arrow_table(spark, path, partition_bytes=1).rdd.getNumPartitions() == 8
+    assert read_arrow_table(spark, path).rdd.getNumPartitions() == 1
+
+
+def test_bounds():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"i": [3, None, 1], "s": ["b", "a", None], "f": [1.0, 2.0, 3.0], "n": pa.array([None] * 3, pa.int64()), "t": ["x" * 100, "y", "z"]})
+    bounds = column_bounds([batch])
+    assert bounds == {"i": [1, 3], "s": ["a", "b"], "n": [None, None]}
+    assert joined_bounds([bounds, {"i": [9, 9], "n": [None, None]}]) == {"i": [1, 9], "n": [None, None]}
+    assert joined_bounds([]) == {}
+    for test, value, held in [("=", 3, True), ("=", 4, False), ("<", 1, False), ("<=", 1, True), (">", 3, False), (">=", 3, True), ("in", [0, 2], True), ("in", [0, 9], False), ("in", [], False)]:
+        assert may_hold(bounds, [("i", test, value)]) == held
+    assert not may_hold(bounds, [("n", "=", 1)]) and may_hold(bounds, [("f", "=", 77.0)])
+
+
+def test_unknown_names_and_tests(spark, save, tmp_path):
+    path = save(spark.range(3))
+    with pytest.raises(Exception, match="no such column"):
+        read_arrow_table(spark, path, "other")
+    with pytest.raises(ValueError, match="condition"):
+        read_arrow_table(spark, path, where=[("id", "like", "x")])
+    with pytest.raises(Exception, match="no table"):
+        read_arrow_table(spark, str(tmp_path / "nothing"))
+
+
+FAILING = """
+import sys
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+from rowloom import read_arrow_table, register_arrow_tables, ship_package
+
+path, attempts = sys.argv[1], int(sys.argv[2])
+spark = SparkSession.builder.master("local[2, 3]").config("spark.ui.enabled", "false").getOrCreate()
+ship_package(spark)
+register_arrow_tables(spark)
+spark.range(100).write.format("arrow_table").mode("append").save(path)
+
+def fail(batches):
+    context = TaskContext.get()
+    for batch in batches:
+        yield batch
+        if context.partitionId() == 1 and context.attemptNumber() < attempts:
+            raise RuntimeError("lost after its rows were written")
+
+spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+rows = spark.range(0, 4000, 1, 4).mapInArrow(fail, "id long")
+try:
+    rows.write.format("arrow_table").mode("append").save(path)
+    print("committed")
+except Exception:
+    print("aborted")
+found = read_arrow_table(spark, path)
+print(found.count(), found.distinct().count())
+"""
+
+
+@pytest.mark.parametrize(("attempts", "said"), [(1, ["committed", "4100", "4000"]), (9, ["aborted", "100", "100"])])
+def test_failing_tasks(tmp_path, attempts, said):
+    path = str(tmp_path / "table")
+    done = subprocess.run([sys.executable, "-c", FAILING, path, str(attempts)], cwd=ROOT, capture_output=True, text=True, check=True)
+    assert done.stdout.split() == said
+    tidy_arrow_table(path, hours=0)  # what a task left that ran on after the abort
+    assert data_files(path) == listed(path)
+    assert not glob.glob(f"{path}/_draft*")
