@@ -33,6 +33,7 @@ from rowloom.session import materialize, release, ship_package, stages
 from rowloom.sinks.api import deliver, http_transport, render_requests
 from rowloom.sinks.custom import custom_sink
 from rowloom.sinks.database import migrate, write_db
+from rowloom.sinks.ledger import dead_letters, deliver_once
 from rowloom.sinks.files import upsert, upsert_table, write_file
 from rowloom.sources.api import api_source, http_fetch, request_rows
 from rowloom.sources.arrow_tables import read_arrow_table, register_arrow_tables
@@ -54,8 +55,10 @@ __all__ = [
     "branch",
     "custom_sink",
     "custom_source",
+    "dead_letters",
     "deduplicate",
     "deliver",
+    "deliver_once",
     "drop_columns",
     "drop_null",
     "fan_in",

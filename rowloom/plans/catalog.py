@@ -47,6 +47,7 @@ from rowloom.plans.models import sql_models
 from rowloom.session import new_path
 from rowloom.sinks.api import deliver, render_requests
 from rowloom.sinks.custom import custom_sink
+from rowloom.sinks.ledger import deliver_once
 from rowloom.sinks.files import upsert, upsert_table, write_file
 from rowloom.sources.arrow_tables import read_arrow_table, register_arrow_tables
 from rowloom.sources.api import api_source, parse_payload
@@ -1308,6 +1309,31 @@ def w7_deliver(t: Tables) -> DataFrame:
     return parse_payload(payloads, "value", _schema(events))
 
 
+@query("w7_deliver_once", "SELECT event_id, user_id, event_type, value FROM events")
+def w7_deliver_once(t: Tables) -> DataFrame:
+    """Three runs with one ledger; the first loses every other request, the last has nothing to do."""
+    events = t.events.select("event_id", "user_id", "event_type", "value")
+    path, ledger = t.scratch("w7-once"), t.scratch("w7-ledger")
+    requests = render_requests(events, "https://ingest.example.com/events", batch_size=200)
+
+    def transport(run: int) -> Callable[[dict], None]:
+        def send(request: dict) -> None:
+            key = request["headers"]["Idempotency-Key"]
+            if run == 1 and int(key[0], 16) % 2:
+                raise OSError("no answer")
+            # A request that two runs deliver would be there twice.
+            system, folder = _file_system(path)
+            system.create_dir(folder, recursive=True)
+            with system.open_output_stream(f"{folder}/{key}-{run}.json") as stream:
+                stream.write(_json_lines([request["body"]]))
+
+        return send
+
+    for run in (1, 2, 3):
+        deliver_once(requests, transport(run), ledger, slices=2)
+    return parse_payload(t.spark.read.text(path), "value", _schema(events))
+
+
 @query(
     "w8_arrow_table",
     "SELECT * FROM events WHERE event_type <> 'view' UNION ALL SELECT * FROM events WHERE user_id < 20",
