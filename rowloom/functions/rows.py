@@ -288,7 +288,7 @@ def task_groups(
     schema: str | T.StructType,
     *,
     columns: str | Sequence[str] | None = None,
-    spread: int = 64,
+    tasks: int = MERGE_PIECES**3,
 ) -> DataFrame:
     """K3: a pandas function per group, for groups of any size.
 
@@ -301,9 +301,11 @@ def task_groups(
 
     ``merge`` never gets more than ``MERGE_PIECES`` pieces at a time.  A task
     merges the pieces of its batches as it goes and sends one per key (more
-    only when it holds more than ``HELD_PIECES`` of them); those are merged
-    under ``spread`` different salts per key, and the at most ``spread``
-    results of each key at the end.
+    only when it holds more than ``HELD_PIECES`` of them).  Those of
+    ``MERGE_PIECES`` tasks meet in one frame, their results in the next round,
+    and so on: there are as many rounds as ``tasks`` input tasks need, and no
+    frame grows with their number.  A wider input still gives the same result,
+    with more pieces in the frames of the last round.
     """
     key_names = name_list(keys)
     require(key_names, "task_groups: needs at least one key")
@@ -345,18 +347,22 @@ def task_groups(
             whole = merge(pd.concat([p[output.names] for p in some], ignore_index=True))[output.names]
         return whole
 
-    def combine(frame: pd.DataFrame) -> pd.DataFrame:
+    def combine(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         pieces = [piece for _, piece in frame.groupby(piece_name, sort=True)]
-        return merge_pieces([piece[output.names].reset_index(drop=True) for piece in pieces])
+        whole = merge_pieces([piece[output.names].reset_index(drop=True) for piece in pieces])
+        return whole.assign(**{piece_name: key[-1]})
 
     piece_name, salt_name = free_name("piece", source), free_name("salt", source)
     while {piece_name, salt_name} & set(output.names):
         piece_name, salt_name = "_" + piece_name, "_" + salt_name
-    salted = source.mapInArrow(condense, output).withColumns(
-        {piece_name: F.spark_partition_id(), salt_name: F.pmod(F.spark_partition_id(), F.lit(spread))}
-    )
-    grouped = [column(name) for name in key_names]
-
-    merged = salted.groupBy(*grouped, column(salt_name)).applyInPandas(combine, output)
-    merged = merged.withColumn(piece_name, F.monotonically_increasing_id())
-    return merged.groupBy(*grouped).applyInPandas(combine, output)
+    carried = T.StructType([*output.fields, T.StructField(piece_name, T.LongType())])
+    merged = source.mapInArrow(condense, output).withColumn(piece_name, F.spark_partition_id().cast("long"))
+    left = max(tasks, 1)
+    while True:
+        left = -(-left // MERGE_PIECES)
+        # In the last round all that is left of a key meets.
+        group = F.floor(column(piece_name) / MERGE_PIECES) if left > 1 else F.lit(0).cast("long")
+        salted = merged.withColumn(salt_name, group)
+        merged = salted.groupBy(*[column(name) for name in key_names], column(salt_name)).applyInPandas(combine, carried)
+        if left == 1:
+            return merged.drop(piece_name)

@@ -9,6 +9,7 @@ from datetime import date, datetime
 from decimal import Decimal
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,7 +79,7 @@ def replace_values(df: DataFrame, column_name: str, mapping: Mapping) -> DataFra
     column keeps its type unless a replacement is text and the column is not:
     then the result is a string column.  Up to ``MAX_CASE_BRANCHES`` entries
     become one CASE expression, a longer mapping a lookup table with one row
-    per key; the result is the same.
+    per key, whose size Spark knows when it picks the join; the result is the same.
     """
     require_columns(df, [column_name], "replace_values")
     require(mapping, "replace_values: needs a non-empty mapping {old: new}")
@@ -126,9 +127,15 @@ def _lookup(spark, mapping: Mapping, source_type: T.DataType, result_type: T.Dat
         tables.append(
             table.select("place", F.col("old").cast(source_type), F.col("new").cast(result_type))
         )
-    entries = reduce(DataFrame.unionAll, tables)
-    first = F.min_by(F.struct(F.col("new").alias("value")), "place").alias("new")
-    return entries.groupBy("old").agg(first)
+    # The mapping came from the driver, so it fits there after the cast as well.
+    cast = reduce(DataFrame.unionAll, tables).toArrow().sort_by("place")
+    first: dict = {}
+    for place, old in enumerate(cast.column("old").to_pylist()):
+        first.setdefault("NaN" if old != old else (type(old), old), place)
+    kept = cast.take(pa.array(first.values()))
+    schema = T.StructType().add("old", source_type).add("new", result_type)
+    table = spark.createDataFrame(kept.select(["old", "new"]), schema)
+    return table.select("old", F.struct(F.col("new").alias("value")).alias("new"))
 
 
 def _literal_type(value) -> T.DataType:

@@ -77,6 +77,8 @@ def upsert(
     source: DataFrame,
     keys: str | Sequence[str],
     order_by=None,
+    *,
+    stage: bool = False,
 ) -> DataFrame:
     """The rows of ``target`` after ``source`` was merged in by key.
 
@@ -86,6 +88,11 @@ def upsert(
     without it).  A NULL key matches nothing: such rows are all kept on both
     sides.  The target side is an anti join, which Spark may split when one key
     fills a large share of it; the source is reduced before its shuffle.
+
+    The source is read twice, for its keys and for its rows.  One that gives
+    other keys each time (random or sampled rows), or is dear to compute, wants
+    ``stage=True``: it is then written once to the shared folder, where the
+    copy stays until the ``stages`` block around the call ends.
     """
     names = name_list(keys)
     require(names, "upsert: needs keys")
@@ -95,9 +102,10 @@ def upsert(
         odd = sorted(set(source.columns) ^ set(target.columns))
         raise ValueError(f"upsert: columns on one side only: {odd}")
     keyed, unkeyed = source.filter(~any_null(names)), source.filter(any_null(names))
-    # Written once: the same rows decide what goes and what comes.
-    changes = materialize(deduplicate(keyed, names, order_by).unionByName(unkeyed), "upsert")
-    kept = target.join(key_set(changes, names), names, "left_anti")
+    changes = deduplicate(keyed, names, order_by).unionByName(unkeyed)
+    if stage:
+        changes = materialize(changes, "upsert")
+    kept = target.join(key_set(changes if stage else source, names), names, "left_anti")
     columns = [column(name) for name in target.columns]
     return kept.select(*columns).unionByName(changes.select(*columns))
 

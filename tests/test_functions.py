@@ -184,7 +184,7 @@ class TestGroups:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
         try:
             result = rows(
-                task_groups(df, "k", self.condense, self.merge, "k string, n bigint, total bigint", spread=3)
+                task_groups(df, "k", self.condense, self.merge, "k string, n bigint, total bigint", tasks=300)
             )
         finally:
             spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

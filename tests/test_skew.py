@@ -5,7 +5,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from rowloom import deduplicate, join, quality_report, upsert, write_file
+from rowloom import deduplicate, join, quality_report, task_groups, upsert, write_file
 
 
 @contextmanager
@@ -119,3 +119,23 @@ def test_hot_folder_is_written_by_several_tasks(spark, tmp_path):
     files = spark.read.parquet(path).inputFiles()
     assert sum("part=cold" in name for name in files) > 1
     assert spark.read.parquet(path).count() == 60_000
+
+
+def test_merge_frames_do_not_grow_with_tasks(spark):
+    """The largest number of pieces that one merge got, with 16 and with 64 input tasks."""
+
+    def condense(frame):
+        return frame.groupby("k", as_index=False).agg(pieces=("v", "size"), most=("v", "size")).assign(pieces=1, most=1)
+
+    def merge(frame):
+        return frame.groupby("k", as_index=False).agg(pieces=("pieces", "sum"), most=("most", "max"), rows=("k", "size")).assign(
+            most=lambda f: f[["most", "rows"]].max(axis=1)
+        )[["k", "pieces", "most"]]
+
+    largest = []
+    for tasks in (64, 256):
+        df = spark.range(0, 4096, 1, tasks).selectExpr("7 AS k", "id AS v")
+        (row,) = task_groups(df, "k", condense, merge, "k int, pieces long, most long").collect()
+        assert row.pieces == tasks
+        largest.append(row.most)
+    assert largest == [16, 16]
