@@ -10,11 +10,14 @@ Where a wrapper outgrows its longest page twice, the optional parts that the
 fewest pages have become gaps that stand for anything.
 Tasks align their own pages first, and only wrappers are shuffled: they merge
 by host and salt and then by host, so that a host may hold any share of the
-pages.  The finished wrapper says where the main text of its host stands, also in
-the variants that only some pages have, and which of the texts there belong to
-the template, and goes back to the pages.  A page takes its ``article``, else
-its ``main``, else the element that the wrapper names; one that has none of them
-with text in it is taken whole, without noise.
+pages.  The finished wrapper says which texts are the same on all of its pages,
+also inside repeated groups: they are its template, whatever the element around
+them, and what is left are slots.  It says where most of the slot text stands,
+also in the variants that only some pages have, and goes back to the pages.  A
+page takes its ``article``, else its ``main``, else the element that the wrapper
+names; of several articles the one in the main element, or with most text of
+its own, is the page's.  One that has none of them with text in it is taken
+whole, without noise.
 
 Defined cases.  A NULL page is empty and has no text.  A NULL url, or one
 without a host, has the empty host.  Pages without markup are one block.  Tags
@@ -54,12 +57,17 @@ FOLD, FORMS = 12, 500
 #: Bits of the table by which two lists are aligned, and items that a wrapper may have beyond twice its longest page.
 TABLE, SPARE = 1 << 27, 200
 BASE, PRIME = 0x1B873593CC9E2D51 % (2**61 - 1), 2**61 - 1
-#: Pages that must have the same text outside paragraphs at the same place of a wrapper before it counts as template.
+#: Pages that must agree on a text which others of the host have no place for, before it counts as template.
 TEMPLATE_PAGES = 5
+#: Bits by which pages are told apart, of the 60 there are for them.
+MARKS = 3
 
 OPEN = re.compile(rb"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
 # A quote counts after an equals sign only.
 QUOTE = re.compile(rb"""=\s*(["'])|>""")
+UNSEEN = re.compile(rb"""(?:^|\s)hidden(?=[\s=/>]|$)""", re.I)
+NO_DISPLAY = re.compile(rb"""\sstyle\s*=\s*(?:"[^"]*|'[^']*)display\s*:\s*none""", re.I)
+QUOTED = re.compile(rb"""=\s*(?:"[^"]*"|'[^']*')""")
 NAMED = re.compile(rb"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 # Names of elements and of their classes.
 RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe"}
@@ -93,6 +101,17 @@ def tag_end(page: bytes, at: int) -> int:
     return -1
 
 
+#: The mark of an element that is not shown.
+HIDDEN = "!hidden"
+
+
+def hides(told: bytes) -> bool:
+    """Whether the attributes of a tag keep its element from being shown."""
+    if b"hidden" in told.lower() and UNSEEN.search(QUOTED.sub(b"=q", told)):
+        return True
+    return b"none" in told and bool(NO_DISPLAY.search(told))
+
+
 def stream(page: bytes) -> Iterator[tuple[str, str]]:
     """Tags as (``<name`` with the words of its class, id and role, or ``</name``, "") and texts as ("#", text) in the order of the page."""
     at, size = 0, len(page)
@@ -118,6 +137,8 @@ def stream(page: bytes) -> Iterator[tuple[str, str]]:
             continue
         told = NAMED.finditer(page[found.end() : end])
         marks = sorted({w for m in told for w in (m[2] or m[3] or m[4] or b"").decode("utf-8", "replace").lower().split()})
+        if hides(page[found.end() : end]):
+            marks.append(HIDDEN)
         yield "<" + ".".join([name, *marks]), ""
         if name in RAW:
             close = re.compile(rb"</" + found[4] + rb"[\s/>]", re.I).search(page, at)
@@ -138,7 +159,7 @@ def named_so(marks: str, names: set[str]) -> bool:
 def noise_kind(tag: str) -> str:
     """How an element can be none of the main text: by "element", as a "header", by "name", that is class, id or role, or not ("")."""
     name, _, marks = tag[1:].partition(".")
-    if name in NOISE:
+    if name in NOISE or marks.endswith(HIDDEN):
         return "element"
     if name in ("html", "body", "main"):
         return ""
@@ -200,9 +221,9 @@ class Walk:
         self.inside = 0 if self.inside > depth else self.inside
 
 
-# A wrapper is a list of items [key, optional, text, [chars, pages, salts]]: text is the hash of a fixed text,
-# None in slots and groups; pages had the item, and salts are those of their texts; a key is a tag, "#" for a
-# text, or the keys of a repeated group between brackets.
+# A wrapper is a list of items [key, optional, texts, [chars, pages, marks]]: texts are those that half of its pages
+# have (hash: [length, pages]), none in slots, and None for tags; pages had the item, and marks are those of the
+# pages; a key is a tag, "#" for a text, or the keys of a repeated group between brackets.
 
 
 def long_groups(keys: list[str]) -> dict[int, list[int]]:
@@ -242,6 +263,24 @@ def long_groups(keys: list[str]) -> dict[int, list[int]]:
     return found
 
 
+def group_texts(part: list[list]) -> dict[str, list[int]]:
+    """The texts among some items that become a group."""
+    found: dict[str, list[int]] = {}
+    for _, _, texts, _ in part:
+        for h, (n, count) in (texts or {}).items():
+            found[h] = [n, max(count, found[h][1] if h in found else 0)]
+    return found
+
+
+def shared_texts(x: list, y: list) -> dict[str, list[int]] | None:
+    """The texts that half of the pages have of two items of one key."""
+    if x[2] is None or y[2] is None:
+        return None
+    both = {h: [n, count + y[2].get(h, (0, 0))[1]] for h, (n, count) in x[2].items()}
+    both |= {h: told for h, told in y[2].items() if h not in both}
+    return {h: told for h, told in both.items() if 2 * told[1] >= x[3][1] + y[3][1]}
+
+
 def fold(items: list[list], bodies: set[str]) -> list[list]:
     """Replace repeated neighbours, and single ones that are known to repeat, by groups."""
     keys = [item[0] for item in items]
@@ -260,7 +299,7 @@ def fold(items: list[list], bodies: set[str]) -> list[list]:
                 name = "(" + "|".join(body) + ")+"
                 part = items[i : i + repeats * k]
                 salts = functools.reduce(operator.or_, (x[3][2] for x in part))
-                folded.append([name, all(x[1] for x in part), None, [sum(x[3][0] for x in part), max(x[3][1] for x in part), salts]])
+                folded.append([name, all(x[1] for x in part), group_texts(part), [sum(x[3][0] for x in part), max(x[3][1] for x in part), salts]])
                 i += repeats * k
                 break
         else:
@@ -269,14 +308,28 @@ def fold(items: list[list], bodies: set[str]) -> list[list]:
     return folded
 
 
+def mark_of(page: bytes) -> int:
+    """Three bits of 60 that stand for a page: equal pages have the same, two others hardly ever."""
+    number, bits = xxhash.xxh3_64_intdigest(page), 0
+    while bits.bit_count() < MARKS:
+        number, bit = divmod(number or (1 << 64) - 59, 60)
+        bits |= 1 << bit
+    return bits
+
+
+def text_id(around: str, plain: str) -> str:
+    """A text and the last tag of a block before it, as a hash."""
+    return xxhash.xxh3_64_hexdigest(f"{around} {plain}")
+
+
 def page_items(page: bytes, salts: int = 0) -> list[list]:
-    items = []
+    items, around = [], ""
     for key, text in stream(page):
-        plain = " ".join(text.split())
         if key != "#":
             items.append([key, False, None, [0, 1, salts]])
-        elif plain:
-            items.append(["#", False, xxhash.xxh3_64_hexdigest(plain), [len(plain), 1, salts]])
+            around = around if name_of(key) in INLINE else key
+        elif plain := " ".join(text.split()):
+            items.append(["#", False, {text_id(around, plain): [len(plain), 1]}, [len(plain), 1, salts]])
     return items
 
 
@@ -345,7 +398,7 @@ def align(left: list[list], right: list[list]) -> tuple[list[list], list[int]]:
         last += 1
     n, m = len(a) - first - last, len(b) - first - last
     joined, places, i, j = [], list(range(first)), 0, 0
-    both = lambda x, y: [x[0], x[1] or y[1], x[2] if x[2] == y[2] else None, added(x[3], y[3])]
+    both = lambda x, y: [x[0], x[1] or y[1], shared_texts(x, y), added(x[3], y[3])]
     joined.extend(both(x, y) for x, y in zip(left[:first], right[:first], strict=True))
     for x, y in [*common(a[first : first + n], b[first : first + m]), (n, m)]:
         joined.extend([left[first + k][0], True, *left[first + k][2:]] for k in range(i, x))
@@ -416,9 +469,7 @@ class Wrapper:
         if form in self.forms:  # aligned before: only texts can differ
             for place, x in zip(self.forms[form], folded, strict=True):
                 mine = self.items[place]
-                mine[1], mine[3] = mine[1] or x[1], added(mine[3], x[3])
-                if mine[2] != x[2]:
-                    mine[2] = None
+                mine[1], mine[2], mine[3] = mine[1] or x[1], shared_texts(mine, x), added(mine[3], x[3])
             return
         more = bodies_of(folded) - bodies_of(self.items)
         if more:
@@ -447,21 +498,25 @@ def merged(wrappers: Iterable[tuple[str, int]]) -> Wrapper:
     return whole
 
 
-def agreed(pages: int, salts: int) -> bool:
-    """Whether enough pages had a text; copies of one page share their salt (so may, rarely, two of five other pages)."""
-    return pages >= TEMPLATE_PAGES and (not salts or salts.bit_count() >= TEMPLATE_PAGES - 1)
-
-
-def placed(inside: list[str], text: str) -> str:
-    """A text of the template: its hash and the element around it."""
-    return next((t for t in reversed(inside) if name_of(t) not in INLINE), "") + " " + text
+def agreed(optional: bool, pages: int, marks: int) -> bool:
+    """Whether pages that differ agree on a text: two where all pages have it, else ``TEMPLATE_PAGES``, of which two may be alike."""
+    different = marks.bit_count() - MARKS
+    return different > 0 and (not optional or pages >= TEMPLATE_PAGES and different >= TEMPLATE_PAGES)
 
 
 def rule(wrapper: Wrapper) -> dict:
-    """What a wrapper says: the main elements of all its pages and of their variants, best first, and the texts of the template."""
-    walk, mass, having, template, total = Walk(), {}, {}, set(), 0
-    for key, _, text, (chars, pages, salts) in wrapper.items:
-        for part in key[1:-2].split("|") if key.startswith("(") else [key]:
+    """What a wrapper says: the main elements of all its pages and of their variants, best first, and the texts of the template.
+
+    Elements are weighed by slot text; by all text where the pages have no other.
+    """
+    walk, having, template = Walk(), {}, set()
+    slots, fixed = {}, {}
+    for key, optional, texts, (chars, pages, marks) in wrapper.items:
+        group = key.startswith("(")
+        # Texts of nearly all pages; one of nine in ten is found however pages are dealt to tasks.
+        lasting = {h: told for h, told in (texts or {}).items() if 10 * told[1] >= 7 * pages} if agreed(optional, pages, marks) else {}
+        constant = min(chars, sum(n * count for n, count in lasting.values()))
+        for part in key[1:-2].split("|") if group else [key]:
             if part == "*":
                 continue
             if part != "#":
@@ -471,13 +526,15 @@ def rule(wrapper: Wrapper) -> dict:
                 continue
             if walk.noise:
                 continue
-            share = chars if part == key else chars / max(key.count("#"), 1)
-            link = any(name_of(t) == "a" for t in walk.open)
-            if text and agreed(pages, salts) and not any(name_of(t) in PARAGRAPHS for t in walk.open):
-                template.add(placed(walk.open, text))
-            total += 0 if link else share
-            for depth, tag in enumerate(walk.open):
-                mass[(depth, tag)] = mass.get((depth, tag), 0) + (0 if link else share)
+            template.update(lasting)
+            if any(name_of(t) == "a" for t in walk.open):
+                continue
+            parts = max(key.count("#"), 1)
+            for where in [(-1, ""), *enumerate(walk.open)]:
+                slots[where] = slots.get(where, 0) + (chars - constant) / parts
+                fixed[where] = fixed.get(where, 0) + constant / parts
+    mass = slots if slots.get((-1, "")) else {where: slots[where] + fixed[where] for where in slots}
+    total = mass.pop((-1, ""), 0)
     # The innermost element that holds most of the text, one with a telling name before others;
     # in variants it holds as much of a mean page, as often as it is there.
     mains, variants = [], []
@@ -488,7 +545,12 @@ def rule(wrapper: Wrapper) -> dict:
                 mains.append(rank)
             elif m >= 0.6 * total * having[tag] / max(wrapper.pages, 1):
                 variants.append(rank)
-    return {"main": [tag for *_, tag in sorted(mains, reverse=True)], "variants": [tag for *_, tag in sorted(variants, reverse=True)], "template": sorted(template)}
+    mains.sort(reverse=True)
+    # Two pages with more text in common than of their own are copies rather than a template.
+    place = mains[0][1:] if mains else (-1, "")
+    if wrapper.pages == 2 and fixed.get(place, 0) > slots.get(place, 0):
+        template = set()
+    return {"main": [tag for *_, tag in mains], "variants": [tag for *_, tag in sorted(variants, reverse=True)], "template": sorted(template)}
 
 
 def is_main(tag: str) -> bool:
@@ -499,7 +561,8 @@ def is_main(tag: str) -> bool:
 def main_elements(events: list[tuple[str, str]], said: dict) -> tuple[list, list]:
     """The page's main elements, the best kind first: (starts, starts with all elements around, whether they must hold half of the text).
 
-    The second list has those inside elements that have the name of noise.
+    Articles in a main element go before others.  The second list has the
+    elements inside those that have the name of noise.
     """
     ranks = {tag: 2 + i for i, tag in enumerate(dict.fromkeys([*said["main"], *said["variants"]]))}
     weak, found, walk = 2 + len(said["main"]), {}, Walk()
@@ -514,6 +577,9 @@ def main_elements(events: list[tuple[str, str]], said: dict) -> tuple[list, list
             continue
         around = [(name_of(t), noise_kind(t)) for t in walk.open] if walk.noise else []
         if all(kind != "element" or name == "form" for name, kind in around):
+            if rank == 0:
+                outer = walk.open[:-1]
+                rank = -2 if any(map(is_main, outer)) else -1 if any(t in ranks for t in outer) else 0
             starts, free = found.setdefault((any(kind not in ("", "element") for _, kind in around), rank), (set(), set()))
             starts.add(at)
             free.update(walk.starts)
@@ -522,52 +588,74 @@ def main_elements(events: list[tuple[str, str]], said: dict) -> tuple[list, list
 
 
 def blocks_of(events: list[tuple[str, str]], mains: set[int] | None, free: Iterable[int], template: Iterable[str], names: bool) -> str:
-    """The blocks of the elements that start at ``mains``, or of the whole page, without noise and template."""
-    walk, blocks, open_block = Walk(mains or (), free, names), [], []
+    """The blocks of the elements that start at ``mains``, or of the whole page, without noise and template.
+
+    A block is template when all of its texts are, so words in common stay in a block of other words.
+    """
+    walk, blocks, open_block, own, around = Walk(mains or (), free, names), [], [], False, ""
 
     def end() -> None:
+        nonlocal own
         plain = " ".join(html.unescape("".join(open_block)).split())
-        if plain:
+        if plain and own:
             blocks.append(plain)
         open_block.clear()
+        own = False
 
     for at, (key, text) in enumerate(events):
         if key == "#":
             if not walk.noise and (walk.inside or mains is None):
-                if not template or placed(walk.open, xxhash.xxh3_64_hexdigest(" ".join(text.split()))) not in template:
-                    open_block.append(text)
+                open_block.append(text)
+                said = " ".join(text.split())
+                own |= bool(said) and (not template or text_id(around, said) not in template)
             continue
         if name_of(key) not in INLINE:
             end()
+            around = key
         walk.enter(key, at)
     end()
     return "\n".join(blocks)
 
 
+def own_text(events: list[tuple[str, str]], kind: tuple, template: Iterable[str]) -> str:
+    """The text of a kind of main elements, without names where these would empty it; of several articles the longest."""
+    mains, free, _ = kind
+    for names in (True, False):
+        whole = blocks_of(events, mains, free, template, names)
+        if whole and len(mains) > 1 and all(name_of(events[at][0]) == "article" for at in mains):
+            return max((blocks_of(events, {at}, free, template, names) for at in sorted(mains)), key=len)
+        if whole:
+            return whole
+    return ""
+
+
 def main_text(page: bytes, said: dict) -> str:
     """The blocks of the first main element that the page has with text in it, else of the whole page, one to a line.
 
-    What the template or the names would empty is taken without them.  A main
-    element inside noise by name counts where it holds more than the rest.
+    An element whose text is all template is left for the next one; only a page
+    of nothing else is taken with its template.  A main element inside noise by
+    name counts where it holds more than the rest.
     """
-    events, template = list(stream(page)), said["template"]
-    tried = ((template, True), ((), True), ((), False))
-    text_of = lambda mains, free=(): next((t for x in tried if (t := blocks_of(events, mains, free, *x))), "")
+    events = list(stream(page))
     clear, hidden = main_elements(events, said)
-    whole = None
-    for mains, free, weak in clear:
-        text = text_of(mains, free)
-        if weak and text and whole is None:
+    for template in (said["template"], ()) if said["template"] else ((),):
+        whole = None
+        for kind in clear:
+            text = own_text(events, kind, template)
+            if kind[2] and text and whole is None:
+                whole = blocks_of(events, None, (), template, True)
+            if text and not (kind[2] and 2 * len(text) < len(whole)):
+                return text
+        if whole is None:
             whole = blocks_of(events, None, (), template, True)
-        if text and not (weak and 2 * len(text) < len(whole)):
-            return text
-    if whole is None:
-        whole = blocks_of(events, None, (), template, True)
-    for mains, free, _ in hidden:
-        text = text_of(mains, free)
-        if len(text) > len(whole):
-            return text
-    return whole or text_of(None)
+        for kind in hidden:
+            text = own_text(events, kind, template)
+            if len(text) > len(whole):
+                return text
+        whole = whole or blocks_of(events, None, (), template, False)
+        if whole:
+            return whole
+    return ""
 
 
 def _wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -585,7 +673,7 @@ def _wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, salt, page in zip(*(batch.column(c).to_pylist() for c in ("host", "salt", "page")), strict=True):
             wrapper = held.setdefault(host, Wrapper())
             items -= wrapper.size()
-            wrapper.add(page_items(page, 1 << salt), 1, 1 << salt)
+            wrapper.add(page_items(page, mark_of(page)), 1, 1 << salt)
             items += wrapper.size()
             if len(held) >= HELD or items >= HELD_ITEMS:
                 yield sent()

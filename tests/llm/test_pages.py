@@ -26,9 +26,9 @@ def test_main_text(spark):
     pages, wanted = [], {}
     for k in range(8):
         paragraphs = "".join(f"<p>Text {k} {j} &amp; more&nbsp;&eacute;<b>bold</b>\n  end</p>" for j in range(k % 3 + 1))
-        body = f"<article class=post><h1>Head {k}</h1><form>mail?</form>{paragraphs}<div class='ad box'>Buy {k}</div><div class=\"share\">Share</div><p>open <i>last</i><br>line</article>"
+        body = f"<article class=post><h1>Head {k}</h1><form>mail?</form>{paragraphs}<div class='ad box'>Buy {k}</div><div class=\"share\">Share</div><p>open <i>last</i> {k}<br>line {k}</article>"
         pages.append((k, "http://a.example/x", template(k, body, after=f"<section id=comments><p>reader {k}</p></section>")))
-        wanted[k] = "\n".join([f"Head {k}", *(f"Text {k} {j} & more ébold end" for j in range(k % 3 + 1)), "open last", "line"])
+        wanted[k] = "\n".join([f"Head {k}", *(f"Text {k} {j} & more ébold end" for j in range(k % 3 + 1)), f"open last {k}", f"line {k}"])
     for k in range(8, 16):
         body = f"<div id=content><h1>Head {k}</h1><p>{'long words ' * 30}{k}</p><div class=cookie-notice>We use</div><p>end {k}</p></div><div class=sidebar><p>side {k}</p></div>"
         pages.append((k, "http://b.example/y", template(k, body)))
@@ -47,8 +47,8 @@ def test_wrappers_generalise():
         extra = "<h2>only here</h2>" if k == 2 else ""
         page = f"<div>same</div><p>text {k}</p>{extra}<ul>{'<li>x</li>' * (k + 1)}</ul>"
         wrapper.add(html_wrappers.page_items(page.encode()))
-    items = [(key, optional, text is not None) for key, optional, text, _ in wrapper.items]
-    assert ("(<li|#|</li)+", False, False) in items  # a repeated group, also where it stands once
+    items = [(key, optional, bool(text)) for key, optional, text, _ in wrapper.items]
+    assert ("(<li|#|</li)+", False, True) in items  # a repeated group, also where it stands once; all pages have its "x"
     assert ("<h2", True, False) in items  # an optional part
     texts = [fixed for key, optional, fixed in items if key == "#" and not optional]
     assert texts == [True, False]  # a fixed text and a slot
@@ -216,3 +216,59 @@ def test_score_by_hand(spark):
     assert len(found.g) == sum(max(0, 11 - n + 1) + max(0, 3 - n + 1) for n in url_filter.GRAMS)
     margin = sum(weights[b] for b in found.g) / len(found.g) ** 0.5 + intercept
     assert abs(found.s - 1 / (1 + 2.718281828459045 ** -margin)) < 1e-9
+
+
+def story(k):
+    return f"Story {k} begins", f"and ends after {k * 7 % 11} words of number {k}"
+
+
+LAYOUTS = {
+    # The notice weighs more than the article and stands outside of it.
+    "outside": lambda a, b: f"<div class=top>Our cookies policy applies to all that you read here</div><div class=txt><div>{a}</div><div>{b}</div></div>",
+    # Notices inside the article, in a paragraph among others and in a box.
+    "inside": lambda a, b: f"<article><h1>{a}</h1><p>{b}</p><p>Subscribe to our list!</p><div>Read our terms</div></article>",
+    # Other stories beside the page's own, in their own articles.
+    "stories": lambda a, b: f"<main><article><h1>{a}</h1><p>{b}</p></article></main><section class=more><article class=teaser>Other {b} and {a}, much longer than what is told</article></section>",
+    "no main": lambda a, b: f"<article class=teaser>Other {a[-7:]}</article><article><h1>{a}</h1><p>{b}</p></article>",
+    # What is not shown.
+    "hidden": lambda a, b: f"<article><h1>{a}</h1><div hidden>{b} {b}</div><p style='color:red; display: none'>{b} {b}</p><p title='a hidden sense'>{b}</p></article>",
+}
+
+
+@pytest.mark.parametrize("size", [2, 4, 6, 60])
+def test_wrapper_decides_whatever_the_size_of_the_host(spark, size):
+    pages, wanted = [], {}
+    for number, (layout, make) in enumerate(LAYOUTS.items()):
+        for k in range(size):
+            at = number * 100 + k
+            pages.append((at, f"http://h{number}.example/{k}", template(k, make(*story(k)))))
+            wanted[at] = "\n".join(story(k))
+    got = html_wrappers.extract_text(table(spark, pages)).collect()
+    assert {r.page_id: r.text for r in got} == wanted
+
+
+def test_words_in_common_stay(spark):
+    """Texts of a block that all pages have, and copies on a host of two pages, are no template."""
+    pages, wanted = [], {}
+    for k in range(8):
+        pages.append((k, "http://w.example/", f"<article><p>See <b>the</b> page {k} <i>and</i> rest.</p><p>It is <b>the</b> <i>end</i> of {k}.</p></article>"))
+        wanted[k] = f"See the page {k} and rest.\nIt is the end of {k}."
+    same = "".join(f"<p>A long sentence of both pages, number {j}.</p>" for j in range(5))
+    for k in (20, 21):
+        pages.append((k, "http://two.example/", f"<article><h1>Copy</h1>{same}<p>tail {k}</p></article>"))
+        wanted[k] = "\n".join(["Copy", *(f"A long sentence of both pages, number {j}." for j in range(5)), f"tail {k}"])
+    got = html_wrappers.extract_text(table(spark, pages)).collect()
+    assert {r.page_id: r.text for r in got} == wanted
+
+
+def test_hot_host_and_long_page(spark):
+    """A third of the pages on one host, in many tasks, and one page of many thousand blocks."""
+    count = 900
+    rows = [(k, "http://hot.example/" if k % 3 == 0 else f"http://h{k}.example/", template(k, LAYOUTS["inside"](*story(k)))) for k in range(count)]
+    long = "".join(f"<p>{'<b>w</b> ' * (j % 3)}line {j}</p>" for j in range(20_000))
+    rows.append((count, "http://hot.example/", template(1, f"<article>{long}</article>")))
+    got = {r.page_id: r.text for r in html_wrappers.extract_text(table(spark, rows).repartition(12)).collect()}
+    assert got[count].count("\n") == 19_999 and got[count].startswith("line 0\nw line 1\n")
+    for k in range(count):
+        ours = "\n".join(story(k))
+        assert got[k] == (ours if k % 3 == 0 else f"{ours}\nSubscribe to our list!\nRead our terms")
