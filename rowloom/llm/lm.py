@@ -4,7 +4,9 @@ The n-grams of the learning texts are the model; it is never gathered in one
 place.  Texts are dealt to blocks of a bounded size.  A block lists its
 different n-grams with their own counts, cut into ranges of their hashes; a
 range adds up the counts of all blocks and answers each block with the totals
-of what it listed, in the same order.  A block then builds the part of the
+of what it listed, in the same order.  There are as many ranges as the n-grams
+need, whatever the number of blocks, and a block lists no empty range, so there
+are never more rows than n-grams listed.  A block then builds the part of the
 automaton that its texts can reach and walks them through it.  Both shuffles
 carry one entry per block and different n-gram, so a frequent one is no hot
 key, and blocks and ranges grow in number, not in size.
@@ -42,6 +44,8 @@ from rowloom.session import materialize
 
 #: Bytes of text per block.
 BLOCK_BYTES = 8_000_000
+#: N-grams of all texts for each range of hashes (blocks list each once, so a range gets far fewer), and the fewest ranges.
+RANGE_GRAMS, RANGES = 8_000_000, 16
 START, END = b"\x20", b"\x20\x20"  # no words, as they hold blanks
 MIX_1, MIX_2, MIX_3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -172,17 +176,23 @@ def _dealt(docs: DataFrame, id_col: str, text_col: str, learn, blocks: int) -> D
     )
 
 
-def listed_ngrams(dealt: DataFrame, order: int, bits: int) -> DataFrame:
-    """One row per block and range of hashes: what the block has there, and how often in learning texts."""
+def range_count(tokens: int, order: int) -> int:
+    return max(RANGES, -(-tokens * order // RANGE_GRAMS))
+
+
+def listed_ngrams(dealt: DataFrame, order: int, ranges: int) -> DataFrame:
+    """One row per block and range of hashes that it has n-grams in: which, and how often in learning texts."""
+    starts = np.array([(1 << 64) * k // ranges for k in range(1, ranges)], np.uint64)
 
     def listed(table: pa.Table) -> pa.Table:
         grams = _texts(table, order)
         keys, counts = grams.sorted_keys, grams.counts(np.array(table.column("learn").to_pylist(), bool))
-        cuts = np.searchsorted(keys, (np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(0, np.uint64))
+        cuts = np.searchsorted(keys, starts)
         parts, amounts = np.split(keys, cuts), np.split(counts, cuts)
-        steps = [pack(np.diff(part, prepend=np.uint64(0))) for part in parts]
+        filled = [number for number, part in enumerate(parts) if len(part)]
+        steps = [pack(np.diff(parts[number], prepend=np.uint64(0))) for number in filled]
         block = table.column("block")[0].as_py()
-        rows = {"range": range(len(parts)), "block": [block] * len(parts), "keys": steps, "counts": [pack(a) for a in amounts]}
+        rows = {"range": filled, "block": [block] * len(filled), "keys": steps, "counts": [pack(amounts[number]) for number in filled]}
         return pa.table(rows, pa.schema([("range", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
 
     return dealt.groupBy("block").applyInArrow(listed, "range int, block int, keys binary, counts binary")
@@ -224,11 +234,13 @@ def score_texts(
     orders shuffle more: nearly every trigram of a large corpus is new.
     """
     learn = crc_mod(F.col(id_col), 5) != 1 if learn is None else learn
-    facts = docs.select(F.octet_length(raw_text(text_col)).alias("b"), F.when(learn, word_count(whole_text(text_col)) + 1).alias("t"))
-    size, tokens = facts.agg(F.coalesce(F.sum("b"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()
+    counted = docs.select(F.octet_length(raw_text(text_col)).alias("b"), word_count(whole_text(text_col)).alias("w"), learn.alias("learn"))
+    facts = counted.select("b", "w", F.when(F.col("learn"), F.col("w") + 1).alias("t"))
+    words_all = F.coalesce(F.sum("w"), F.lit(0)) + 2 * F.count(F.lit(1))
+    size, tokens, entries = facts.agg(F.coalesce(F.sum("b"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0)), words_all).first()
     blocks = max(1, -(-size // block_bytes))
     dealt = _dealt(docs, id_col, text_col, learn, blocks)
-    answers = total_counts(listed_ngrams(dealt, order, (blocks - 1).bit_length()))
+    answers = total_counts(listed_ngrams(dealt, order, range_count(entries, order)))
     kind = docs.schema[docs.select(F.col(id_col)).columns[0]].dataType
     schema = T.StructType().add("doc_id", kind).add("learned", "boolean").add("n_tokens", "long").add("n_known", "long")
     schema = schema.add("base_part", "double").add("score_part", "double").add("known_words", "long")

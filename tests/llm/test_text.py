@@ -82,7 +82,7 @@ def scores_by_hand(rows, order, prior, discount):
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_scores_by_hand(spark, rows, order):
     rng = random.Random(order)
-    texts = [*AWKWARD[:8], *((i, " ".join(rng.choice("aBcde") for _ in range(rng.randrange(30)))) for i in range(20, 60))]
+    texts = [*AWKWARD, *((i, " ".join(rng.choice("aBcde") for _ in range(rng.randrange(30)))) for i in range(20, 60))]
     got = rows(lm.score_texts(awkward(spark, texts), order=order, prior=2.0, discount=0.5, block_bytes=200))
     wanted = scores_by_hand(texts, order, 2.0, 0.5)
     assert [r[:5] for r in got] == [r[:5] for r in wanted]
@@ -221,3 +221,15 @@ def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.predicted for r in toxicity.score_toxicity(docs, none).collect()} == {0}
     assert toxicity.score_toxicity(awkward(spark, []), none).collect() == []
+
+
+def test_listed_rows_grow_with_blocks(spark):
+    """Twice the blocks give at most twice the rows, and never one without n-grams."""
+    docs = awkward(spark, [(i, " ".join(f"w{(i * 7 + j) % 900}" for j in range(40))) for i in range(400)])
+    sizes = []
+    for blocks in (8, 16, 32, 64):
+        dealt = lm._dealt(docs, "doc_id", "text", F.lit(True), blocks)
+        listed = lm.listed_ngrams(dealt, 2, lm.range_count(400 * 42, 2))
+        assert listed.where("octet_length(keys) = 0").count() == 0
+        sizes.append(listed.count())
+    assert all(later <= 2 * earlier for earlier, later in zip(sizes, sizes[1:], strict=False)) and sizes[0] <= 8 * lm.RANGES
