@@ -26,11 +26,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from rowloom.llm.common import each_salt, free_names, raw_text, salt_of, salts_seen
+from rowloom.llm.common import each_salt, free_names, raw_text, salt_of, salts_seen, whole_text
 from rowloom.session import materialize
 
 WORDS = 5
@@ -227,19 +227,22 @@ def components(edges: DataFrame) -> DataFrame:
         labels = found
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """Return doc_id, class_id, n_links, n_text_links and copies, one row per document.
-
-    ``class_id`` names the class of documents that links connect, by its
-    smallest id.  ``n_links`` counts the other documents whose similarity
-    reaches ``threshold``, copies included; ``n_text_links`` counts the other
-    sets among them, and ``copies`` the documents with the same set.
-    """
-    known = docs.select(F.col(id_col).alias("doc_id"), described(text_col).alias("d"))
-    known = materialize(known.select("doc_id", "d.*"), "shingle-sets")
+def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, digest, size) of every row, and the classes and links of every set of shingles that is not empty."""
+    known = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(whole_text(text_col)).alias("text_key"), described(text_col).alias("d"))
+    known = materialize(known.select("doc_id", "text_key", "d.*"), "shingle-sets")
+    # A text stands for its set: that of the smallest id, and of rows without one that of the smallest hash.
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first")
     sets = known.where("size > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands")
+        first, F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands")
     )
+    sets = sets.select("digest", F.col("first.doc_id").alias("rep"), F.col("first.text_key").alias("rep_key"), "copies", "size", "bands")
+    nodes = _linked_nodes(docs, id_col, text_col, threshold, sets)
+    return known.select("doc_id", "digest", "size"), nodes
+
+
+def _linked_nodes(docs: DataFrame, id_col: str, text_col: str, threshold: float, sets: DataFrame) -> DataFrame:
+    """digest, label, class_id, copies, n_links and n_text_links of each set; ``label`` names the class, whatever its ids."""
     sets = materialize(sets.withColumn("node", F.xxhash64("digest")), "distinct-sets")
     bands = sets.select("node", "size", F.explode("bands").alias("key"), salt_of(F.col("node")).alias("salt"))
     # Tasks combine their rows of a bucket before the shuffle; the members come back by key and salt.
@@ -249,8 +252,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     once = once.select("key", F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"), each_salt("salts").alias("salt"))
     members = bands.join(once, ["key", "salt"]).withColumn("block", F.pmod(F.xxhash64(F.lit(2), "node"), F.col("blocks")).cast("int"))
     members = materialize(members.select("key", "node", "block", "blocks"), "bucket-members")
-    wanted = sets.join(members.select("node").distinct(), "node").select("node", "digest", "rep", "copies")
-    texts = docs.select(F.col(id_col).alias("doc_id"), raw_text(text_col).alias("text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")))
+    wanted = sets.join(members.select("node").distinct(), "node").select("node", "digest", "rep", "rep_key", "copies")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(whole_text(text_col)).alias("text_key"), raw_text(text_col).alias("text"))
+    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_key") == F.col("rep_key")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("c")
     tasks = members.select("key", "node", "block", other)
     tasks = tasks.select("key", F.least("block", "c").alias("p"), F.greatest("block", "c").alias("q"), "node", "block")
@@ -262,9 +266,20 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     nodes = sets.select("digest", "rep", "copies").join(counts, "digest", "left").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
     nodes = nodes.withColumn("label", F.coalesce("label", "digest"))
     classes = nodes.groupBy("label").agg(F.min("rep").alias("class_id"))
-    nodes = nodes.join(classes, "label").select("digest", "class_id", "copies", (F.coalesce("docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"))
-    nodes = materialize(nodes, "similar-nodes")
-    found = known.select("doc_id", "digest", "size").join(nodes, "digest", "left")
+    nodes = nodes.join(classes, "label").select("digest", "label", "class_id", "copies", (F.coalesce("docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"))
+    return materialize(nodes, "similar-nodes")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """Return doc_id, class_id, n_links, n_text_links and copies, one row per document.
+
+    ``class_id`` names the class of documents that links connect, by its
+    smallest id.  ``n_links`` counts the other documents whose similarity
+    reaches ``threshold``, copies included; ``n_text_links`` counts the other
+    sets among them, and ``copies`` the documents with the same set.
+    """
+    known, nodes = _classes(docs, id_col, text_col, threshold)
+    found = known.join(nodes, "digest", "left")
     none = F.col("size") == 0
     return found.select(
         "doc_id",
@@ -276,8 +291,22 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """The document with the smallest id of each class, with all its columns; rows that repeat an id stay together."""
-    found = similar_documents(docs, id_col, text_col, threshold)
-    (name,) = free_names(docs, "kept_id")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
+    """The document with the smallest id of each class, with all its columns; rows that repeat an id stay together.
+
+    Of a class of rows without an id one row stays.
+    """
+    known, nodes = _classes(docs, id_col, text_col, threshold)
+    name, digest, size, label = free_names(docs, "kept_id", "digest_", "size_", "label_")
+    found = known.where(F.col("doc_id").isNotNull()).join(nodes.select("digest", "class_id"), "digest", "left")
+    own = (F.col("size") == 0) | (F.col("doc_id") == F.col("class_id"))
+    kept = found.where(own).select(F.col("doc_id").alias(name)).distinct()
+    named = docs.join(kept, F.col(id_col) == F.col(name), "left_semi")
+    nameless = docs.where(F.col(id_col).isNull())
+    if nameless.isEmpty():
+        return named
+    rows = nameless.withColumn(digest, described(text_col)).withColumns({size: F.col(f"{digest}.size"), digest: F.col(f"{digest}.digest")})
+    classes = nodes.where(F.col("class_id").isNull()).select(F.col("digest").alias(digest), F.col("label").alias(label))
+    first = Window.partitionBy(label).orderBy(digest, F.xxhash64(whole_text(text_col)))
+    alone = rows.where(F.col(size) == 0).select(*(F.col(f"`{c}`") for c in docs.columns))
+    one = rows.where(F.col(size) > 0).join(classes, digest).withColumn(name, F.row_number().over(first)).where(F.col(name) == 1)
+    return named.unionAll(alone).unionAll(one.select(*(F.col(f"`{c}`") for c in docs.columns)))

@@ -146,3 +146,18 @@ def test_components_of_chains(spark):
     edges = [(bytes([i]), bytes([i + 1])) for i in range(40)] + [(bytes([100]), bytes([101]))]
     got = jaccard.components(spark.createDataFrame(edges, "node binary, root binary")).collect()
     assert {(bytes(r.node)[0], bytes(r.label)[0]) for r in got} == {(i, 0) for i in range(41)} | {(100, 100), (101, 100)}
+
+
+def test_classes_without_ids(spark):
+    """Rows without an id: one of each class stays, and texts meet their own set only."""
+    base = words(40).split()
+    near = " ".join([*base[:39], "other"])
+    texts = [(None, " ".join(base)), (None, near), (None, near), (None, words(60, "q")), (7, words(60, "q")), (None, words(30, "z")), (None, ""), (None, None)]
+    kept = jaccard.drop_similar(awkward(spark, texts)).collect()
+    assert len(kept) == 5 and [r.text for r in kept if r.doc_id == 7] == [words(60, "q")]
+    assert sum(1 for r in kept if r.text in (" ".join(base), near)) == 1
+    assert sorted(r.text or "" for r in kept if r.doc_id is None)[:2] == ["", ""]
+    many = awkward(spark, [(None, words(40, f"s{i}") + " tail") for i in range(300)] * 2)
+    found = jaccard.similar_documents(many)
+    assert found.where("copies = 2 AND n_links = 1").count() == 600
+    assert len(jaccard.drop_similar(many).collect()) == 300
