@@ -45,7 +45,7 @@ from rowloom.session import materialize
 #: Bytes of text per block.
 BLOCK_BYTES = 8_000_000
 #: N-grams of all texts for each range of hashes (blocks list each once, so a range gets far fewer), and the fewest ranges.
-RANGE_GRAMS, RANGES = 8_000_000, 16
+RANGE_GRAMS, RANGES = 2_500_000, 16
 START, END = b"\x20", b"\x20\x20"  # no words, as they hold blanks
 MIX_1, MIX_2, MIX_3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
