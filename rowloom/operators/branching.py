@@ -17,6 +17,7 @@ def branch(
     *,
     statistics: Mapping[str, Column] | None = None,
     reuse: str | None = None,
+    lazy: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Send a whole dataset down one of two branches.
 
@@ -28,9 +29,15 @@ def branch(
     The value alone decides, also for an empty input; NULL counts as false.
 
     The predicate is one aggregate, evaluated right away; a single boolean
-    reaches the driver and the branch not taken costs nothing.
+    reaches the driver and the branch not taken costs nothing.  With ``lazy``
+    nothing runs yet: both branches are filters on a scalar subquery, which
+    runs once before the rows of a plan that uses them, and the branch not
+    taken still reads its input.  ``reuse`` would write the input at once, so
+    it does not go with ``lazy``.
     """
     require_batch(df, "branch", "branch inside foreachBatch")
+    if lazy and reuse:
+        raise ValueError("branch: reuse runs the input at once, which lazy forbids")
     source = reusable(df, reuse)
     if isinstance(predicate, str):
         require(predicate.strip(), "branch: needs an expression")
@@ -41,6 +48,9 @@ def branch(
         flag = measured.select(F.expr(predicate).cast("boolean"))
     else:
         flag = source.agg(predicate(source).cast("boolean"))
+    if lazy:
+        holds = F.coalesce(flag.scalar(), F.lit(False))
+        return source.where(holds), source.where(~holds)
     holds = bool(flag.first()[0])
     empty = source.limit(0)
     return (source, empty) if holds else (empty, source)

@@ -925,6 +925,23 @@ def c1_branch_empty(t: Tables) -> DataFrame:
     )[0]
 
 
+@query(
+    "c1_branch_lazy",
+    """
+    SELECT 'many' AS taken, o_orderkey FROM orders WHERE (SELECT count(*) FROM orders) > 100
+    UNION ALL SELECT 'odd', o_orderkey FROM orders
+    WHERE NOT (SELECT count(*) FILTER (o_totalprice IS NULL) = count(*) FROM orders) AND o_orderkey < 10
+    """,
+)
+def c1_branch_lazy(t: Tables) -> DataFrame:
+    many, _ = branch(t.orders, "row_count > 100", lazy=True)
+    _, odd = branch(t.orders, lambda df: F.bool_and(df.o_totalprice.isNull()), lazy=True)
+    return fan_in(
+        many.select(F.lit("many").alias("taken"), "o_orderkey"),
+        odd.where("o_orderkey < 10").select(F.lit("odd").alias("taken"), "o_orderkey"),
+    )
+
+
 @query(
     "c2_branch",
     """

@@ -228,3 +228,19 @@ class TestUpsert:
         a = spark.createDataFrame(target, "k int, v int")
         b = spark.createDataFrame(source, "k int, v int")
         assert rows(upsert(a, b, "k", order_by="v")) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("predicate", ["row_count > 3", "row_count > 5", "most > 3", "NULL", lambda df: F.max("v") == 4])
+def test_lazy_branch(spark, rows, predicate):
+    df = spark.createDataFrame([(1, 1), (2, 4), (None, 2), (3, None)], "id int, v int")
+    statistics = {"most": F.max("v")}
+    spark.sparkContext.setJobGroup("lazy", "")
+    yes, no = branch(df, predicate, statistics=statistics, lazy=True)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    eager = branch(df, predicate, statistics=statistics)
+    assert [rows(yes), rows(no)] == [rows(part) for part in eager]
+    plan = yes.unionAll(no)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    with pytest.raises(ValueError, match="lazy"):
+        branch(df, "row_count > 1", reuse="table", lazy=True)
