@@ -35,7 +35,7 @@ from rowloom.sinks.custom import custom_sink
 from rowloom.sinks.database import migrate, write_db
 from rowloom.sinks.ledger import dead_letters, deliver_once
 from rowloom.sinks.files import upsert, upsert_table, write_file
-from rowloom.sources.api import api_source, http_fetch, request_rows
+from rowloom.sources.api import api_source, http_fetch, open_payload, payload_shape, request_rows
 from rowloom.sources.arrow_tables import read_arrow_table, register_arrow_tables
 from rowloom.sources.custom import custom_source
 from rowloom.sources.database import read_db
@@ -75,7 +75,9 @@ __all__ = [
     "materialize",
     "migrate",
     "missing_run_dates",
+    "open_payload",
     "parse_quality_rule",
+    "payload_shape",
     "quality_gate",
     "quality_report",
     "read_arrow_table",

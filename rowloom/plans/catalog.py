@@ -50,7 +50,7 @@ from rowloom.sinks.custom import custom_sink
 from rowloom.sinks.ledger import deliver_once
 from rowloom.sinks.files import upsert, upsert_table, write_file
 from rowloom.sources.arrow_tables import read_arrow_table, register_arrow_tables
-from rowloom.sources.api import api_source, parse_payload
+from rowloom.sources.api import api_source, open_payload, parse_payload
 from rowloom.sources.custom import custom_source
 from rowloom.sources.files import read_file, seed_table
 from rowloom.sources.sql import run_query, run_variables
@@ -128,6 +128,22 @@ def s2_json_parse(t: Tables) -> DataFrame:
     return parse_payload(events, "props", "k bigint", keep="event_id", outer=True)
 
 
+@query(
+    "s2_open_payload",
+    """
+    SELECT event_id, CASE WHEN event_id % 3 > 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+           CASE WHEN event_id % 3 = 0 THEN event_id END AS deep, CASE WHEN event_id % 3 = 0 THEN event_type END AS kind
+    FROM events
+    """,
+)
+def s2_open_payload(t: Tables) -> DataFrame:
+    """Payloads of two shapes, read without a declared schema."""
+    other = """'{"k": {"deep": [1, ' || event_id || '], "kind": "' || event_type || '"}}'"""
+    events = add_column(t.events, "props", f"if(event_id % 3 = 0, {other}, props)")
+    fields = {"k": ("$.k", "bigint"), "deep": ("$.k.deep[1]", "bigint"), "kind": ("$.k.kind", "string")}
+    return open_payload(events, "props", fields, keep="event_id")
+
+
 @query("s3_xml", "SELECT * REPLACE ('  ' || c_name || '   ' AS c_name) FROM customer")
 def s3_xml(t: Tables) -> DataFrame:
     path = t.scratch("s3")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.columns import column, name_list, require, require_columns
+from rowloom.columns import column, free_name, name_list, require, require_columns, require_unique_names
 from rowloom.functions.rows import as_struct_type
 
 REQUEST_SCHEMA = "url string, method string, headers map<string,string>, body string"
@@ -115,3 +115,44 @@ def parse_payload(
         column(name), T.ArrayType(as_struct_type(schema)), {"mode": "FAILFAST"}
     )
     return df.select(*[column(other) for other in name_list(keep)], F.inline_outer(rows) if outer else F.inline(rows))
+
+
+def open_payload(
+    df: DataFrame,
+    name: str,
+    fields: Mapping[str, tuple[str, str]],
+    keep: str | Sequence[str] | None = None,
+    *,
+    malformed: str = "fail",
+    strict: bool = False,
+) -> DataFrame:
+    """Typed fields of JSON texts whose shape is not declared, by way of VARIANT.
+
+    ``fields`` maps an output column to (path, type), such as
+    ``("$.address.city", "string")``.  Each text is parsed once; columns in
+    ``keep`` stay beside the fields.  A missing path is NULL; a value that does
+    not fit its type is NULL too, or fails the job with ``strict``.  NULL texts
+    have only NULL fields.  Malformed JSON fails the job, or counts as NULL with
+    ``malformed="null"``.
+    """
+    require(fields, "open_payload: needs fields {name: (path, type)}")
+    if malformed not in ("fail", "null"):
+        raise ValueError(f"open_payload: malformed must be fail or null, not {malformed!r}")
+    require_columns(df, [name, *name_list(keep)], "open_payload")
+    require_unique_names([*name_list(keep), *fields], "open_payload")
+    parse = F.parse_json if malformed == "fail" else F.try_parse_json
+    get = F.variant_get if strict else F.try_variant_get
+    payload = free_name("payload", df)
+    parsed = df.withColumn(payload, parse(column(name)))
+    values = [get(column(payload), path, kind).alias(out) for out, (path, kind) in fields.items()]
+    return parsed.select(*[column(other) for other in name_list(keep)], *values)
+
+
+def payload_shape(df: DataFrame, name: str) -> str:
+    """The type that covers the JSON texts of a column, as DDL: what ``open_payload`` may be asked for.
+
+    One aggregate over all rows; only the type reaches the driver.  NULLs and
+    malformed texts say nothing.
+    """
+    require_columns(df, [name], "payload_shape")
+    return df.agg(F.schema_of_variant_agg(F.try_parse_json(column(name)))).first()[0]

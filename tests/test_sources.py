@@ -7,6 +7,8 @@ from rowloom import (
     api_source,
     custom_source,
     http_fetch,
+    open_payload,
+    payload_shape,
     read_db,
     read_file,
     render_text,
@@ -258,3 +260,34 @@ class TestQuery:
     def test_empty(self, spark):
         with pytest.raises(ValueError):
             run_query(spark, " ")
+
+
+OPEN = [(1, '{"a": 1, "b": {"c": ["x", "y"]}}'), (2, '{"a": "text"}'), (3, None), (4, '{"b": {"c": []}}'), (5, "[1]"), (6, '{"a": 2.5}')]
+
+
+def test_open_payload(spark, rows):
+    df = spark.createDataFrame(OPEN, "id int, p string")
+    fields = {"a": ("$.a", "int"), "text": ("$.a", "string"), "second": ("$.b.c[1]", "string"), "b": ("$.b", "struct<c: array<string>>")}
+    got = {r.id: (r.a, r.text, r.second, r.b and r.b.c) for r in open_payload(df, "p", fields, keep="id").collect()}
+    assert got == {
+        1: (1, "1", "y", ["x", "y"]),
+        2: (None, "text", None, None),
+        3: (None, None, None, None),
+        4: (None, None, None, []),
+        5: (None, None, None, None),
+        6: (2, "2.5", None, None),
+    }
+    shape = payload_shape(df.where("id <> 5"), "p")
+    assert "a:" in shape.replace(" ", "") and "ARRAY<STRING>" in shape
+    assert payload_shape(df.where("id = 3"), "p") == "VOID"
+
+
+def test_open_payload_that_does_not_fit(spark, rows):
+    df = spark.createDataFrame([(1, '{"a": "x"}'), (2, "{oh")], "id int, p string")
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        open_payload(df, "p", {"a": ("$.a", "string")}).collect()
+    assert rows(open_payload(df, "p", {"a": ("$.a", "string")}, malformed="null")) == sorted([("x",), (None,)], key=repr)
+    with pytest.raises(Exception, match="(?i)cast"):
+        open_payload(df, "p", {"a": ("$.a", "int")}, malformed="null", strict=True).collect()
+    with pytest.raises(ValueError, match="two columns"):
+        open_payload(df, "p", {"ID": ("$.a", "int")}, keep="id")
