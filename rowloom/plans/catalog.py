@@ -1515,6 +1515,24 @@ def r2_ingest(t: Tables) -> DataFrame:
     return t.spark.read.parquet(target)
 
 
+@query("r2_ingest_unique", "SELECT event_id, ts, user_id, value FROM events")
+def r2_ingest_unique(t: Tables) -> DataFrame:
+    """Two drops: the second repeats the last day of the first, and has rows that come weeks too late."""
+    incoming, table, checkpoint = t.scratch("r2-drops"), t.scratch("r2-unique"), t.scratch("r2-state")
+    events = t.events.selectExpr("event_id", "CAST(ts AS TIMESTAMP) AS ts", "user_id", "value")
+    late = events.where("ts < TIMESTAMP'2024-01-02'").withColumn("event_id", -F.col("event_id") - 1)
+    drops = [
+        events.where("ts < TIMESTAMP'2024-01-16'"),
+        fan_in(events.where("ts >= TIMESTAMP'2024-01-15'"), late),
+    ]
+    for drop in drops:
+        write_file(drop, incoming, "parquet", mode="append")
+        ingest_new_files(
+            t.spark, incoming, events.schema, table, checkpoint, format="parquet", watermark=("ts", "2 days"), unique="event_id"
+        )
+    return t.spark.read.parquet(table).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query(
     "r3_missing_dates",
     """

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from rowloom.columns import require
+from rowloom.columns import require, require_columns
+from rowloom.operators.transforms import deduplicate
 
 
 def ingest_new_files(
@@ -22,6 +23,8 @@ def ingest_new_files(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     options: Mapping[str, object] | None = None,
     max_files: int = 10_000,
+    watermark: tuple[str, str] | None = None,
+    unique: str | Sequence[str] | None = None,
 ) -> StreamingQuery:
     """R2: process the files that arrived since the last run, then stop.
 
@@ -34,6 +37,13 @@ def ingest_new_files(
     order, and a record that does not fit fails the run; ``options`` may say
     otherwise.
 
+    ``unique`` names key columns of which each value comes through once, also
+    when it arrives again in a later file or run.  It needs a ``watermark``, a
+    timestamp column and a delay such as ``("ts", "2 days")``: the keys of that
+    long are kept in the checkpoint, a row older than the watermark is late and
+    dropped, so state is bounded by the delay and not by the history.  A NULL
+    key is a value like others.
+
     ``transform`` may be made of row-wise operators (rename, drop, add, filter,
     replace, Python row functions).  ``sink`` is a folder, written as Parquet
     exactly once, or a function ``(batch_df, batch_id)``, in which every
@@ -52,6 +62,13 @@ def ingest_new_files(
     )
     if transform is not None:
         stream = transform(stream)
+    if unique and not watermark:
+        raise ValueError("ingest_new_files: unique needs a watermark, or its state would grow for ever")
+    if watermark:
+        require_columns(stream, [watermark[0]], "ingest_new_files")
+        stream = stream.withWatermark(*watermark)
+    if unique:
+        stream = deduplicate(stream, unique)
     writer = stream.writeStream
     writer = (
         writer.foreachBatch(sink)

@@ -249,3 +249,24 @@ class TestJobs:
         )
         with pytest.raises(ValidationError, match="received 0 events"):
             jobs.load_events(events, lambda df: None)
+
+
+def test_unique_across_files_and_runs(spark, rows, tmp_path):
+    """Repeats in one file, in the next file and in the next run go; a late row goes; NULL is a key."""
+    incoming, table, checkpoint = (str(tmp_path / name) for name in ("in", "out", "state"))
+    schema = "id long, at timestamp, v string"
+
+    def run(*data):
+        for k, (ident, hour, v) in enumerate(data):
+            frame = spark.createDataFrame([(ident, f"2024-05-{1 + hour // 24:02d} {hour % 24:02d}:00:00", v)], "id long, at string, v string")
+            frame.selectExpr("id", "CAST(at AS TIMESTAMP) AS at", "v").coalesce(1).write.mode("append").parquet(incoming)
+        ingest_new_files(spark, incoming, schema, table, checkpoint, format="parquet", watermark=("at", "10 hours"), unique="id")
+        return sorted(r.v for r in spark.read.parquet(table).collect())
+
+    assert run((1, 50, "a"), (2, 55, "b"), (None, 55, "n")) == ["a", "b", "n"]
+    assert run((1, 50, "again"), (2, 56, "again"), (None, 56, "again"), (3, 56, "c")) == ["a", "b", "c", "n"]
+    assert run((4, 100, "d")) == ["a", "b", "c", "d", "n"]
+    assert run((5, 60, "late"), (4, 100, "again"), (6, 95, "e")) == ["a", "b", "c", "d", "e", "n"]
+    assert run() == ["a", "b", "c", "d", "e", "n"]
+    with pytest.raises(ValueError, match="watermark"):
+        ingest_new_files(spark, incoming, schema, table, checkpoint, format="parquet", unique="id")
