@@ -19,6 +19,7 @@ from rowloom.operators.rules import parse_quality_rule
 from rowloom.operators.transforms import (
     add_column,
     aggregate,
+    aggregate_sets,
     deduplicate,
     drop_columns,
     drop_null,
@@ -51,6 +52,7 @@ __all__ = [
     "ValidationError",
     "add_column",
     "aggregate",
+    "aggregate_sets",
     "api_source",
     "branch",
     "custom_sink",

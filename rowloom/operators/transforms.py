@@ -24,6 +24,7 @@ from rowloom.columns import (
     require_columns,
     require_unique_names,
 )
+from rowloom.session import materialize
 
 # A CASE chain is evaluated branch by branch and ends up in generated code, so
 # larger replacement mappings become a lookup table; both read keys and values
@@ -314,6 +315,65 @@ def aggregate(
     return df.groupBy(*[column(key) for key in keys]).agg(*outputs)
 
 
+def aggregate_sets(
+    df: DataFrame,
+    sets: Sequence[Sequence[str]],
+    agg_fields: Sequence[Mapping[str, str]],
+) -> DataFrame:
+    """``aggregate`` for several groupings at once, coarser ones from the finest.
+
+    ``sets`` lists the columns of each grouping; ``()`` is the global row.  The
+    result holds all of these columns, NULL where a row's grouping lacks one,
+    ``grouping_id`` as SQL counts it (a bit for each column that is lacking, the
+    first column highest), and the fields of ``aggregate``.
+
+    The input is read once, grouped by all columns (and by those that
+    ``count_distinct`` counts), and this finest level is written to the shared
+    folder.  Every grouping adds up its rows: sums of sums, least of least,
+    averages from sums and counts.  No row of the input is multiplied.
+    """
+    require_batch(df, "aggregate_sets", "aggregate inside foreachBatch")
+    require(sets, "aggregate_sets: needs at least one grouping")
+    wanted = [tuple(name_list(names)) for names in sets]
+    if len({frozenset(names) for names in wanted}) < len(wanted):
+        raise ValueError("aggregate_sets: a grouping is given twice")
+    keys = list(dict.fromkeys(name for names in wanted for name in names))
+    # Checks the fields, and knows the types that the results have.
+    plain = aggregate(df, keys, agg_fields)
+    kinds = {field.name: field.dataType for field in plain.schema.fields[len(keys) :]}
+    require_unique_names([*keys, "grouping_id", *kinds], "aggregate_sets")
+
+    parts, finals, extra = [], [], {}
+    for number, (field, name) in enumerate(zip(agg_fields, kinds, strict=True)):
+        source, function = field["column"], field["function"]
+        value = F.lit(1) if source == "*" else column(source)
+        part = f"part_{number}"
+        if function == "count_distinct":
+            counted = extra.setdefault(source, f"value_{len(extra)}")
+            final = F.count_distinct(F.col(counted))
+        elif function in ("avg", "mean"):
+            whole = value if isinstance(kinds[name], T.DecimalType) else value.cast("double")
+            parts += [F.sum(whole).alias(part), F.count(value).alias(f"{part}_n")]
+            final = F.try_divide(F.sum(part), F.sum(f"{part}_n"))
+        elif function == "count":
+            parts.append(F.count(value).alias(part))
+            final = F.coalesce(F.sum(part), F.lit(0))
+        else:
+            parts.append(_AGGREGATES[function](value).alias(part))
+            final = _AGGREGATES[function](F.col(part))
+        finals.append(final.cast(kinds[name]).alias(name))
+    named = {key: f"key_{place}" for place, key in enumerate(keys)}
+    finest_keys = [*(column(key).alias(new) for key, new in named.items()), *(column(c).alias(new) for c, new in extra.items())]
+    finest = materialize(df.groupBy(*finest_keys).agg(*(parts or [F.count(F.lit(1)).alias("rows")])), "finest-level")
+    levels = []
+    for names in wanted:
+        lacking = sum(1 << (len(keys) - 1 - place) for place, key in enumerate(keys) if key not in names)
+        level = finest.groupBy(*[F.col(named[key]) for key in keys if key in names]).agg(*finals)
+        shown = [(F.col(named[key]) if key in names else F.lit(None).cast(df.schema[key].dataType)).alias(key) for key in keys]
+        levels.append(level.select(*shown, F.lit(lacking).cast("long").alias("grouping_id"), *[column(name) for name in kinds]))
+    return reduce(DataFrame.unionAll, levels)
+
+
 def drop_null(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
     """Drop rows that hold NULL (or NaN) in any of the given columns."""
     names = name_list(columns)

@@ -33,6 +33,7 @@ from rowloom.operators.quality import quality_gate, quality_report, validate
 from rowloom.operators.transforms import (
     add_column,
     aggregate,
+    aggregate_sets,
     deduplicate,
     drop_columns,
     drop_null,
@@ -435,6 +436,28 @@ def t8_group_distinct(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "t8_sets",
+    """
+    SELECT l_returnflag, l_linestatus, l_linenumber, GROUPING_ID(l_returnflag, l_linestatus, l_linenumber)::BIGINT AS grouping_id,
+           round(sum(l_quantity), 2) AS quantity, round(avg(l_extendedprice), 4) AS price, count(*) AS rows,
+           count(DISTINCT l_suppkey) AS suppliers, max(l_shipdate) AS latest
+    FROM lineitem GROUP BY GROUPING SETS ((l_returnflag, l_linestatus), (l_linenumber), (l_returnflag), ())
+    """,
+)
+def t8_sets(t: Tables) -> DataFrame:
+    fields = [
+        {"column": "l_quantity", "function": "sum", "alias": "quantity"},
+        {"column": "l_extendedprice", "function": "avg", "alias": "price"},
+        {"column": "*", "function": "count", "alias": "rows"},
+        {"column": "l_suppkey", "function": "count_distinct", "alias": "suppliers"},
+        {"column": "l_shipdate", "function": "max", "alias": "latest"},
+    ]
+    sets = [("l_returnflag", "l_linestatus"), ("l_linenumber",), ("l_returnflag",), ()]
+    found = aggregate_sets(t.lineitem, sets, fields)
+    return found.withColumns({"quantity": F.round("quantity", 2), "price": F.round("price", 4)})
+
+
 @query(
     "t9_drop_null",
     """

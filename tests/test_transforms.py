@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rowloom import (
     add_column,
     aggregate,
+    aggregate_sets,
     deduplicate,
     drop_columns,
     drop_null,
@@ -376,3 +377,42 @@ def test_timestamps_stay_untouched(spark, rows):
     moment = datetime(2024, 1, 1, 12, 30, 15, 123456)
     df = spark.createDataFrame([(moment,)], "t timestamp_ntz")
     assert rows(transform(df, ["FILTER t > timestamp_ntz '2024-01-01'"])) == [(moment,)]
+
+
+SET_FIELDS = [
+    {"column": "v", "function": f, "alias": f"v_{f}"} for f in ("sum", "avg", "min", "max", "count", "count_distinct")
+] + [{"column": "*", "function": "count"}, {"column": "d", "function": "avg"}, {"column": "s", "function": "count_distinct"}]
+
+
+@pytest.mark.parametrize("count", [0, 60])
+@pytest.mark.parametrize("sets", [[("a", "b"), ("a",), ()], [("b",), ("a",)], [()]])
+def test_grouping_sets_as_sql_does_them(spark, rows, tmp_path, count, sets):
+    made = spark.range(0, count, 1, 3).selectExpr(
+        "if(id % 5 = 0, NULL, id % 3) AS a", "if(id % 7 = 0, NULL, 'b' || id % 2) AS b", "if(id % 4 = 0, NULL, id % 9) AS v",
+        "CAST(id AS DECIMAL(10, 2)) / 3 AS d", "if(id % 2 = 0, NULL, 's' || id % 6) AS s"
+    )
+    made.write.parquet(str(tmp_path / "given"))
+    df = spark.read.parquet(str(tmp_path / "given"))
+    got = aggregate_sets(df, sets, SET_FIELDS)
+    keys = list(dict.fromkeys(k for names in sets for k in names))
+    shown = ", ".join([*keys, f"grouping_id({', '.join(keys)})" if keys else "0L"])
+    fields = "sum(v), avg(v), min(v), max(v), count(v), count(DISTINCT v), count(*), avg(d), count(DISTINCT s)"
+    listed = ", ".join(f"({', '.join(names)})" for names in sets)
+    grouped = f"GROUP BY GROUPING SETS ({listed})" if keys else ""
+    wanted = spark.sql(f"SELECT {shown}, {fields} FROM {{df}} {grouped}", df=df)
+    assert [f.dataType for f in got.schema] == [f.dataType for f in wanted.schema]
+    if count:
+        assert rows(got) == rows(wanted)
+    else:  # the global row is there also for an empty input, as for aggregate
+        assert got.count() == sets.count(())
+    # What is planned reads the finest level and no longer the input.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "finest-level" in plan and "given" not in plan
+
+
+def test_grouping_sets_rejects(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, grouping_id int")
+    with pytest.raises(ValueError, match="twice"):
+        aggregate_sets(df, [("a",), ("a",)], [{"column": "*", "function": "count"}])
+    with pytest.raises(ValueError, match="grouping_id"):
+        aggregate_sets(df, [("grouping_id",)], [{"column": "*", "function": "count"}])
