@@ -42,6 +42,7 @@ from rowloom.sources.custom import custom_source
 from rowloom.sources.database import read_db
 from rowloom.sources.files import read_file, seed_table
 from rowloom.sources.sql import render_text, run_query, run_variables
+from rowloom.streaming.checked import batch_reports, checked_batches
 from rowloom.streaming.ingest import ingest_new_files
 
 __all__ = [
@@ -54,7 +55,9 @@ __all__ = [
     "aggregate",
     "aggregate_sets",
     "api_source",
+    "batch_reports",
     "branch",
+    "checked_batches",
     "custom_sink",
     "custom_source",
     "dead_letters",

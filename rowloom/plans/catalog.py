@@ -55,6 +55,7 @@ from rowloom.sources.api import api_source, open_payload, parse_payload
 from rowloom.sources.custom import custom_source
 from rowloom.sources.files import read_file, seed_table
 from rowloom.sources.sql import run_query, run_variables
+from rowloom.streaming.checked import batch_reports, checked_batches
 from rowloom.streaming.ingest import ingest_new_files
 
 
@@ -1556,6 +1557,34 @@ def r2_ingest_unique(t: Tables) -> DataFrame:
     return t.spark.read.parquet(table).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@query(
+    "r2_checked_batches",
+    """
+    WITH drops AS (
+        SELECT event_id % 3 AS batch, event_id, CASE WHEN event_id % 30 = 1 THEN NULL WHEN event_id % 30 = 2 THEN -value ELSE value END AS value
+        FROM events
+    ), report AS (
+        SELECT batch, 'not_null' AS rule, count(*) AS total_rows, count(*) - count(value) AS failed_rows FROM drops GROUP BY batch
+        UNION ALL SELECT batch, 'min', count(*), count(*) FILTER (value < 0) FROM drops GROUP BY batch
+        UNION ALL SELECT batch, 'unique', count(*), 0 FROM drops GROUP BY batch
+    )
+    SELECT batch, rule, total_rows, failed_rows, failed_rows = 0 AS passed, batch = 1 AS aside FROM report
+    """,
+)
+def r2_checked_batches(t: Tables) -> DataFrame:
+    """Three drops: one is clean, one is set aside for NULLs, one breaks a rule that only warns."""
+    incoming, table, checkpoint, history = (t.scratch(f"r2-checked-{name}") for name in ("in", "out", "state", "history"))
+    odd = "if(event_id % 30 = 1, NULL, if(event_id % 30 = 2, -value, value)) AS value"
+    events = t.events.selectExpr("event_id", odd)
+    rules = ["not_null(value)", {"rule": "min", "column": "value", "params": {"min": 0}, "on_failure": "warn"}, "unique(event_id)"]
+    for drop in range(3):
+        write_file(events.where(F.col("event_id") % 3 == drop), incoming, "parquet", mode="append")
+        ingest_new_files(t.spark, incoming, events.schema, checked_batches(table, rules, history), checkpoint, format="parquet")
+    aside = t.spark.read.parquet(f"{table}-quarantine").select("batch").distinct().withColumn("aside", F.lit(True))
+    report = batch_reports(t.spark, history).select("batch", "rule", "total_rows", "failed_rows", "passed")
+    return report.join(aside.withColumn("batch", F.col("batch").cast("bigint")), "batch", "left").fillna(False, "aside")
+
+
 @query(
     "r3_missing_dates",
     """

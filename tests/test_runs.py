@@ -6,6 +6,8 @@ from datetime import date, timedelta
 import pytest
 
 from rowloom import (
+    batch_reports,
+    checked_batches,
     ingest_new_files,
     map_rows,
     missing_run_dates,
@@ -270,3 +272,26 @@ def test_unique_across_files_and_runs(spark, rows, tmp_path):
     assert run() == ["a", "b", "c", "d", "e", "n"]
     with pytest.raises(ValueError, match="watermark"):
         ingest_new_files(spark, incoming, schema, table, checkpoint, format="parquet", unique="id")
+
+
+def test_checked_batches(spark, rows, tmp_path):
+    """Two files, the second breaks a rule; a repeated batch goes where it went."""
+    incoming, table, state, history = (str(tmp_path / name) for name in ("in", "out", "state", "history"))
+    sink = checked_batches(table, ["not_null(v)", "unique(id)"], history)
+    schema = "id int, v int"
+    assert batch_reports(spark, history).count() == 0
+    for data in ([(1, 1), (2, 2)], [(3, None), (3, 4)], [(5, 5)]):
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(incoming)
+        ingest_new_files(spark, incoming, schema, sink, state, format="parquet")
+    told = batch_reports(spark, history).select("batch", "rule", "total_rows", "failed_rows", "passed")
+    assert rows(told) == sorted(
+        [(b, r, n, f, f == 0) for b, n, *failed in [(0, 2, 0, 0), (1, 2, 1, 1), (2, 1, 0, 0)] for r, f in zip(("not_null", "unique"), failed, strict=True)],
+        key=repr,
+    )
+    assert sorted(r.id for r in spark.read.parquet(table).collect()) == [1, 2, 5]
+    assert sorted(r.id for r in spark.read.parquet(f"{table}-quarantine").collect()) == [3, 3]
+    # Batch 1 again, now with rows that would pass: history decides, and nothing is stored twice.
+    sink(spark.createDataFrame([(3, 3), (4, 4)], schema), 1)
+    assert spark.read.parquet(table).count() == 3 and spark.read.parquet(f"{table}-quarantine").count() == 2
+    with pytest.raises(Exception, match="rule"):
+        checked_batches(table, ["no such rule(v)"], history)
