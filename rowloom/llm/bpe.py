@@ -259,30 +259,37 @@ def encoder(path: str) -> Encoder:
     return Encoder(Vocabulary(path))
 
 
-def encode_decode(text: str, using: Encoder, decoder=TokenDecoder) -> tuple[bytes, str]:
-    """The ids of a text as little-endian 32-bit numbers, and what they decode to."""
-    machine, ids, decoded = decoder(using.vocabulary), [], []
+def encode_decode(text: str, using: Encoder, decoders=(TokenDecoder,)) -> tuple[bytes, list[str]]:
+    """The ids of a text as little-endian 32-bit numbers, and what each decoder makes of them, piece by piece."""
+    machines, ids = [(kind(using.vocabulary), []) for kind in decoders], []
     for part in using.encode(text):
-        decoded.append(machine.feed(part))
+        for machine, decoded in machines:
+            decoded.append(machine.feed(part))
         if sys.byteorder == "big":
             part.byteswap()
         ids.append(part.tobytes())
-    decoded.append(machine.finish())
-    return b"".join(ids), "".join(decoded)
+    return b"".join(ids), ["".join(decoded) + machine.finish() for machine, decoded in machines]
 
 
 def tokens(text_col: str, path: str, readable: bool = False) -> Column:
-    """A struct of a text's token ids, packed as little-endian 32-bit numbers, and the decoded text."""
+    """A struct of a text's token ids, packed as little-endian 32-bit numbers, and the decoded text.
+
+    With ``readable`` also the text that the byte-to-text state machine reads
+    from the same tokens.
+    """
+    decoders = (TokenDecoder, TextDecoder) if readable else (TokenDecoder,)
+    names = ["ids", "decoded", "readable"][: 1 + len(decoders)]
 
     def run(batch: pa.Array) -> pa.Array:
         using = encoder(path)
-        rows = [encode_decode(raw.decode("utf-8", "replace"), using, TextDecoder if readable else TokenDecoder) for raw in batch.to_pylist()]
-        return pa.StructArray.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.string())], names=["ids", "decoded"])
+        rows = [encode_decode(raw.decode("utf-8", "replace"), using, decoders) for raw in batch.to_pylist()]
+        texts = [pa.array([texts[k] for _, texts in rows], pa.string()) for k in range(len(decoders))]
+        return pa.StructArray.from_arrays([pa.array([ids for ids, _ in rows], pa.binary()), *texts], names=names)
 
-    return arrow_udf(run, "ids binary, decoded string")(raw_text(text_col))
+    return arrow_udf(run, "ids binary, " + ", ".join(f"{name} string" for name in names[1:]))(raw_text(text_col))
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids (packed) and decoded, one row per document."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), tokens(text_col, path).alias("t"))
-    return rows.select("doc_id", (F.octet_length("t.ids") / 4).cast("long").alias("n_tokens"), "t.ids", "t.decoded")
+    """doc_id, n_tokens, ids (packed), decoded and readable, one row per document."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), tokens(text_col, path, readable=True).alias("t"))
+    return rows.select("doc_id", (F.octet_length("t.ids") / 4).cast("long").alias("n_tokens"), "t.ids", "t.decoded", "t.readable")

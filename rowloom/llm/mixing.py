@@ -5,8 +5,9 @@ the keys cut every source into pieces of a few thousand documents; the words
 are summed by piece, the sums are added up over the pieces of a source, and a
 running sum inside each piece completes the prefix sum of every document.  The
 part of the order below the source's budget is taken; a budget beyond the
-source starts the order anew (an epoch).  No source meets in one task: a piece
-is the largest unit, and their number follows the number of documents.
+source starts the order anew (an epoch).  No source meets in one task: pieces
+follow the number of documents in theirs.  Rows of one id share a key and so a
+piece, whatever their number, and so do all rows without an id.
 
 Defined cases.  NULL texts have no words and give nothing.  A NULL source is a
 source of its own, the last one.  Ties of the key are ordered by id and size,

@@ -38,8 +38,8 @@ def op3_lm(spark, folder):
 
 def op4_bpe(spark, folder):
     found = bpe.encode_documents(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
-    digest = F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
-    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), digest)
+    digests = [F.sha2(F.col(name).cast("binary"), 256).alias(f"{name}_sha256") for name in ("ids", "decoded", "readable")]
+    return found.select("doc_id", "n_tokens", *digests)
 
 
 def op2_line_dedup(spark, folder):

@@ -127,7 +127,8 @@ def test_bpe_equals_the_library(library):
     for text in texts:
         wanted = library.encode(text, add_special_tokens=False).ids
         assert flat(encoder, text) == wanted
-        packed, decoded = bpe.encode_decode(text, encoder)
+        packed, (decoded, readable) = bpe.encode_decode(text, encoder, (bpe.TokenDecoder, bpe.TextDecoder))
+        assert readable == b"".join(encoder.vocabulary.bytes[i] for i in wanted).decode("utf-8", "replace")
         assert packed == np.array(wanted, "<u4").tobytes()
         assert decoded == library.decode(wanted, skip_special_tokens=False)
 
@@ -165,6 +166,7 @@ def test_bpe_awkward(spark, library):
     docs = awkward(spark, AWKWARD)
     got = bpe.encode_documents(docs, PATH).collect()
     assert sorted(bytes(r.ids) for r in got) == sorted(np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for _, t in AWKWARD)
+    assert {r.readable.strip() for r in got} >= {"", "a b", "x" * 200_000}
     assert bpe.encode_documents(awkward(spark, []), PATH).collect() == []
 
 
