@@ -201,23 +201,71 @@ def test_toxicity_ignores_held_out_labels(spark):
 
 
 def test_toxicity_counts_all_permitted_texts(spark):
-    docs, _ = toxic_table(spark)
+    docs, labels = toxic_table(spark)
     learn = lambda ident: ident % 3 != 0
-    counts, texts = toxicity.bucket_counts(docs, learn)
-    rows = [(r.text or "").encode() for r in docs.collect() if r.doc_id is not None and r.doc_id % 3]
-    every = toxicity.as_rows(toxicity.buckets_of(rows, toxicity.WordBuckets()))[0]
-    assert texts == len(rows) and counts.tolist() == np.bincount(every, minlength=toxicity.FEATURES).tolist()
+    toxic = {r.doc_id for r in labels.collect() if r.toxic and r.doc_id is not None}
+    marked = toxicity.marked_texts(docs, labels.where("toxic = 1").select(F.col("doc_id").alias("l_")).distinct(), learn, "doc_id", "text")
+    found = toxicity.bucket_counts(marked)
+    rows = [(r.doc_id, (r.text or "").encode()) for r in docs.collect() if r.doc_id is not None and r.doc_id % 3]
+    for counts, texts in zip(found, ([t for _, t in rows], [t for i, t in rows if i in toxic]), strict=True):
+        every = np.concatenate(toxicity.buckets_of(texts, toxicity.WordBuckets()))
+        assert counts[-1] == len(texts) and counts[:-1].tolist() == np.bincount(every, minlength=toxicity.FEATURES).tolist()
 
 
 def test_rare_words_and_huge_tables():
-    buckets = np.array([5] * 6 + [9] * 6)  # six of 6,000 positives have either
-    counts = np.zeros(toxicity.FEATURES, np.int64)
+    positives, counts = np.zeros((2, toxicity.FEATURES), np.int64)
+    positives[5] = positives[9] = 6  # six of 6,000 positives have either
     counts[5], counts[9] = 10, 10_000  # of ten million texts
-    useful = toxicity.telling((buckets, np.ones(6_000, np.int64)), counts, 10**7, 4.0)
+    useful = toxicity.telling(positives, 6_000, counts, 10**7, 4.0)
     assert useful[5] and not useful[9] and useful.sum() == 1
     assert 0 < toxicity.share(6_000, 10**11) * 10**11 / toxicity.LOTS < 7_000
 
 
+def risk_by_hand(texts, weights, bias, prior):
+    """The parts of the risk, text by text: of positives as toxic, of unlabelled less positives as others."""
+    score = lambda t: 1 / (1 + math.exp(-bias - sum(weights[b] for b in t)))
+    toxic = [t for t, positive in texts if positive]
+    plus = -prior * sum(math.log(score(t)) for t in toxic) / len(toxic)
+    minus = [-math.log(1 - score(t)) for t, _ in texts], [-math.log(1 - score(t)) for t in toxic]
+    return plus, sum(minus[0]) / len(minus[0]) - prior * sum(minus[1]) / len(minus[1])
+
+
+@pytest.mark.parametrize("bias", [-1.0, 3.0])
+@pytest.mark.parametrize("prior", [0.2, 0.9])
+def test_slope_is_that_of_the_risk_by_hand(spark, prior, bias):
+    """The slope summed by tasks over patterns against differences of the risk over all texts, on both sides of zero."""
+    rng = random.Random(3)
+    texts = [(sorted(rng.sample(range(6), rng.randrange(4))), rng.random() < 0.3) for _ in range(300)]
+    texts = [([0, 1], True) if positive and rng.random() < 0.5 else (t, positive) for t, positive in texts]
+    weights = np.array([1.5, 0.5, -0.5, 0.2, 0.0, -1.0])
+    packed = [(np.array(t, "<i4").tobytes(), positive) for t, positive in texts]
+    patterns = spark.createDataFrame(packed, "places binary, positive boolean").groupBy("places").agg(F.count("positive").alias("n"), F.count_if("positive").alias("p"))
+    sums = toxicity.summed(patterns.repartition(3), toxicity.Model(weights, bias))
+    toxic = [t for t, positive in texts if positive]
+    has = np.bincount([b for t in toxic for b in t], minlength=6)
+    negative, slope = toxicity.nnpu_slope(sums, len(texts), len(toxic), has, prior)
+    assert negative == pytest.approx(risk_by_hand(texts, weights, bias, prior)[1], abs=1e-5)
+
+    def risk(step):
+        plus, minus = risk_by_hand(texts, weights + step[:-1], bias + step[-1], prior)
+        return plus + minus if negative >= 0 else -minus
+
+    for k in range(7):
+        step = np.zeros(7)
+        step[k] = 1e-5
+        assert slope[k] == pytest.approx((risk(step) - risk(-step)) / 2e-5, abs=1e-4)
+
+
+def test_toxicity_learns_from_repeated_rows_by_number(spark):
+    """Every permitted row is part of the risk: thousands alike are one pattern, and reruns agree."""
+    docs, labels = toxic_table(spark, 300)
+    many = docs.unionByName(docs.where("doc_id = 7").crossJoin(spark.range(20_000).select()))
+    one, two = ({(r.doc_id, r.score) for r in toxicity.score_toxicity(x, labels).collect()} for x in (many, many.repartition(7)))
+    assert one == two
+    plain = {(r.doc_id, r.score) for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert plain != one
+
+
 def test_toxicity_without_labels(spark):
     docs = awkward(spark, AWKWARD)
     none = spark.createDataFrame([], "doc_id long, toxic int")
