@@ -6,8 +6,10 @@ are summed by piece, the sums are added up over the pieces of a source, and a
 running sum inside each piece completes the prefix sum of every document.  The
 part of the order below the source's budget is taken; a budget beyond the
 source starts the order anew (an epoch).  No source meets in one task: pieces
-follow the number of documents in theirs.  Rows of one id share a key and so a
-piece, whatever their number, and so do all rows without an id.
+follow the number of documents in theirs.  Rows of one id share a key, and so
+do all rows without an id: those alike in size as well go through the pieces as
+runs of up to ``piece`` rows, and become rows again after the runs have been
+spread, so that a piece holds the different sizes of an id and not its rows.
 
 Defined cases.  NULL texts have no words and give nothing.  A NULL source is a
 source of its own, the last one.  Ties of the key are ordered by id and size,
@@ -91,24 +93,33 @@ def mix_sources(
 def _taken(sized: DataFrame, weights: Sequence[float], share: float, most: float, piece: int) -> DataFrame:
     targets = materialize(source_targets(sized, weights, share, most), "targets")
     rows = targets.agg(F.coalesce(F.sum("documents"), F.lit(0))).first()[0]
-    width = -(-(2**KEY_BITS) // max(1, -(-rows // piece)))
-    sized = sized.withColumn("piece", F.expr(f"key div {width}L"))
-    sums = sized.groupBy("source", "piece").agg(F.sum("size").alias("piece_size"))
+    runs = _runs(sized, rows, piece)
+    sums = runs.groupBy("source", "piece").agg(F.sum("words").alias("piece_size"))
     earlier = Window.partitionBy("source").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("start", F.coalesce(F.sum("piece_size").over(earlier), F.lit(0)))
     starts = starts.select(F.col("source").alias("s"), F.col("piece").alias("p"), "start")
     budgets = targets.select(F.col("source").alias("t"), "source_size", "target")
     starts = starts.join(budgets, F.col("s").eqNullSafe(F.col("t")), "left").drop("t")
-    inside = Window.partitionBy("source", "piece").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    running = sized.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    inside = Window.partitionBy("source", "piece").orderBy("key", "doc_id", "size", "run").rowsBetween(Window.unboundedPreceding, -1)
+    running = runs.withColumn("before", F.coalesce(F.sum("words").over(inside), F.lit(0)))
     placed = running.join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("piece") == F.col("p")))
+    placed = placed.repartition("source", "key", "size", "run").withColumn("row", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
     budget = F.floor(F.col("target") + 0.5)
     epochs = F.when(F.col("source_size") > 0, F.expr("floor(target + 0.5) div source_size")).otherwise(0)
-    rest = budget - epochs * F.col("source_size") - F.col("start") - F.col("before")
+    rest = budget - epochs * F.col("source_size") - F.col("start") - F.col("before") - F.col("row") * F.col("size")
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
     return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
+def _runs(sized: DataFrame, rows: int, piece: int) -> DataFrame:
+    """source, piece, key, doc_id, size, run, rows and words: up to ``piece`` rows alike each, of ``rows`` in all."""
+    width = -(-(2**KEY_BITS) // max(1, -(-rows // piece)))
+    alike = sized.groupBy("source", "key", "doc_id", "size").agg(F.count(F.lit(1)).alias("alike"))
+    runs = alike.withColumn("run", F.explode(F.sequence(F.lit(0), F.expr(f"(alike - 1) div {piece}"))))
+    runs = runs.withColumn("rows", F.least(F.lit(piece), F.col("alike") - F.col("run") * piece).cast("int"))
+    return runs.select("source", F.expr(f"key div {width}L").alias("piece"), "key", "doc_id", "size", "run", "rows", (F.col("size") * F.col("rows")).alias("words"))
+
+
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
     """The mix as documents: one row, with all columns, for each epoch that takes from a document.
 

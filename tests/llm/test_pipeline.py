@@ -2,11 +2,13 @@
 
 import collections
 import hashlib
+import math
 
 import corpus_pipeline
 import numpy as np
 import pytest
 from compare import connect, duckdb_result, spark_result
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rowloom.llm import mixing
@@ -62,6 +64,25 @@ def test_mix_targets(spark):
     assert sorted(mixed(got), key=repr) == sorted(mixed(mixing.mix_sources(docs, piece=7).repartition(5).collect()), key=repr)
 
 
+def test_mix_many_rows_of_one_key(spark):
+    """Rows without an id, and repeated rows, are cut like others; what is taken is that of the order by hand."""
+    texts = [(None, words(1 + i % 50)) for i in range(20_000)] + [(7, words(3))] * 5_000 + [(i, words(4)) for i in range(100, 1_100)]
+    docs = awkward(spark, texts)
+    sized = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"), mixing.random_key(F.col("doc_id")).alias("key"))
+    runs = mixing._runs(sized, len(texts), 2_000)
+    assert runs.agg(F.sum("rows")).first()[0] == len(texts) and runs.agg(F.max("rows")).first()[0] <= 2_000
+    assert runs.groupBy("source", "piece").count().agg(F.max("count")).first()[0] <= 4_000
+    key = lambda i: int(hashlib.md5(str("" if i is None else i).encode()).hexdigest()[:15], 16)
+    order = sorted(((key(i), -1 if i is None else i, len(t.split())) for i, t in texts))
+    total = sum(n for _, _, n in order)
+    budget, wanted, before = math.floor(1.5 * total + 0.5) - total, [], 0
+    for _, i, n in order:
+        wanted.append((i, n, n + max(0, min(n, budget - before))))
+        before += n
+    for got in (mixing.mix_sources(docs), mixing.mix_sources(docs, piece=300)):
+        assert sorted((-1 if r.doc_id is None else r.doc_id, r.size, r.taken) for r in got.collect()) == sorted(wanted)
+
+
 def test_mix_awkward(spark):
     docs = awkward(spark, AWKWARD)
     got = mixing.mix_sources(docs).collect()
