@@ -35,8 +35,8 @@ from rowloom.session import materialize
 
 WORDS = 5
 BANDS, ROWS = 53, 6
-#: Shingles per block.
-BLOCK = 100_000
+#: Shingles per block, and as how many shingles the signature and band keys of a set count: a block takes about 8 MB.
+BLOCK, SET = 1_000_000, 240
 #: Posterior probability below which a pair is dropped, and MinHash values compared at a time.
 TOLERANCE, STEP = 1e-7, 32
 MEMO = 200_000
@@ -246,7 +246,7 @@ def _linked_nodes(docs: DataFrame, id_col: str, text_col: str, threshold: float,
     sets = materialize(sets.withColumn("node", F.xxhash64("digest")), "distinct-sets")
     bands = sets.select("node", "size", F.explode("bands").alias("key"), salt_of(F.col("node")).alias("salt"))
     # Tasks combine their rows of a bucket before the shuffle; the members come back by key and salt.
-    member = {"n": F.count(F.lit(1)), "f": F.bit_xor(F.xxhash64("node")), "g": F.bit_xor(F.xxhash64(F.lit(1), "node")), "total": F.sum("size")}
+    member = {"n": F.count(F.lit(1)), "f": F.bit_xor(F.xxhash64("node")), "g": F.bit_xor(F.xxhash64(F.lit(1), "node")), "total": F.sum(F.col("size") + SET)}
     buckets = bands.groupBy("key").agg(*(c.alias(n) for n, c in member.items()), salts_seen().alias("salts"))
     once = buckets.where("n > 1").groupBy("n", "f", "g", "total").agg(F.min("key").alias("key"), F.bit_or("salts").alias("salts"))
     once = once.select("key", F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"), each_salt("salts").alias("salt"))
