@@ -36,7 +36,8 @@ def read_file(
     CSV yields text columns, ``infer_schema=True`` and JSON or XML cost an
     extra pass over the data, and types may change from day to day.
     ``multi_line`` is for a JSON array document (or CSV fields with line
-    breaks); such files cannot be split.  XML needs ``row_tag``.
+    breaks); such files cannot be split.  XML needs ``row_tag``; one file is
+    read by one task, so let large data come in several (``write_file`` does).
     """
     require(path, "read_file: needs a path")
     if format not in SOURCE_FORMATS:

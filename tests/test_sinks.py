@@ -66,6 +66,27 @@ class TestFiles:
             data.select("id", "x")
         )
 
+    def test_xml_files_do_not_grow_with_the_rows_of_a_task(self, spark, rows, tmp_path, monkeypatch):
+        monkeypatch.setattr("rowloom.sinks.files.XML_FILE_BYTES", 20_000, raising=False)
+        schema = "id bigint, s string, p struct<a:array<int>,b:date>"
+        for number in (1_000, 4_000):
+            path = str(tmp_path / f"out{number}")
+            df = spark.range(0, number, 1, 1).selectExpr("id", "concat('t', id) AS s", "struct(array(1, 2) AS a, date'2024-01-01' AS b) AS p")
+            write_file(df, path, "xml", row_tag="r")
+            sizes = [os.path.getsize(f"{path}/{n}") for n in os.listdir(path) if n.startswith("part-")]
+            assert max(sizes) <= 20_000 and len(sizes) <= number / 20
+            assert rows(read_file(spark, path, "xml", schema, row_tag="r")) == rows(df)
+
+    def test_xml_keeps_a_smaller_number_of_rows(self, spark, tmp_path):
+        path, df = str(tmp_path / "out"), spark.range(0, 100, 1, 1)
+        write_file(df, path, "xml", row_tag="r", options={"maxRecordsPerFile": 20})
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", 10)
+        try:
+            write_file(df, path, "xml", row_tag="r", mode="append")
+        finally:
+            spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+        assert len([n for n in os.listdir(path) if n.startswith("part-")]) == 5 + 10
+
     def test_line_breaks(self, spark, rows, tmp_path):
         path = str(tmp_path / "out")
         df = spark.createDataFrame([(1, 'two\nlines, "x"\\')], "id int, s string")
