@@ -1241,7 +1241,8 @@ def k4_conditions(t: Tables) -> DataFrame:
 def w1_csv(t: Tables) -> DataFrame:
     path = t.scratch("w1")
     documents = add_column(t.documents, "text", "' \\t' || text || '  '")
-    write_file(documents, path, "csv")
+    # Texts have line breaks, so a file is read by one task.
+    write_file(documents, path, "csv", options={"maxRecordsPerFile": 20_000})
     return read_file(t.spark, path, "csv", _schema(documents), multi_line=True)
 
 

@@ -16,27 +16,34 @@ from rowloom.session import materialize, stages
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 SINK_FORMATS = ("csv", "json", "parquet", "xml")
-#: About how large an XML file may get, and the bytes that a text or another value in it is taken to have.
-XML_FILE_BYTES = 32 << 20
-XML_TEXT_BYTES, XML_VALUE_BYTES = 400, 20
+#: About how large a text file may get that Spark cannot split, before compression if it is compressed,
+#: and the bytes that a text or another value in it is taken to have.
+WHOLE_FILE_BYTES, COMPRESSED_FILE_BYTES = 32 << 20, 256 << 20
+TEXT_BYTES, VALUE_BYTES = 400, 20
+#: Codecs whose files Spark can split, or that are none.
+SPLIT_CODECS = ("", "none", "uncompressed", "bzip2")
 
 
-def _xml_row_bytes(name: str, kind: T.DataType) -> int:
+def _row_bytes(name: str, kind: T.DataType) -> int:
     """About the bytes of one value with its tags; lists and maps are taken to have one element."""
+    if isinstance(kind, T.ArrayType):
+        return _row_bytes(name, kind.elementType)
     if isinstance(kind, T.StructType):
-        inner = sum(_xml_row_bytes(field.name, field.dataType) for field in kind)
-    elif isinstance(kind, T.ArrayType):
-        return _xml_row_bytes(name, kind.elementType)
+        inner = sum(_row_bytes(field.name, field.dataType) for field in kind)
     elif isinstance(kind, T.MapType):
-        inner = _xml_row_bytes("key", kind.valueType)
+        inner = _row_bytes("key", kind.valueType)
     else:
-        inner = XML_TEXT_BYTES if isinstance(kind, (T.StringType, T.BinaryType, T.VariantType)) else XML_VALUE_BYTES
+        inner = TEXT_BYTES if isinstance(kind, (T.StringType, T.BinaryType, T.VariantType)) else VALUE_BYTES
     return 2 * len(name.encode()) + len("<></>") + inner
 
 
-def _xml_file_rows(df: DataFrame, row_tag: str) -> int:
-    """Rows of one XML file, at most as many as the session allows a file."""
-    rows = max(1, XML_FILE_BYTES // _xml_row_bytes(row_tag, df.schema))
+def _whole_file_rows(df: DataFrame, format: str, codec: str, row_tag: str | None) -> int | None:
+    """Rows of a file that Spark reads in one task, at most as many as the session allows; None for other files."""
+    compressed = codec.lower() not in SPLIT_CODECS
+    if format == "parquet" or not (compressed or format == "xml"):
+        return None
+    size = COMPRESSED_FILE_BYTES if compressed else WHOLE_FILE_BYTES
+    rows = max(1, size // _row_bytes(row_tag or "", df.schema))
     allowed = int(df.sparkSession.conf.get("spark.sql.files.maxRecordsPerFile"))
     return min(rows, allowed) if allowed > 0 else rows
 
@@ -53,7 +60,7 @@ def write_file(
     row_tag: str | None = None,
     options: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """Write a directory of files, one per task (XML: as many as its rows need), and pass the data on.
+    """Write a directory of files, one or more per task, and pass the data on.
 
     CSV gets a header line, doubles quotes inside fields and keeps white space at
     their ends; text formats keep microseconds.  Reading a CSV turns empty text into NULL, unless both sides
@@ -65,9 +72,10 @@ def write_file(
     rebalanced by them, so that not every task writes a small file into every
     folder; adaptive execution splits a folder that gets a large share of the
     rows over several tasks.  Otherwise rows are written where they lie.
-    Spark reads an XML file in one task, so a task of many rows writes several:
-    one holds about ``XML_FILE_BYTES``, by the columns and with texts of
-    ``XML_TEXT_BYTES``; for much longer texts set ``maxRecordsPerFile`` in ``options``.
+    Spark reads XML and compressed CSV and JSON (but bzip2) one file a task, so
+    a task of many rows writes several such files.  Their rows follow from the
+    columns, with texts taken to be of ``TEXT_BYTES``; for much longer texts, and
+    for CSV fields with line breaks, set ``maxRecordsPerFile`` in ``options``.
     """
     require(path, "write_file: needs a path")
     if format not in SINK_FORMATS:
@@ -86,12 +94,16 @@ def write_file(
         writer = writer.option("ignoreNullFields", False)
     if format == "xml":
         require(row_tag, "write_file: XML needs row_tag")
-        writer = writer.option("rowTag", row_tag).option("maxRecordsPerFile", _xml_file_rows(df, row_tag))
+        writer = writer.option("rowTag", row_tag)
     if format != "parquet":
         writer = writer.option("timestampFormat", TIMESTAMP_FORMAT + "XXX")
         writer = writer.option("timestampNTZFormat", TIMESTAMP_FORMAT)
     if compress:
         writer = writer.option("compression", compress)
+    given = {key.lower(): str(value) for key, value in (options or {}).items()}
+    file_rows = _whole_file_rows(df, format, given.get("compression", given.get("codec", compress)), row_tag)
+    if file_rows:
+        writer = writer.option("maxRecordsPerFile", file_rows)
     if names:
         writer = writer.partitionBy(*names).option("partitionOverwriteMode", "dynamic")
     writer.options(**(options or {})).save(path)

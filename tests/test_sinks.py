@@ -67,7 +67,7 @@ class TestFiles:
         )
 
     def test_xml_files_do_not_grow_with_the_rows_of_a_task(self, spark, rows, tmp_path, monkeypatch):
-        monkeypatch.setattr("rowloom.sinks.files.XML_FILE_BYTES", 20_000, raising=False)
+        monkeypatch.setattr("rowloom.sinks.files.WHOLE_FILE_BYTES", 20_000, raising=False)
         schema = "id bigint, s string, p struct<a:array<int>,b:date>"
         for number in (1_000, 4_000):
             path = str(tmp_path / f"out{number}")
@@ -77,6 +77,14 @@ class TestFiles:
             assert max(sizes) <= 20_000 and len(sizes) <= number / 20
             assert rows(read_file(spark, path, "xml", schema, row_tag="r")) == rows(df)
 
+    @pytest.mark.parametrize(("format", "codec", "several"), [("csv", "gzip", True), ("json", "gzip", True), ("xml", "gzip", True), ("csv", "", False), ("json", "bzip2", False), ("parquet", "gzip", False)])
+    def test_compressed_files_do_not_grow_with_the_rows_of_a_task(self, spark, rows, tmp_path, monkeypatch, format, codec, several):
+        monkeypatch.setattr("rowloom.sinks.files.COMPRESSED_FILE_BYTES", 50_000, raising=False)
+        path, df, tag = str(tmp_path / "out"), spark.range(0, 5_000, 1, 1).selectExpr("id", "concat('t', id) AS s"), {"row_tag": "r"} if format == "xml" else {}
+        write_file(df, path, format, codec, **tag)
+        assert (len([n for n in os.listdir(path) if n.startswith("part-")]) > 10) == several
+        assert rows(read_file(spark, path, format, "id bigint, s string", **tag)) == rows(df)
+
     def test_xml_keeps_a_smaller_number_of_rows(self, spark, tmp_path):
         path, df = str(tmp_path / "out"), spark.range(0, 100, 1, 1)
         write_file(df, path, "xml", row_tag="r", options={"maxRecordsPerFile": 20})
