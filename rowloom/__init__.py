@@ -37,7 +37,7 @@ from rowloom.sinks.database import migrate, write_db
 from rowloom.sinks.ledger import dead_letters, deliver_once
 from rowloom.sinks.files import upsert, upsert_table, write_file
 from rowloom.sources.api import api_source, http_fetch, open_payload, payload_shape, request_rows
-from rowloom.sources.arrow_tables import read_arrow_table, register_arrow_tables
+from rowloom.sources.arrow_tables import read_arrow_table, register_arrow_tables, write_arrow_table
 from rowloom.sources.custom import custom_source
 from rowloom.sources.database import read_db
 from rowloom.sources.files import read_file, seed_table
@@ -112,6 +112,7 @@ __all__ = [
     "upsert",
     "upsert_table",
     "validate",
+    "write_arrow_table",
     "write_db",
     "write_file",
 ]

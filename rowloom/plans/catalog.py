@@ -50,7 +50,7 @@ from rowloom.sinks.api import deliver, render_requests
 from rowloom.sinks.custom import custom_sink
 from rowloom.sinks.ledger import deliver_once
 from rowloom.sinks.files import upsert, upsert_table, write_file
-from rowloom.sources.arrow_tables import read_arrow_table, register_arrow_tables
+from rowloom.sources.arrow_tables import read_arrow_table, register_arrow_tables, write_arrow_table
 from rowloom.sources.api import api_source, open_payload, parse_payload
 from rowloom.sources.custom import custom_source
 from rowloom.sources.files import read_file, seed_table
@@ -249,8 +249,7 @@ def s8_custom(t: Tables) -> DataFrame:
 def s8_arrow_table(t: Tables) -> DataFrame:
     """Files of ranges of orders, of which the conditions leave most unopened."""
     folder = t.scratch("s8-table")
-    register_arrow_tables(t.spark)
-    t.lineitem.repartitionByRange(8, "l_orderkey").write.format("arrow_table").mode("append").save(folder)
+    write_arrow_table(t.lineitem, folder, "l_orderkey", least_files=8)
     where = [("l_orderkey", ">=", 50), ("l_orderkey", "<", 400), ("l_returnflag", "in", ["A", "R"])]
     return read_arrow_table(t.spark, folder, ["l_orderkey", "l_quantity", "l_shipdate"], where)
 

@@ -1,7 +1,8 @@
 """Folders of Arrow files as a Spark data source, for reading and writing.
 
 ``df.write.format("arrow_table").mode("append").save(path)`` after
-``register_arrow_tables(spark)``, and ``read_arrow_table(spark, path, ...)``.
+``register_arrow_tables(spark)``, or ``write_arrow_table(df, path, keys)`` for
+files of ranges, and ``read_arrow_table(spark, path, ...)``.
 
 Writing has two phases.  Each task writes one file under a name of its own and
 reports it with its row count and the bounds of its columns.  When all have
@@ -22,6 +23,7 @@ would skip the files of the first one's filters and lose rows.
 from __future__ import annotations
 
 import json
+import math
 import operator
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
@@ -46,13 +48,15 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from rowloom.columns import column, name_list, require_columns
+from rowloom.columns import column, free_name, name_list, require, require_columns
 
 MANIFEST, DRAFT, ENDING = "_manifest-", "_draft-", ".arrow"
 #: Bytes of files that one partition reads.
 PARTITION_BYTES = 128 << 20
 #: Rows of one record batch handed to Spark.
 BATCH_ROWS = 65_536
+#: Rows of about one file of a table written in ranges.
+FILE_ROWS = 500_000
 #: Bounds are kept for these types, and for texts up to this many characters.
 BOUND_CHARS = 64
 
@@ -307,6 +311,33 @@ def register_arrow_tables(spark: SparkSession) -> None:
     spark.dataSource.register(ArrowTables)
 
 
+def write_arrow_table(
+    df: DataFrame,
+    path: str,
+    keys: str | Sequence[str],
+    mode: str = "append",
+    file_rows: int = FILE_ROWS,
+    least_files: int = 1,
+) -> None:
+    """Write files of ranges of ``keys``, so that conditions on these leave most of them unopened.
+
+    The rows are counted first, and there are as many ranges as they fill files
+    of about ``file_rows`` (say fewer where rows are long), ``least_files`` at
+    least: more rows make more tasks and files, not larger ones.  As in ``sort``,
+    the input partition breaks ties, so a key with many rows is spread over
+    several files.  ``df`` is evaluated for the count, for the sample that cuts
+    the ranges and for the write; pass ``materialize(df)`` where it is expensive.
+    """
+    names = name_list(keys)
+    require(names, "write_arrow_table: needs at least one key")
+    require_columns(df, names, "write_arrow_table")
+    register_arrow_tables(df.sparkSession)
+    ranges = max(least_files, math.ceil(df.count() / file_rows))
+    tie = free_name("tie", df)
+    dealt = df.withColumn(tie, F.spark_partition_id()).repartitionByRange(ranges, *[column(name) for name in names], column(tie))
+    dealt.drop(tie).write.format("arrow_table").mode(mode).save(path)
+
+
 def read_arrow_table(
     spark: SparkSession,
     path: str,

@@ -7,10 +7,12 @@ import subprocess
 import sys
 from datetime import date, datetime
 from decimal import Decimal
+from functools import partial
 
 import pytest
 
-from rowloom import read_arrow_table, register_arrow_tables
+from rowloom import read_arrow_table, register_arrow_tables, write_arrow_table
+from rowloom.plans import catalog
 from rowloom.sources.arrow_tables import column_bounds, joined_bounds, may_hold, tidy_arrow_table
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -88,6 +90,29 @@ def test_small_partitions(spark, save):
     assert read_arrow_table(spark, path).rdd.getNumPartitions() == 1
 
 
+def test_ranges_follow_the_rows(spark, rows, tmp_path):
+    for number in (2_000, 20_000):
+        path, df = str(tmp_path / f"t{number}"), spark.range(0, number, 1, 4).selectExpr("if(id % 3 = 0, -1, id) AS k", "id AS tie")
+        write_arrow_table(df, path, "k", file_rows=500)
+        files = [f for p in glob.glob(f"{path}/_manifest-*") for f in json.load(open(p))["files"]]
+        assert number / 500 * 0.75 <= len(files) <= number / 500
+        assert max(f["rows"] for f in files if f["bounds"]["k"] != [-1, -1]) < 1_500
+        # A third of the rows has one key, but it comes from several input partitions.
+        assert max(f["rows"] for f in files) < number * 0.3
+        assert rows(read_arrow_table(spark, path)) == rows(df)
+    with pytest.raises(ValueError, match="no such column"):
+        write_arrow_table(df, path, "other")
+
+
+def test_files_of_the_query_follow_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog.Tables, "scratch", lambda self, label: str(tmp_path / label))
+    monkeypatch.setattr(catalog, "write_arrow_table", partial(write_arrow_table, file_rows=200))
+    found = catalog.QUERIES["s8_arrow_table"](spark, "/root/testdata/sf0.001").count()
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    assert found == lines.where("l_orderkey >= 50 AND l_orderkey < 400 AND l_returnflag IN ('A', 'R')").count() > 0
+    assert len(data_files(str(tmp_path / "s8-table"))) > lines.count() / 200 * 0.75
+
+
 def test_bounds():
     import pyarrow as pa
 
